@@ -1,0 +1,6 @@
+"""Streaming surface.
+
+The pipeline this package re-implements has no stream: "sliding window" means
+positions inside a sequence, not event time. Every stage is a batch DataFrame
+job, so no Structured Streaming operator is offered here.
+"""
