@@ -50,12 +50,38 @@ def collect_models(models: DataFrame, width: int, max_models: int = MAX_MODELS)
 
 def _to_words(pos: np.ndarray, n_words: int) -> np.ndarray:
     """Pack a boolean (rows, m) matrix into (rows, n_words) int64 bitmasks, bit j of word j//64."""
-    rows, m = pos.shape
-    padded = np.zeros((rows, n_words * 64), dtype=np.uint64)
-    padded[:, :m] = pos
-    shifts = np.arange(64, dtype=np.uint64)
-    words = (padded.reshape(rows, n_words, 64) << shifts).sum(axis=2, dtype=np.uint64)
-    return words.view(np.int64)
+    rows = pos.shape[0]
+    packed = np.packbits(pos, axis=1, bitorder="little")
+    buf = np.zeros((rows, n_words * 8), dtype=np.uint8)
+    buf[:, :packed.shape[1]] = packed
+    return buf.view("<i8")
+
+
+_BLOCK = 2048
+
+
+def _positive(X: np.ndarray, W_aug: np.ndarray) -> np.ndarray:
+    """``[X, 1] . W_aug <= 0`` (W_aug = [W^T; b]) in row blocks with reused buffers.
+
+    Small blocks keep temporaries in cache instead of mapping fresh pages per batch.
+    """
+    n, d = X.shape
+    m = W_aug.shape[1]
+    out = np.empty((n, m), dtype=bool)
+    Xa = np.empty((min(n, _BLOCK), d + 1), dtype=np.float64)
+    Xa[:, d] = 1.0
+    M = np.empty((min(n, _BLOCK), m), dtype=np.float64)
+    for s0 in range(0, n, _BLOCK):
+        s1 = min(n, s0 + _BLOCK)
+        k = s1 - s0
+        Xa[:k, :d] = X[s0:s1]
+        np.matmul(Xa[:k], W_aug, out=M[:k])
+        np.less_equal(M[:k], 0.0, out=out[s0:s1])
+    return out
+
+
+def augmented(models: "LinearModels") -> np.ndarray:
+    return np.ascontiguousarray(np.vstack([models.W.T, models.b.reshape(1, -1)]))
 
 
 def score_support(features: DataFrame, models: LinearModels, feature_cols: list[str],
@@ -63,8 +89,7 @@ def score_support(features: DataFrame, models: LinearModels, feature_cols: list[
     """``keep + support BIGINT + hits ARRAY<BIGINT>`` for every feature row."""
     if len(feature_cols) != models.W.shape[1]:
         raise ValueError("feature count does not match model width")
-    W_T = np.ascontiguousarray(models.W.T)
-    b = models.b
+    W_aug = augmented(models)
     n_words = models.n_words
     in_schema = features.select(*keep).schema
     out_schema = T.StructType(list(in_schema.fields) + [
@@ -79,7 +104,7 @@ def score_support(features: DataFrame, models: LinearModels, feature_cols: list[
             if n == 0:
                 continue
             X = _batches_to_X(batch, feature_cols)
-            pos = (X @ W_T + b) <= 0.0
+            pos = _positive(X, W_aug)
             support = pos.sum(axis=1).astype(np.int64)
             words = _to_words(pos, n_words)
             hits = pa.ListArray.from_arrays(np.arange(0, (n + 1) * n_words, n_words, dtype=np.int32),
@@ -116,8 +141,7 @@ def nonempty_lists(features: DataFrame, models: LinearModels, feature_cols: list
     the usual case this touches one Arrow batch per partition, not the table.
     Exact: a model with no positive anywhere makes the tasks read everything.
     """
-    W_T = np.ascontiguousarray(models.W.T)
-    b = models.b
+    W_aug = augmented(models)
     m = len(models.list_ids)
     n_words = models.n_words
     feature_cols = list(feature_cols)
@@ -126,7 +150,7 @@ def nonempty_lists(features: DataFrame, models: LinearModels, feature_cols: list
         seen = np.zeros(m, dtype=bool)
         for batch in batches:
             if batch.num_rows:
-                seen |= ((_batches_to_X(batch, feature_cols) @ W_T + b) <= 0.0).any(axis=0)
+                seen |= _positive(_batches_to_X(batch, feature_cols), W_aug).any(axis=0)
                 if seen.all():
                     break
         words = _to_words(seen.reshape(1, m), n_words)[0]
@@ -144,8 +168,7 @@ def positive_counts(features: DataFrame, models: LinearModels, feature_cols: lis
     One scoring pass; each task emits one small row per model, then a tiny
     aggregate sums them (partial counts never leave the task as rows).
     """
-    W_T = np.ascontiguousarray(models.W.T)
-    b = models.b
+    W_aug = augmented(models)
     ids = list(models.list_ids)
     feature_cols = list(feature_cols)
 
@@ -153,7 +176,7 @@ def positive_counts(features: DataFrame, models: LinearModels, feature_cols: lis
         acc = np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
             if batch.num_rows:
-                acc += ((_batches_to_X(batch, feature_cols) @ W_T + b) <= 0.0).sum(axis=0)
+                acc += _positive(_batches_to_X(batch, feature_cols), W_aug).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), pa.array(acc, type=pa.int64())],
                                          names=["list_id", "n"])
 
@@ -174,3 +197,117 @@ def prediction_pairs(scored: DataFrame, models: LinearModels, name_col: str = "N
 def predict_positive_names(scored_one_model: DataFrame, name_col: str = "NAME", prediction_col: str = "prediction") -> DataFrame:
     """Names predicted as class 0 (positive) by one fitted Spark ML model."""
     return scored_one_model.where(F.col(prediction_col) == 0).select(F.col(name_col).alias("name"))
+
+
+# ---------------------------------------------------------------- fused composition + scoring
+
+def _utf8_parts(arr):
+    """(data uint8, offsets int64) of an Arrow string/binary array (any offset width)."""
+    import pyarrow.compute as pc  # noqa: F401
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    t = arr.type
+    if pa.types.is_large_string(t) or pa.types.is_large_binary(t):
+        off_dtype = np.int64
+    elif pa.types.is_string(t) or pa.types.is_binary(t):
+        off_dtype = np.int32
+    else:
+        arr = arr.cast(pa.large_string())
+        off_dtype = np.int64
+    bufs = arr.buffers()
+    offsets = np.frombuffer(bufs[1], dtype=off_dtype)[arr.offset: arr.offset + len(arr) + 1].astype(np.int64)
+    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
+    return data, offsets
+
+
+def composition_matrix(arr, residues: str) -> np.ndarray:
+    """Fraction of each residue letter per string, vectorised over an Arrow batch.
+
+    Bytes are mapped through a lookup table and counted with one ``bincount``;
+    the denominator is the character length (non-residue bytes count as other).
+    """
+    import pyarrow.compute as pc
+    k = len(residues)
+    lut = np.full(256, k, dtype=np.int64)
+    for i, a in enumerate(residues):
+        lut[ord(a)] = i
+    data, offsets = _utf8_parts(arr)
+    n = len(offsets) - 1
+    lengths = np.diff(offsets)
+    codes = lut[data[offsets[0]:offsets[-1]]]
+    rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
+    counts = np.bincount(rows * (k + 1) + codes, minlength=n * (k + 1)).reshape(n, k + 1)[:, :k]
+    chars = pc.utf8_length(arr).to_numpy(zero_copy_only=False).astype(np.float64)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return counts / chars[:, None]
+
+
+def score_windows(windows: DataFrame, models: LinearModels, residues: str, keep: list[str],
+                  sub_col: str = "sub") -> DataFrame:
+    """Composition features + all-model scores in one Arrow pass: ``keep + support + hits``."""
+    if len(residues) != models.W.shape[1]:
+        raise ValueError("residue alphabet does not match model width")
+    W_aug = augmented(models)
+    n_words = models.n_words
+    keep = list(keep)
+    in_schema = windows.select(*keep).schema
+    out_schema = T.StructType(list(in_schema.fields) + [
+        T.StructField("support", T.LongType(), False),
+        T.StructField("hits", T.ArrayType(T.LongType(), False), False)])
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            X = composition_matrix(batch.column(sub_col), residues)
+            pos = _positive(X, W_aug)
+            words = _to_words(pos, n_words)
+            hits = pa.ListArray.from_arrays(np.arange(0, (n + 1) * n_words, n_words, dtype=np.int32),
+                                            pa.array(words.reshape(-1), type=pa.int64()))
+            cols = [batch.column(c) for c in keep] + [pa.array(pos.sum(axis=1).astype(np.int64)), hits]
+            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
+                [batch.schema.field(c) for c in keep] +
+                [pa.field("support", pa.int64(), False), pa.field("hits", pa.list_(pa.field("element", pa.int64(), False)), False)]))
+
+    cols = keep + ([sub_col] if sub_col not in keep else [])
+    return windows.select(*cols).mapInArrow(run, out_schema)
+
+
+def nonempty_lists_windows(windows: DataFrame, models: LinearModels, residues: str, sub_col: str = "sub"):
+    """N over window text (composition computed in the kernel); early exit as in ``nonempty_lists``."""
+    W_aug = augmented(models)
+    m = len(models.list_ids)
+    n_words = models.n_words
+
+    def run(batches):
+        seen = np.zeros(m, dtype=bool)
+        for batch in batches:
+            if batch.num_rows:
+                seen |= _positive(composition_matrix(batch.column(sub_col), residues), W_aug).any(axis=0)
+                if seen.all():
+                    break
+        words = _to_words(seen.reshape(1, m), n_words)[0]
+        yield pa.RecordBatch.from_arrays([pa.array([words.tolist()], type=pa.list_(pa.int64()))], names=["hits"])
+
+    seen = windows.select(sub_col).mapInArrow(run, "hits array<bigint>")
+    aggs = [F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)]
+    total = sum((F.bit_count(F.col(f"w{j}")).cast("bigint") for j in range(n_words)), F.lit(0).cast("bigint"))
+    return seen.agg(*aggs).select(F.coalesce(total, F.lit(0).cast("bigint")).alias("n_lists")).scalar()
+
+
+def positive_counts_windows(windows: DataFrame, models: LinearModels, residues: str, sub_col: str = "sub") -> DataFrame:
+    """Per-model positive counts over window text, one pass (see ``positive_counts``)."""
+    W_aug = augmented(models)
+    ids = list(models.list_ids)
+
+    def run(batches):
+        acc = np.zeros(len(ids), dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                acc += _positive(composition_matrix(batch.column(sub_col), residues), W_aug).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), pa.array(acc, type=pa.int64())],
+                                         names=["list_id", "n"])
+
+    per_task = windows.select(sub_col).mapInArrow(run, "list_id string, n bigint")
+    return per_task.groupBy("list_id").agg(F.sum("n").alias("n_positive")).where(F.col("n_positive") > 0)

@@ -84,9 +84,9 @@ def _scored(spark, d):
 @query("score_all_models", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte()) +
        f"SELECT m.list_id, count(*) AS n_positive FROM features_big f, models m WHERE {O.margin_expr()} <= 0 GROUP BY m.list_id")
 def q_score_all(spark, d):
-    from motifspark.operators.predict import collect_models, positive_counts
+    from motifspark.operators.predict import collect_models, positive_counts_windows
     lm = collect_models(V.models_linear(spark), len(RESIDUES))
-    return positive_counts(flows.window_features(V.sequences(spark, d)), lm, composition_names())
+    return positive_counts_windows(V.windows(spark, d), lm, RESIDUES)
 
 
 _SCORED_SQL = _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte(),

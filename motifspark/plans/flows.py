@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from motifspark.operators.consensus import consensus, threshold_k
 from motifspark.operators.extract import extract_regions
 from motifspark.operators.features import composition_features, composition_names
-from motifspark.operators.predict import LinearModels, collect_models, nonempty_lists, score_support
+from motifspark.functions.text import RESIDUES
+from motifspark.operators.predict import (LinearModels, collect_models, nonempty_lists_windows,
+                                          score_windows)
 from motifspark.operators.regions import merge_regions
 from motifspark.operators.windows import sliding_windows
 from motifspark.plans.runplan import THRESHOLDS
@@ -23,16 +25,17 @@ def window_features(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int =
 
 def scored_windows(seqs: DataFrame, models: DataFrame | LinearModels, w: int = 15, step: int = 1,
                    min_len: int = 15):
-    """Windows of ``seqs`` with the composition features scored by every model.
+    """Windows of ``seqs`` scored by every model on their residue composition.
 
     Returns ``(scored, N, models)``: N (non-empty lists) is a lazy scalar.
-    Window names are unique when ``seq_id`` is unique (true for the lookup
-    table, S2), so per-name support needs no shuffle here.
+    Composition and scores are computed in one Arrow pass per batch, so only the
+    window text crosses to Python. Window names are unique when ``seq_id`` is
+    unique (true for the lookup table, S2), so per-name support needs no shuffle.
     """
-    feats = window_features(seqs, w, step, min_len)
-    lm = models if isinstance(models, LinearModels) else collect_models(models, len(composition_names()))
-    scored = score_support(feats, lm, composition_names(), keep=["NAME", "seq_id", "start"])
-    n = nonempty_lists(feats, lm, composition_names())
+    win = sliding_windows(seqs, w=w, step=step, min_len=min_len)
+    lm = models if isinstance(models, LinearModels) else collect_models(models, len(RESIDUES))
+    scored = score_windows(win.withColumnRenamed("name", "NAME"), lm, RESIDUES, keep=["NAME", "seq_id", "start"])
+    n = nonempty_lists_windows(win, lm, RESIDUES)
     return scored, n, lm
 
 

@@ -17,11 +17,17 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # one BLAS thread per Python worker: Spark already runs one worker per core
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
 }
 
 
 def get_spark(master: str | None = None, app: str = "motifspark",
               shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+    # local mode: Python workers inherit this process's environment
+    os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+    os.environ.setdefault("OMP_NUM_THREADS", "1")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
