@@ -243,8 +243,12 @@ def composition_matrix(arr, residues: str) -> np.ndarray:
 
 
 def score_windows(windows: DataFrame, models: LinearModels, residues: str, keep: list[str],
-                  sub_col: str = "sub") -> DataFrame:
-    """Composition features + all-model scores in one Arrow pass: ``keep + support + hits``."""
+                  sub_col: str = "sub", min_support: int = 0) -> DataFrame:
+    """Composition features + all-model scores in one Arrow pass: ``keep + support + hits``.
+
+    Rows with fewer than ``min_support`` positive votes are dropped inside the
+    kernel (they could never pass a vote threshold), so they never cross back.
+    """
     if len(residues) != models.W.shape[1]:
         raise ValueError("residue alphabet does not match model width")
     W_aug = augmented(models)
@@ -262,10 +266,18 @@ def score_windows(windows: DataFrame, models: LinearModels, residues: str, keep:
                 continue
             X = composition_matrix(batch.column(sub_col), residues)
             pos = _positive(X, W_aug)
+            support = pos.sum(axis=1).astype(np.int64)
+            if min_support > 0:
+                sel = np.nonzero(support >= min_support)[0]
+                if len(sel) == 0:
+                    continue
+                if len(sel) < n:
+                    batch = batch.take(pa.array(sel))
+                    pos, support, n = pos[sel], support[sel], len(sel)
             words = _to_words(pos, n_words)
             hits = pa.ListArray.from_arrays(np.arange(0, (n + 1) * n_words, n_words, dtype=np.int32),
                                             pa.array(words.reshape(-1), type=pa.int64()))
-            cols = [batch.column(c) for c in keep] + [pa.array(pos.sum(axis=1).astype(np.int64)), hits]
+            cols = [batch.column(c) for c in keep] + [pa.array(support), hits]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [batch.schema.field(c) for c in keep] +
                 [pa.field("support", pa.int64(), False), pa.field("hits", pa.list_(pa.field("element", pa.int64(), False)), False)]))
@@ -311,3 +323,25 @@ def positive_counts_windows(windows: DataFrame, models: LinearModels, residues:
 
     per_task = windows.select(sub_col).mapInArrow(run, "list_id string, n bigint")
     return per_task.groupBy("list_id").agg(F.sum("n").alias("n_positive")).where(F.col("n_positive") > 0)
+
+
+def probe_all_models_fire(windows: DataFrame, models: LinearModels, residues: str, rows: int = 200_000,
+                          sub_col: str = "sub") -> bool:
+    """Cheap exact shortcut for N: score the first ``rows`` windows; if every model
+    already predicts something positive there, N equals the model count."""
+    W_aug = augmented(models)
+    m = len(models.list_ids)
+
+    def run(batches):
+        seen = np.zeros(m, dtype=bool)
+        for batch in batches:
+            if batch.num_rows:
+                seen |= _positive(composition_matrix(batch.column(sub_col), residues), W_aug).any(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([int(seen.sum())], type=pa.int64()),
+                                          pa.array([seen.tobytes()], type=pa.binary())], names=["k", "mask"])
+
+    got = windows.select(sub_col).limit(rows).mapInArrow(run, "k bigint, mask binary").collect()
+    seen = np.zeros(m, dtype=bool)
+    for r in got:
+        seen |= np.frombuffer(r["mask"], dtype=bool)
+    return bool(seen.all())

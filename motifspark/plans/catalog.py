@@ -15,6 +15,7 @@ from motifspark.operators.features import composition_features, composition_name
 from motifspark.operators.regions import merge_regions, parse_fragments
 from motifspark.operators.windows import window_counts
 from motifspark.plans import flows
+from motifspark.plans.runplan import THRESHOLDS
 from motifspark.sources import oracle as O
 from motifspark.sources import views as V
 
@@ -77,8 +78,8 @@ def q_composition(spark, d):
 
 # ---------------------------------------------------------------- all-model scoring
 
-def _scored(spark, d):
-    return flows.scored_windows(V.sequences(spark, d), V.models_linear(spark))
+def _scored(spark, d, thresholds=None):
+    return flows.scored_windows(V.sequences(spark, d), V.models_linear(spark), thresholds=thresholds)
 
 
 @query("score_all_models", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte()) +
@@ -112,13 +113,13 @@ def _islands_sql(src: str, keys: str, w: int = 15, min_frags: int = 2) -> str:
 
 @query("consensus_scored", _SCORED_SQL + "SELECT pct, name, support FROM cons")
 def q_consensus_scored(spark, d):
-    scored, n, _ = _scored(spark, d)
+    scored, n, _ = _scored(spark, d, THRESHOLDS)
     return flows.consensus_windows(scored, n).select("pct", "name", "support")
 
 
 @query("regions_all", _SCORED_SQL + _islands_sql("cons", "pct"))
 def q_regions_all(spark, d):
-    scored, n, _ = _scored(spark, d)
+    scored, n, _ = _scored(spark, d, THRESHOLDS)
     return flows.consensus_regions(flows.consensus_windows(scored, n))
 
 
@@ -133,7 +134,7 @@ _WRAP_SQL = ("array_to_string(list_transform(range(0, length(r), 60), lambda i:
        "FROM (SELECT g.*, substr(s.seq, g.start, g.\"end\" - g.start + 1) AS r FROM regions g JOIN sequences s USING (seq_id) "
        "WHERE g.start >= 1 AND g.\"end\" <= length(s.seq) AND g.start <= g.\"end\") g")
 def q_region_fasta(spark, d):
-    scored, n, _ = _scored(spark, d)
+    scored, n, _ = _scored(spark, d, THRESHOLDS)
     regions = flows.consensus_regions(flows.consensus_windows(scored, n))
     return flows.region_fasta(regions, V.sequences(spark, d))
 

@@ -5,14 +5,17 @@ F5-F7 run for every threshold in one job: ``pct`` is a column, not a loop.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from motifspark.operators.consensus import consensus, threshold_k
 from motifspark.operators.extract import extract_regions
 from motifspark.operators.features import composition_features, composition_names
 from motifspark.functions.text import RESIDUES
+from motifspark.functions.ids import fragment_name
 from motifspark.operators.predict import (LinearModels, collect_models, nonempty_lists_windows,
-                                          score_windows)
+                                          probe_all_models_fire, score_windows)
 from motifspark.operators.regions import merge_regions
 from motifspark.operators.windows import sliding_windows
 from motifspark.plans.runplan import THRESHOLDS
@@ -24,18 +27,31 @@ def window_features(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int =
 
 
 def scored_windows(seqs: DataFrame, models: DataFrame | LinearModels, w: int = 15, step: int = 1,
-                   min_len: int = 15):
+                   min_len: int = 15, thresholds=None):
     """Windows of ``seqs`` scored by every model on their residue composition.
 
-    Returns ``(scored, N, models)``: N (non-empty lists) is a lazy scalar.
-    Composition and scores are computed in one Arrow pass per batch, so only the
-    window text crosses to Python. Window names are unique when ``seq_id`` is
-    unique (true for the lookup table, S2), so per-name support needs no shuffle.
+    Returns ``(scored, N, models)``; N = non-empty lists. A probe over the first
+    windows usually proves N = model count (exact: N cannot exceed it); then,
+    given ``thresholds``, windows below the lowest vote threshold are dropped
+    inside the scoring kernel. Otherwise N is a lazy scalar over all windows.
+    Composition and scores come from one Arrow pass, so only window text
+    crosses to Python. Window names are unique when ``seq_id`` is unique (true
+    for the lookup table, S2), so per-name support needs no shuffle.
     """
     win = sliding_windows(seqs, w=w, step=step, min_len=min_len)
     lm = models if isinstance(models, LinearModels) else collect_models(models, len(RESIDUES))
-    scored = score_windows(win.withColumnRenamed("name", "NAME"), lm, RESIDUES, keep=["NAME", "seq_id", "start"])
-    n = nonempty_lists_windows(win, lm, RESIDUES)
+    m = len(lm.list_ids)
+    probe = sliding_windows(seqs, w=w, step=step, min_len=min_len, spread=False)
+    min_support = 0
+    if probe_all_models_fire(probe, lm, RESIDUES):
+        n = F.lit(m).cast("bigint")
+        if thresholds:
+            min_support = max(1, math.ceil(min(thresholds) / 100.0 * m))
+    else:
+        n = nonempty_lists_windows(win, lm, RESIDUES)
+    scored = score_windows(win.select("seq_id", "start", "sub"), lm, RESIDUES, keep=["seq_id", "start"],
+                           min_support=min_support)
+    scored = scored.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", "support", "hits")
     return scored, n, lm
 
 
