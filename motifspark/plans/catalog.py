@@ -210,3 +210,228 @@ def q_parse(spark, d):
     w = V.windows(spark, d)
     seq_id, start = split_fragment_id(F.col("name"))
     return w.select("name", seq_id.alias("seq_id"), start.alias("start"), id_part("name").alias("id"))
+
+
+# ---------------------------------------------------------------- feature cleaning
+
+from motifspark.operators import features as FE  # noqa: E402
+from motifspark.operators import sampling as SA  # noqa: E402
+from motifspark.operators import controls as CO  # noqa: E402
+from motifspark.operators import scaling as SC  # noqa: E402
+from motifspark.operators import metrics as ME  # noqa: E402
+from motifspark.operators import importance as IM  # noqa: E402
+
+_F64 = [f"f{i}" for i in range(64)]
+_FB = [f"f_{a}" for a in RESIDUES]
+
+
+def _round_cols(df, cols):
+    s = set(cols)
+    return df.select(*[r6(F.col(c)).alias(c) if c in s else F.col(c) for c in df.columns])
+
+
+def _sql_round(cols, expr="{c}"):
+    return ", ".join(f"round({expr.format(c=c)}, 6) AS {c}" for c in cols)
+
+
+@query("fill_missing", _with(O.features_dirty_cte()) +
+       "SELECT NAME, " + _sql_round(_F64, "CASE WHEN {c} IS NULL OR isnan({c}) THEN 0.0 ELSE {c} END") + ", CLASS FROM features_dirty")
+def q_fill_missing(spark, d):
+    return _round_cols(FE.fill_missing(V.features_dirty(spark, d), _F64), _F64)
+
+
+@query("clean_features", _with(O.features_dirty_cte()) +
+       "SELECT NAME, " + _sql_round(_F64, "CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 ELSE {c} END") +
+       ", CLASS FROM features_dirty")
+def q_clean_features(spark, d):
+    return _round_cols(FE.clean_features(V.features_dirty(spark, d), _F64), _F64)
+
+
+@query("coerce_numeric", _with(O.features_text_cte()) +
+       "SELECT NAME, " + ", ".join(f"coalesce(TRY_CAST({c} AS DOUBLE), 0.0) AS {c}" for c in ("t0", "t1", "t2")) +
+       " FROM features_text")
+def q_coerce(spark, d):
+    return FE.coerce_numeric(V.features_text(spark, d), ["t0", "t1", "t2"])
+
+
+_DROP = [f"f{i}" for i in range(0, 64, 3)] + ["idr_name", "not_there"]
+_KEEP_AFTER_DROP = [c for c in _F64 if c not in _DROP]
+
+
+@query("drop_columns", _with(O.features_small_cte()) +
+       "SELECT NAME, " + _sql_round(_KEEP_AFTER_DROP) + " FROM features_small")
+def q_drop_columns(spark, d):
+    df = FE.drop_columns(V.features_small(spark, d), _DROP + ["CLASS"])
+    return _round_cols(df, _KEEP_AFTER_DROP)
+
+
+_SET = ["f5", "f17", "f42", "f63"]
+
+
+@query("project_feature_set", _with(O.features_small_cte()) + "SELECT NAME, " + _sql_round(_SET) + " FROM features_small")
+def q_project(spark, d):
+    return _round_cols(FE.project_feature_set(V.features_small(spark, d), _SET), _SET)
+
+
+@query("labelled_matrix", _with(O.features_dirty_cte()) +
+       "SELECT NAME, [" + ", ".join(f"round(CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 ELSE {c} END, 6)" for c in _F64) +
+       "] AS features, CLASS AS label FROM features_dirty")
+def q_labelled(spark, d):
+    df = FE.clean_features(V.features_dirty(spark, d), _F64)
+    m = FE.assemble(df, _F64, "CLASS", expected=64, as_vector=False)
+    return m.select("NAME", F.transform("features", lambda x: F.round(x, 6)).alias("features"), "label")
+
+
+@query("id_part", _with(O.features_small_cte()) + "SELECT NAME, split_part(NAME, ':', 1) AS id FROM features_small")
+def q_id_part(spark, d):
+    return V.features_small(spark, d).select("NAME", id_part("NAME").alias("id"))
+
+
+@query("class_counts", _with(O.features_small_cte()) + "SELECT CLASS, count(*) AS n FROM features_small GROUP BY CLASS")
+def q_class_counts(spark, d):
+    return SA.class_counts(V.features_small(spark, d))
+
+
+# ---------------------------------------------------------------- controls and sampling
+
+_REF = _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.id_list_cte(), O.benchmark_windows_cte())
+
+
+@query("control_by_ids", _REF + "SELECT NAME, " + _sql_round(_FB) +
+       " FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list)")
+def q_control_by_ids(spark, d):
+    return _round_cols(CO.control_by_ids(V.reference_features(spark, d), V.id_list(spark, d)), _FB)
+
+
+@query("control_exclude", _REF + "SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) NOT IN (SELECT id FROM id_list)")
+def q_control_exclude(spark, d):
+    return CO.control_exclude(V.reference_features(spark, d), V.id_list(spark, d)).select("NAME")
+
+
+@query("sample_n", _REF + "SELECT NAME, " + _sql_round(_FB) + " FROM features_big WHERE split_part(NAME, ':', 1) NOT IN "
+       "(SELECT id FROM id_list) ORDER BY md5('42:' || NAME), NAME LIMIT 2000")
+def q_sample_n(spark, d):
+    return _round_cols(CO.random_controls(V.reference_features(spark, d), 2000, 42, V.id_list(spark, d)), _FB)
+
+
+@query("short_buckets", _REF + ", npos AS (SELECT count(*) AS n FROM pos_windows), "
+       "pool AS (SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) NOT IN (SELECT id FROM id_list)), "
+       "mults AS (SELECT unnest([1, 2, 5, 10]) AS mult) "
+       "SELECT mult, NAME FROM (SELECT mult, NAME, row_number() OVER (PARTITION BY mult ORDER BY "
+       "md5(CAST(7 + mult AS VARCHAR) || ':' || NAME), NAME) AS rn FROM pool, mults) t, npos WHERE rn <= mult * npos.n")
+def q_short_buckets(spark, d):
+    n_pos = V.positive_features(spark, d).count()
+    pool = CO.control_exclude(V.reference_features(spark, d), V.id_list(spark, d)).select("NAME")
+    return SA.bucket_samples(pool, n_pos, (1, 2, 5, 10), seed=7).select("mult", "NAME")
+
+
+@query("stratified_split", _with(O.features_small_cte()) +
+       ", sizes AS (SELECT CLASS, count(*) AS n FROM features_small GROUP BY CLASS) "
+       "SELECT f.NAME, f.CLASS, (row_number() OVER (PARTITION BY f.CLASS ORDER BY md5('3:' || f.NAME), f.NAME) "
+       "<= round(0.2 * s.n)) AS is_test FROM features_small f JOIN sizes s USING (CLASS)")
+def q_split(spark, d):
+    return SA.stratified_split(V.features_small(spark, d).select("NAME", "CLASS"), seed=3)
+
+
+@query("label_union", _REF + ", pos AS (SELECT name AS NAME, " + ", ".join(O.composition_exprs()) + " FROM pos_windows) "
+       "SELECT NAME, " + _sql_round(_FB) + ", 0 AS CLASS FROM pos UNION ALL SELECT NAME, " + _sql_round(_FB) +
+       ", 1 AS CLASS FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list)")
+def q_label_union(spark, d):
+    u = CO.label_union(V.positive_features(spark, d), CO.control_by_ids(V.reference_features(spark, d), V.id_list(spark, d)))
+    return _round_cols(u, _FB)
+
+
+@query("training_tables", _REF + ", npos AS (SELECT count(*) AS n FROM pos_windows), "
+       "ptm AS (SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list)), "
+       "rnd AS (SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) NOT IN (SELECT id FROM id_list)), "
+       "mults AS (SELECT unnest([1, 2, 5, 10]) AS mult), "
+       "pools AS (SELECT 'PTM' AS tag, NAME FROM ptm UNION ALL SELECT 'Random' AS tag, NAME FROM rnd), "
+       "ctrl AS (SELECT tag, mult, NAME FROM (SELECT tag, mult, NAME, row_number() OVER (PARTITION BY tag, mult ORDER BY "
+       "md5(CAST(11 + mult AS VARCHAR) || ':' || NAME), NAME) AS rn FROM pools, mults) t, npos WHERE rn <= mult * npos.n) "
+       "SELECT tag, mult, NAME, 1 AS CLASS FROM ctrl UNION ALL "
+       "SELECT tag, mult, name AS NAME, 0 AS CLASS FROM pos_windows, (SELECT DISTINCT tag FROM pools) t2, mults")
+def q_training_tables(spark, d):
+    pos = V.positive_features(spark, d).select("NAME")
+    n_pos = pos.count()
+    ref = V.reference_features(spark, d).select("NAME")
+    ids = V.id_list(spark, d)
+    pools = {"PTM": CO.control_by_ids(ref, ids), "Random": CO.control_exclude(ref, ids)}
+    return CO.training_tables(pos, pools, n_pos, (1, 2, 5, 10), seed=11).select("tag", "mult", "NAME", "CLASS")
+
+
+# ---------------------------------------------------------------- scaling
+
+@query("standard_scale", _with(O.features_small_cte()) + ", st AS (SELECT " +
+       ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _F64) + " FROM features_small) SELECT NAME, " +
+       _sql_round(_F64, "CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END") + ", CLASS FROM features_small, st")
+def q_standard(spark, d):
+    return _round_cols(SC.standard_scale(V.features_small(spark, d), _F64), _F64)
+
+
+@query("minmax_scale", _with(O.features_small_cte()) + ", st AS (SELECT " +
+       ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _F64) + " FROM features_small) SELECT NAME, " +
+       _sql_round(_F64, "CASE WHEN hi_{c} = lo_{c} THEN 0.0 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END") +
+       ", CLASS FROM features_small, st")
+def q_minmax(spark, d):
+    return _round_cols(SC.minmax_scale(V.features_small(spark, d), _F64), _F64)
+
+
+# ---------------------------------------------------------------- metrics and best candidate
+
+_MET_SQL = _with(O.candidates_cte(),
+                 "cm AS (SELECT cand, grid_ord, sum(CASE WHEN y_true = 1 AND y_pred = 1 THEN 1 ELSE 0 END) AS tp, "
+                 "sum(CASE WHEN y_true <> 1 AND y_pred = 1 THEN 1 ELSE 0 END) AS fp, "
+                 "sum(CASE WHEN y_true = 1 AND y_pred <> 1 THEN 1 ELSE 0 END) AS fn, "
+                 "sum(CASE WHEN y_true <> 1 AND y_pred <> 1 THEN 1 ELSE 0 END) AS tn FROM candidates GROUP BY cand, grid_ord)",
+                 "met AS (SELECT cand, grid_ord, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
+                 "CAST(tn AS BIGINT) AS tn, "
+                 "CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / CAST(tp + fp AS DOUBLE) END AS precision, "
+                 "CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / CAST(tp + fn AS DOUBLE) END AS recall, "
+                 "CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1, "
+                 "CASE WHEN 1.25 * tp + 0.25 * fn + fp = 0 THEN 0.0 ELSE 1.25 * tp / CAST(1.25 * tp + 0.25 * fn + fp AS DOUBLE) END AS fbeta "
+                 "FROM cm)")
+
+
+@query("classification_metrics", _MET_SQL + "SELECT cand, tp, fp, fn, tn, round(precision, 6) AS precision, "
+       "round(recall, 6) AS recall, round(f1, 6) AS f1, round(fbeta, 6) AS fbeta FROM met")
+def q_metrics(spark, d):
+    m = ME.classification_metrics(V.candidates(spark, d), ("cand",))
+    return _round_cols(m, ["precision", "recall", "f1", "fbeta"])
+
+
+@query("best_params", _MET_SQL + "SELECT crit, best, round(score, 6) AS score FROM ("
+       "SELECT 'f1' AS crit, arg_max(cand, (f1, -grid_ord)) AS best, max(f1) AS score FROM met UNION ALL "
+       "SELECT 'max_recall', arg_max(cand, (recall, -grid_ord)), max(recall) FROM met UNION ALL "
+       "SELECT 'fbeta', arg_max(cand, (fbeta, -grid_ord)), max(fbeta) FROM met)")
+def q_best(spark, d):
+    m = ME.classification_metrics(V.candidates(spark, d), ("cand", "grid_ord"))
+    return _round_cols(ME.best_candidates(m), ["score"])
+
+
+# ---------------------------------------------------------------- importance selection
+
+_IMP = _with(O.features_small_cte(), O.importance_cte(),
+             "cum AS (SELECT feature, importance, sum(importance) OVER (ORDER BY importance DESC, feature ROWS UNBOUNDED PRECEDING) "
+             "/ CASE WHEN sum(importance) OVER () = 0 THEN 1.0 ELSE sum(importance) OVER () END AS cum_fraction, "
+             "row_number() OVER (ORDER BY importance DESC, feature) AS pos FROM importance)",
+             "sel AS (SELECT t.set_name, t.threshold, c.pos, c.feature FROM (SELECT *, coalesce(lag(cum_fraction) OVER (ORDER BY pos), 0.0) "
+             "AS prev FROM cum) c, (SELECT 'cum90' AS set_name, 0.9 AS threshold UNION ALL SELECT 'cum95', 0.95) t "
+             "WHERE c.prev <= t.threshold OR c.pos = 1)")
+
+
+@query("cum_importance", _IMP + "SELECT feature, round(importance, 6) AS importance, round(cum_fraction, 6) AS cum_fraction, pos FROM cum")
+def q_cum(spark, d):
+    return _round_cols(IM.cum_importance(V.importance(spark, d)), ["importance", "cum_fraction"])
+
+
+@query("feature_select", _IMP + "SELECT set_name, CAST(threshold AS DOUBLE) AS threshold, pos, feature FROM sel")
+def q_feature_select(spark, d):
+    return IM.feature_select(IM.cum_importance(V.importance(spark, d)), (0.90, 0.95))
+
+
+@query("derive_drop_list", _IMP + "SELECT t.set_name, i.feature FROM importance i, (SELECT DISTINCT set_name FROM sel) t "
+       "WHERE NOT EXISTS (SELECT 1 FROM sel s WHERE s.set_name = t.set_name AND s.feature = i.feature)")
+def q_drop_list(spark, d):
+    imp = V.importance(spark, d)
+    sel = IM.feature_select(IM.cum_importance(imp), (0.90, 0.95))
+    return IM.derive_drop_list(imp, sel, (0.90, 0.95))

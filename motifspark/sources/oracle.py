@@ -76,3 +76,30 @@ def votes_wide_cte() -> str:
 
 def id_list_cte() -> str:
     return "id_list AS (SELECT 'D' || CAST(doc_id AS VARCHAR) AS id FROM labels WHERE quality = 0)"
+
+
+def benchmark_windows_cte(prefix: str = "B", w: int = 15) -> str:
+    return (f"bseq AS (SELECT '{prefix}' || CAST(item_id AS VARCHAR) AS seq_id, "
+            f"upper(regexp_replace(text, '{NOT_RES}', '', 'g')) AS seq FROM benchmark),\n"
+            f"pos_windows AS (SELECT seq_id || ':' || CAST(st AS VARCHAR) AS name, seq_id, CAST(st AS INTEGER) AS start, "
+            f"substr(seq, st, {w}) AS sub FROM (SELECT seq_id, seq, unnest(range(1, length(seq) - {w} + 2)) AS st "
+            f"FROM bseq WHERE length(seq) >= {w}))")
+
+
+def features_text_cte() -> str:
+    return ("features_text AS (SELECT 'E' || CAST(vec_id AS VARCHAR) AS NAME, CAST(vec_id AS VARCHAR) AS t0, "
+            "CASE vec_id % 4 WHEN 0 THEN 'n/a' WHEN 1 THEN '' ELSE CAST(label AS VARCHAR) END AS t1, "
+            "CASE WHEN vec_id % 4 = 2 THEN 'x' ELSE CAST(vec_id * 3 - 7 AS VARCHAR) END AS t2 FROM embeddings)")
+
+
+def importance_cte() -> str:
+    parts = [f"SELECT 'f{i}' AS feature, round(abs(avg(CASE WHEN CLASS = 0 THEN f{i} END) - "
+             f"avg(CASE WHEN CLASS = 1 THEN f{i} END)), 9) AS importance FROM features_small" for i in range(64)]
+    return "importance AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def candidates_cte() -> str:
+    u = h("CAST(least(g, 5) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)") + " / 4294967296.0"
+    return ("candidates AS (SELECT 'c' || CAST(g AS VARCHAR) AS cand, CAST(g AS INTEGER) AS grid_ord, "
+            f"CAST(quality AS INTEGER) AS y_true, CASE WHEN {u} < CAST(least(g, 5) AS DOUBLE) / 5.0 THEN 1 ELSE 0 END AS y_pred "
+            "FROM labels, (SELECT unnest(range(0, 7)) AS g) WHERE quality IS NOT NULL)")

@@ -144,3 +144,20 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("grid_ord").cast("int").alias("grid_ord"),
                     F.col("quality").cast("int").alias("y_true"),
                     F.when(u < g / F.lit(5.0), 1).otherwise(0).alias("y_pred"))
+
+
+def benchmark_sequences(spark: SparkSession, sf_dir: str, prefix: str = "B") -> DataFrame:
+    """Known fragments ("positives"): benchmark passages, residues only."""
+    b = table(spark, sf_dir, "benchmark")
+    return b.select(F.concat(F.lit(prefix), F.col("item_id").cast("string")).alias("seq_id"),
+                    clean_residues("text").alias("seq"), F.lit("benchmark").alias("source"))
+
+
+def positive_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motifspark.operators.features import composition_features
+    return composition_features(sliding_windows(benchmark_sequences(spark, sf_dir)))
+
+
+def reference_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motifspark.operators.features import composition_features
+    return composition_features(windows(spark, sf_dir))
