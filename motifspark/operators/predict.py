@@ -190,7 +190,7 @@ def prediction_pairs(scored: DataFrame, models: LinearModels, name_col: str = "N
     m = len(models.list_ids)
     j = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j")
     x = scored.select(F.col(name_col).alias("name"), "hits", j)
-    bit = F.shiftrightunsigned(F.col("hits")[(F.col("j") / 64).cast("int")], (F.col("j") % 64).cast("int")) % 2
+    bit = F.expr("shiftrightunsigned(hits[CAST(j DIV 64 AS INT)], CAST(j % 64 AS INT)) & 1")
     return x.where(bit != 0).select(F.element_at(ids, F.col("j") + 1).alias("list_id"), "name")
 
 

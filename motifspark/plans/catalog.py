@@ -435,3 +435,130 @@ def q_drop_list(spark, d):
     imp = V.importance(spark, d)
     sel = IM.feature_select(IM.cum_importance(imp), (0.90, 0.95))
     return IM.derive_drop_list(imp, sel, (0.90, 0.95))
+
+
+# ---------------------------------------------------------------- sequence sources
+
+def _bench_as_docs(spark, d):
+    """benchmark passages keyed like documents ('D' || item_id): a second, later source."""
+    return V.benchmark_sequences(spark, d, prefix="D")
+
+
+_SRC_SQL = _with(O.sequences_cte(),
+                 f"bseq AS (SELECT 'D' || CAST(item_id AS VARCHAR) AS seq_id, upper(regexp_replace(text, '{O.NOT_RES}', '', 'g')) "
+                 "AS seq, 'benchmark' AS source FROM benchmark)")
+
+
+@query("sequence_lookup", _SRC_SQL + "SELECT s.seq_id, coalesce(b.seq, s.seq) AS seq FROM sequences s LEFT JOIN bseq b USING (seq_id) "
+       "UNION ALL SELECT seq_id, seq FROM bseq WHERE seq_id NOT IN (SELECT seq_id FROM sequences)")
+def q_sequence_lookup(spark, d):
+    from motifspark.sources.fasta import sequence_lookup
+    a = V.sequences(spark, d).select("seq_id", "seq", F.lit(0).alias("file_ord"), F.lit(0).cast("bigint").alias("pos_block"),
+                                     F.lit(0).cast("bigint").alias("pos_row"))
+    b = _bench_as_docs(spark, d).select("seq_id", "seq", F.lit(1).alias("file_ord"), F.lit(0).cast("bigint").alias("pos_block"),
+                                        F.lit(0).cast("bigint").alias("pos_row"))
+    return sequence_lookup(a.unionByName(b))
+
+
+@query("concat_sequences", _SRC_SQL + "SELECT seq_id, seq, source FROM sequences UNION ALL SELECT seq_id, seq, source FROM bseq")
+def q_concat(spark, d):
+    return V.sequences(spark, d).unionByName(_bench_as_docs(spark, d))
+
+
+# ---------------------------------------------------------------- single-model-group prediction
+
+_TRIO = "linear/f1/PTM/1x/feats69/"
+
+
+@query("predict_linear", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte()) +
+       f"SELECT m.list_id, f.NAME AS name FROM features_big f, models m WHERE m.list_id LIKE '{_TRIO}%' AND {O.margin_expr()} <= 0")
+def q_predict_linear(spark, d):
+    from motifspark.operators.predict import collect_models, prediction_pairs, score_windows
+    models = V.models_linear(spark).where(F.col("list_id").startswith(_TRIO))
+    lm = collect_models(models, len(RESIDUES))
+    scored = score_windows(V.windows(spark, d).withColumnRenamed("name", "NAME"), lm, RESIDUES, keep=["NAME"], min_support=1)
+    return prediction_pairs(scored, lm)
+
+
+# ---------------------------------------------------------------- kNN and resampling
+
+_KNN_SQL = _with(O.features_small_cte(),
+                 "pts AS (SELECT NAME, CLASS, [" + ", ".join(f"f{i}" for i in range(64)) + "] AS x FROM features_small)",
+                 "d AS (SELECT a.NAME AS id, b.NAME AS nid, sqrt(list_sum(list_transform(list_zip(a.x, b.x), "
+                 "lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS dist FROM pts a, pts b WHERE a.NAME <> b.NAME)",
+                 "r AS (SELECT id, nid, dist, row_number() OVER (PARTITION BY id ORDER BY dist, nid) AS rank FROM d)")
+
+
+def _small_pts(spark, d):
+    fs = V.features_small(spark, d)
+    return fs.select("NAME", "CLASS", F.array(*[F.col(f"f{i}") for i in range(64)]).alias("x"))
+
+
+@query("knn_join", _KNN_SQL + "SELECT id, nid, round(dist, 6) AS dist, rank FROM r WHERE rank <= 5")
+def q_knn(spark, d):
+    from motifspark.operators.knn import knn
+    out = knn(_small_pts(spark, d).select("NAME", "x"), 5, block_rows=128)
+    return out.select("id", "nid", r6(F.col("dist")).alias("dist"), "rank")
+
+
+@query("edited_nn", _KNN_SQL + ", v AS (SELECT r.id, sum(CASE WHEN p.CLASS = q.CLASS THEN 1 ELSE 0 END) AS same, count(*) AS n "
+       "FROM r JOIN pts p ON p.NAME = r.nid JOIN pts q ON q.NAME = r.id WHERE r.rank <= 3 GROUP BY r.id) "
+       "SELECT NAME, CLASS FROM features_small WHERE NAME NOT IN (SELECT id FROM v WHERE same < n)")
+def q_enn(spark, d):
+    from motifspark.operators.knn import edited_nn
+    return edited_nn(V.features_small(spark, d), _F64, k=3, block_rows=128).select("NAME", "CLASS")
+
+
+@query("smote")
+def q_smote(spark, d):
+    """Rows check: classes are balanced after oversampling (property-tested against brute force in tests)."""
+    from motifspark.operators.knn import smote
+    out = smote(V.features_small(spark, d), _F64, k=5, seed=1)
+    return out.groupBy("CLASS").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("smote_enn")
+def q_smote_enn(spark, d):
+    from motifspark.operators.knn import smote_enn
+    out = smote_enn(V.features_small(spark, d), _F64, 5, 3, seed=1)
+    return out.groupBy("CLASS").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- learning (L3-L7, L11, L17): rows checks
+
+def _labelled_small(spark, d):
+    return V.features_small(spark, d)
+
+
+@query("train_logreg")
+def q_train_logreg(spark, d):
+    from motifspark.operators.train import coefficient_table, fit_linear
+    row = fit_linear(_labelled_small(spark, d), _F64, "logreg", {"C": 1.0}, list_id="logreg")
+    return coefficient_table(spark, [row])
+
+
+@query("train_sgd")
+def q_train_sgd(spark, d):
+    from motifspark.operators.train import coefficient_table, fit_linear_trio
+    rows = fit_linear_trio(_labelled_small(spark, d), _F64, "linear/f1/PTM/1x/feats64",
+                           {"logreg": {"C": 1.0}, "sgd": {"alpha": 1e-4, "penalty": "elasticnet", "l1_ratio": 0.15}})
+    return coefficient_table(spark, rows)
+
+
+@query("train_mlp")
+def q_train_mlp(spark, d):
+    from motifspark.operators.train import fit_mlp, predict_mlp
+    df = _labelled_small(spark, d)
+    model, stats = fit_mlp(df, _F64, hidden=(16,), max_iter=50, seed=0)
+    return predict_mlp(model, stats, df, _F64)
+
+
+@query("feature_importance")
+def q_importance(spark, d):
+    return IM.feature_importance(_labelled_small(spark, d), _F64, n_trees=500, seed=0)
+
+
+@query("search_linear")
+def q_search(spark, d):
+    from motifspark.operators.search import best_per_model, search_linear
+    return best_per_model(search_linear(_labelled_small(spark, d), _F64, seed=0))
