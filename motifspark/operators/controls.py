@@ -50,8 +50,16 @@ def control_exclude(features: DataFrame, *exclude: DataFrame, name_col: str = "N
 
 
 def random_controls(features: DataFrame, n: int, seed, *exclude: DataFrame, name_col: str = "NAME") -> DataFrame:
-    """F2 (random pool): anti join then exact-n seeded sample."""
-    return sample_n(control_exclude(features, *exclude, name_col=name_col), n, seed, name_col)
+    """F2 (random pool): anti join then exact-n seeded sample.
+
+    The draw runs on the narrow name column only (names are unique row keys);
+    the chosen names (n rows, checked) then select their full rows by a semi
+    join, which Catalyst pushes below the feature projection, so features are
+    computed only for the sample.
+    """
+    pool = control_exclude(features, *exclude, name_col=name_col)
+    chosen = sample_n(pool.select(name_col), n, seed, name_col)
+    return pool.join(checked_broadcast(chosen, max(int(n), 1)), name_col, "left_semi")
 
 
 def label_union(positives: DataFrame, controls: DataFrame, label_col: str = "CLASS") -> DataFrame:

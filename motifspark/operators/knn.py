@@ -97,7 +97,7 @@ def smote(df: DataFrame, feature_cols: list[str], k: int = 5, seed: int = 0, lab
     if kk <= 0:
         raise ValueError("SMOTE needs at least 2 minority rows")
     base, extra = divmod(need, n_min)
-    plus = first_n_by_key(with_order_key(mins.select("NAME"), f"{seed}:extra"), extra, "NAME") \
+    plus = first_n_by_key(with_order_key(mins.select("NAME"), f"{seed}:extra"), extra, f"{seed}:extra", "NAME") \
         .withColumn("plus", F.lit(1)) if extra else None
     m = mins.join(plus, "NAME", "left") if plus is not None else mins.withColumn("plus", F.lit(None).cast("int"))
     m = m.withColumn("c", F.lit(base) + F.coalesce(F.col("plus"), F.lit(0))).where(F.col("c") > 0)

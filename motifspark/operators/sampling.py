@@ -27,26 +27,33 @@ class NotEnoughRows(ValueError):
     pass
 
 
-def with_order_key(df: DataFrame, seed, key_col: str = "NAME") -> DataFrame:
-    k = seeded_key(seed, F.col(key_col))
-    return df.withColumn("_k", k).withColumn("_h", hex8_int(F.col("_k")))
+def order_prefix(seed, key_col: str = "NAME"):
+    """First 32 bits of ``md5('<seed>:<key>')`` as a BIGINT (orders like the hex key)."""
+    return hex8_int(seeded_key(seed, F.col(key_col)))
 
 
-def first_n_by_key(df: DataFrame, n: int, key_col: str = "NAME", final_rows: int = FINAL_ROWS,
-                   persist: bool = True) -> DataFrame:
-    """Exact first ``n`` rows of ``df`` (which has ``_k`` hex and ``_h`` int keys) by (_k, key_col)."""
+def with_order_key(df: DataFrame, seed, key_col: str = "NAME", hcol: str = "_h") -> DataFrame:
+    return df.withColumn(hcol, order_prefix(seed, key_col))
+
+
+def first_n_by_key(df: DataFrame, n: int, seed, key_col: str = "NAME", hcol: str = "_h",
+                   final_rows: int = FINAL_ROWS, persist: bool = True) -> DataFrame:
+    """Exact first ``n`` rows of ``df`` by ``(md5('<seed>:<key>'), key)``; ``hcol`` holds the 32-bit prefix.
+
+    Only the prefix is kept per row; the full hex key is computed for the last
+    (at most ``final_rows``) candidates only.
+    """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    lo, width, before = 0, 1 << 32, 0
-    need = n
+    h = F.col(hcol)
+    lo, width, need = 0, 1 << 32, n
+    known = None                                   # row count of [lo, lo + width) when already known
     first = True
-    while True:
-        rng = df.where((F.col("_h") >= lo) & (F.col("_h") < lo + width))
-        if width <= 1:
-            break
+    while width > 1 and (known is None or known > final_rows):
         shift = max(0, width.bit_length() - 1 - BUCKET_BITS)
-        hist = rng.groupBy(F.shiftright(F.col("_h") - F.lit(lo), shift).alias("b")).count().collect()
-        counts = sorted((r["b"], r["count"]) for r in hist)
+        rng = df.where((h >= lo) & (h < lo + width))
+        counts = sorted((r["b"], r["count"]) for r in
+                        rng.groupBy(F.shiftright(h - F.lit(lo), shift).alias("b")).count().collect())
         total = sum(c for _, c in counts)
         if first and total < n:
             raise NotEnoughRows(f"requested {n} rows, only {total} available")
@@ -56,28 +63,38 @@ def first_n_by_key(df: DataFrame, n: int, key_col: str = "NAME", final_rows: int
         cum = 0
         for b, c in counts:
             if cum + c >= need:
-                lo, width = lo + (b << shift), 1 << shift
+                lo, width, known = lo + (b << shift), 1 << shift, c
                 need -= cum
-                before += cum
                 break
             cum += c
-    head = df.where(F.col("_h") < lo)
-    tail = df.where((F.col("_h") >= lo) & (F.col("_h") < lo + width)).orderBy("_k", key_col).limit(need)
-    return head.unionByName(tail).drop("_k", "_h")
+    if first:
+        total = df.count()
+        if total < n:
+            raise NotEnoughRows(f"requested {n} rows, only {total} available")
+    head = df.where(h < lo)
+    tail = df.where((h >= lo) & (h < lo + width)).withColumn("_k", seeded_key(seed, F.col(key_col))) \
+             .orderBy("_k", key_col).limit(need).drop("_k")
+    return head.unionByName(tail).drop(hcol)
 
 
 def sample_n(df: DataFrame, n: int, seed, key_col: str = "NAME", persist: bool = True) -> DataFrame:
     """Exactly n rows without replacement, seeded; error if fewer are available."""
-    return first_n_by_key(with_order_key(df, seed, key_col), n, key_col, persist=persist)
+    return first_n_by_key(with_order_key(df, seed, key_col), n, seed, key_col, persist=persist)
 
 
 def bucket_samples(pool: DataFrame, n_pos: int, mults=(1, 2, 5, 10), seed=0, key_col: str = "NAME") -> DataFrame:
-    """For each multiple m an independent draw of m * n_pos rows with seed + m -> ``(mult, *pool)``."""
-    pool = pool.persist(StorageLevel.MEMORY_AND_DISK)
+    """For each multiple m an independent draw of m * n_pos rows with seed + m -> ``(mult, *pool)``.
+
+    All order prefixes are computed in one pass and cached with the pool.
+    """
+    cols = pool.columns
+    keyed = pool.select(*cols, *[order_prefix(int(seed) + int(m), key_col).alias(f"_h{m}") for m in mults]) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     for m in mults:
-        part = sample_n(pool, int(m) * int(n_pos), int(seed) + int(m), key_col, persist=False) \
-            .select(F.lit(int(m)).alias("mult"), *pool.columns)
+        part = first_n_by_key(keyed.select(*cols, F.col(f"_h{m}").alias("_h")), int(m) * int(n_pos),
+                              int(seed) + int(m), key_col, persist=False) \
+            .select(F.lit(int(m)).alias("mult"), *cols)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -102,7 +119,8 @@ def stratified_split(df: DataFrame, seed, test_frac: float = 0.2, label_col: str
         k = int(round(test_frac * n))
         if k <= 0:
             continue
-        part = first_n_by_key(keyed.where(F.col(label_col) == F.lit(cls)), k, key_col).select(key_col, label_col)
+        part = first_n_by_key(keyed.where(F.col(label_col) == F.lit(cls)), k, seed, key_col, persist=False) \
+            .select(key_col, label_col)
         test = part if test is None else test.unionByName(part)
     if test is None:
         return base.withColumn("is_test", F.lit(False))

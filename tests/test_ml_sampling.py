@@ -23,7 +23,7 @@ def test_sample_n_matches_brute_force_and_is_partition_free(spark):
     b = {r["NAME"] for r in sample_n(df.repartition(13), 777, 9).collect()}
     assert a == want == b
     # force the histogram refinement path
-    c = {r["NAME"] for r in first_n_by_key(with_order_key(df, 9), 777, final_rows=50).collect()}
+    c = {r["NAME"] for r in first_n_by_key(with_order_key(df, 9), 777, 9, final_rows=50).collect()}
     assert c == want
     with pytest.raises(NotEnoughRows):
         sample_n(df, 5001, 9).collect()
