@@ -562,3 +562,13 @@ def q_importance(spark, d):
 def q_search(spark, d):
     from motifspark.operators.search import best_per_model, search_linear
     return best_per_model(search_linear(_labelled_small(spark, d), _F64, seed=0))
+
+
+@query("pipeline")
+def q_pipeline(spark, d):
+    """F8 end to end on the test tables: benchmark passages are the known fragments, documents the reference,
+    labels.quality = 0 the ID list; default settings except a single tag and multiple (3 x 2 linear models)."""
+    from motifspark.plans.pipeline import PipelineConfig, run
+    cfg = PipelineConfig(tags=("PTM",), mults=(1,))
+    out = run(spark, cfg, V.benchmark_sequences(spark, d), V.sequences(spark, d), V.id_list(spark, d))
+    return out["fasta"].select("pct", "seq_id", "start", "end", "n_frags", "record")
