@@ -125,3 +125,14 @@ def test_run_plan_and_cache(spark):
     assert pending(plan, cache, redo=True).count() == 144
     with pytest.raises(Exception):
         lookup(plan, cache).collect()
+
+
+def test_searches_small_grids(spark):
+    from motifspark.operators.search import linear_grid, mlp_grid, search_linear, search_mlp, search_resampled
+    df, _ = _pts(spark, 120)
+    lin = search_linear(df, ["a", "b"], seed=1, grid=linear_grid()[:2]).collect()
+    assert len(lin) == 2 and all(r["recall"] >= 0.9 for r in lin)
+    mlp = search_mlp(df, ["a", "b"], seed=1, grid=[dict(mlp_grid()[0], hidden=[4])], max_iter=50).collect()
+    assert len(mlp) == 1
+    res = search_resampled(df, ["a", "b"], seed=1, ks=((3, 3),), grid=linear_grid()[:1]).collect()
+    assert len(res) == 1 and res[0]["k_smote"] == 3
