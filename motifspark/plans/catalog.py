@@ -564,7 +564,7 @@ def q_search(spark, d):
     return best_per_model(search_linear(_labelled_small(spark, d), _F64, seed=0))
 
 
-@query("pipeline")
+@query("fragment_pipeline")
 def q_pipeline(spark, d):
     """F8 end to end on the test tables: benchmark passages are the known fragments, documents the reference,
     labels.quality = 0 the ID list; default settings except a single tag and multiple (3 x 2 linear models)."""
