@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton
+from motifspark.llm import bpe_automaton, line_chunks, mixing, simhash
 from motifspark.llm.common import table
 
 
@@ -16,12 +17,33 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decisions, _ = mixing.mix(table(spark, sf_dir, "documents"))
+    return decisions.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"line_dedup.{c}" for c in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")],
+                        F.sha2(F.coalesce("line_dedup.kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(),
                                           keep=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pareto_mix": op4_pareto_mix,
+    "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
+    "op8_line_chunks": op8_line_chunks,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_pareto_mix": mixing.ORACLE_SQL,
+    "op8_line_chunks": line_chunks.ORACLE_SQL,
+}
