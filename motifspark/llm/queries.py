@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, line_chunks, mixing, simhash
+from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, simhash
 from motifspark.llm.common import table
 
 
@@ -17,6 +17,12 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).select("doc_id", *[f"quality_rules.{c}" for c in (*quality_rules.COUNTS[:5], "base_failed", "rule", "kept")])
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return decisions.select("doc_id", "size", "source_size", "target", "taken")
@@ -38,6 +44,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_pareto_mix": op4_pareto_mix,
     "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
     "op8_line_chunks": op8_line_chunks,
