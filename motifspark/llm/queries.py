@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, simhash
+from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, secrets_scan, simhash
 from motifspark.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules).select("doc_id", *[f"quality_rules.{c}" for c in (*quality_rules.COUNTS[:5], "base_failed", "rule", "kept")])
 
 
+def op3_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return decisions.select("doc_id", "size", "source_size", "target", "taken")
@@ -45,12 +49,14 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_linked_secrets": op3_linked_secrets,
     "op4_pareto_mix": op4_pareto_mix,
     "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
     "op8_line_chunks": op8_line_chunks,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 ORACLE: dict[str, str] = {
+    "op3_linked_secrets": secrets_scan.oracle_sql(),
     "op4_pareto_mix": mixing.ORACLE_SQL,
     "op8_line_chunks": line_chunks.ORACLE_SQL,
 }
