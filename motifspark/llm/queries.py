@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, secrets_scan, simhash
+from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, quality_rules, secrets_scan, simhash
 from motifspark.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.coalesce("line_dedup.kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(),
                                           keep=("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pareto_mix": op4_pareto_mix,
     "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
     "op8_line_chunks": op8_line_chunks,
+    "op9_html_consensus": op9_html_consensus,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 ORACLE: dict[str, str] = {
