@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,23 @@ def file_bytes(path: str) -> bytes:
     """A vocabulary file that the caller names; read once on the driver and broadcast as tables."""
     with open(os.path.expanduser(path), "rb") as f:
         return f.read()
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each run of equal values in the first ``keys`` columns, from batches sorted by them."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        rows = list(zip(*(c.to_pylist() for c in batch.columns[:keys]), strict=True))
+        start = 0
+        for i, key in enumerate(rows):
+            if key != last:
+                if i > start:
+                    kept.append(batch.slice(start, i - start))
+                if kept:
+                    yield pa.concat_batches(kept)
+                kept, start, last = [], i, key
+        if len(rows) > start:
+            kept.append(batch.slice(start))
+    if kept:
+        yield pa.concat_batches(kept)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, quality_rules, secrets_scan, simhash
+from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash
 from motifspark.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_passes.near_groups(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op6_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_linked_secrets": op3_linked_secrets,
     "op4_pareto_mix": op4_pareto_mix,
+    "op5_projection_passes": op5_projection_passes,
     "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
     "op8_line_chunks": op8_line_chunks,
     "op9_html_consensus": op9_html_consensus,
