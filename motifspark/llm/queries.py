@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash
-from motifspark.llm.common import table
+from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash, token_rollup
+from motifspark.llm.common import n_words, shared_folder, table
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -40,6 +40,41 @@ def op6_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+#: Pieces: runs of letters, single digits, runs of other marks. Whole words: words that hold a letter or digit.
+PIECES = r"\p{L}+|\p{N}|[^\x20\x09-\x0D\p{L}\p{N}]+"
+WHOLE_WORDS = r"[^\x20\x09-\x0D]*[\p{L}\p{N}][^\x20\x09-\x0D]*"
+
+
+def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert all counts under two tokenizer versions, revise one, delete the counts of repeated texts, replay batches."""
+    docs = table(spark, sf_dir, "documents")
+    matches = lambda p: F.coalesce(F.regexp_count("text", F.lit(p)), F.lit(0))
+    rollup = token_rollup.TokenRollup(spark, shared_folder(spark, "token_rollup"))
+    rollup.apply(1, token_rollup.counts(docs, "insert", "words-1", n_words(F.col("text"))))
+    rollup.apply(2, token_rollup.counts(docs, "insert", "pieces-1", matches(PIECES)))
+    revised = token_rollup.counts(docs, "revise", "words-1", matches(WHOLE_WORDS))
+    rollup.apply(3, revised)
+    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+    first = keyed.groupBy("h").agg(F.min("doc_id").alias("first"))
+    copies = keyed.join(first, "h").where("doc_id > first").select(
+        F.lit("delete").alias("op"), "doc_id", F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"),
+        F.explode(F.array(F.lit("words-1"), F.lit("pieces-1"))).alias("version"), F.lit(None).cast("long").alias("n_tokens"))
+    rollup.apply(4, copies)
+    for batch in (3, 4):  # sent again: no effect
+        if rollup.apply(batch, revised):
+            raise RuntimeError("a committed batch was applied twice")
+    return rollup.totals()
+
+
+ROLLUP_SQL = rf"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS nth FROM documents),
+k AS (SELECT source, lang, text FROM d WHERE text IS NULL OR nth = 1)
+SELECT source, lang, 'words-1' AS version, count(*)::BIGINT AS n_docs, sum(len(regexp_extract_all(coalesce(text, ''), '{WHOLE_WORDS}')))::BIGINT AS n_tokens FROM k GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'pieces-1', count(*)::BIGINT, sum(len(regexp_extract_all(coalesce(text, ''), '{PIECES}')))::BIGINT FROM k GROUP BY ALL
+"""
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *[f"line_dedup.{c}" for c in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")],
@@ -61,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pareto_mix": op4_pareto_mix,
     "op5_projection_passes": op5_projection_passes,
     "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
+    "op7_token_rollup": op7_token_rollup,
     "op8_line_chunks": op8_line_chunks,
     "op9_html_consensus": op9_html_consensus,
     "op10_bpe_automaton": op10_bpe_automaton,
@@ -68,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_linked_secrets": secrets_scan.oracle_sql(),
     "op4_pareto_mix": mixing.ORACLE_SQL,
+    "op7_token_rollup": ROLLUP_SQL,
     "op8_line_chunks": line_chunks.ORACLE_SQL,
 }
