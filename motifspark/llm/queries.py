@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash, token_rollup
+from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash, suffix_dedup, token_rollup
 from motifspark.llm.common import n_words, shared_folder, table
 
 
@@ -23,6 +23,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules).select("doc_id", *[f"quality_rules.{c}" for c in (*quality_rules.COUNTS[:5], "base_failed", "rule", "kept")])
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_linked_secrets": op3_linked_secrets,
     "op4_pareto_mix": op4_pareto_mix,
     "op5_projection_passes": op5_projection_passes,
