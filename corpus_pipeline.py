@@ -10,22 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, simhash
-from motifspark.llm.common import materialise, table
+from motifspark.llm.common import free_name, materialise, table
 from motifspark.llm.queries import tokenizer_file
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep, unchanged."""
     rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, rules).where("quality_rules.kept").select(*docs.columns)
+    name = free_name(docs, "quality_rules")
+    return quality_rules.judge(docs, rules, name=name).where(F.col(f"`{name}`.kept")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without chunks of lines that stand earlier; n_chars follows the new text."""
-    found = line_chunks.dedup_lines(docs)
-    kept = F.col("line_dedup.kept")
+    name = free_name(docs, "line_dedup")
+    found, kept = line_chunks.dedup_lines(docs, name=name), F.col(f"`{name}`.kept")
     changed = {"text": kept} | ({"n_chars": F.length(kept).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return found.withColumns(changed).select(*docs.columns)
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
 def stage_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

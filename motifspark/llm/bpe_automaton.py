@@ -125,31 +125,33 @@ class TokenAutomaton:
         return path
 
 
+def read_tokenizer(path: str) -> dict:
+    """What is needed of a tokenizer file, as plain lists and dictionaries, which any Python worker can load."""
+    spec = json.loads(file_bytes(path))
+    model = spec["model"]
+    steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
+    if steps != ["NFC", "Replace", "Lowercase"] or model["end_of_word_suffix"] != END or spec["decoder"] is not None:
+        raise ValueError(f"{path}: not a tokenizer of this kind")
+    return {"vocab": model["vocab"], "merges": [tuple(m) for m in model["merges"]], "special": {t["content"]: t["id"] for t in spec["added_tokens"]},
+            "pattern": spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"[^\s", f"[^{BLANK}")}
+
+
 class WordBpe:
     """What the tokenizer file asks for around the automaton: special strings, normalising, splitting into words."""
 
-    def __init__(self, path: str):
-        spec = json.loads(file_bytes(path))
-        model = spec["model"]
-        self.vocab, self.merges = model["vocab"], [tuple(m) for m in model["merges"]]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        if steps != ["NFC", "Replace", "Lowercase"] or model["end_of_word_suffix"] != END or spec["decoder"] is not None:
-            raise ValueError(f"{path}: not a tokenizer of this kind")
-        self.pattern = pattern.replace(r"[^\s", f"[^{BLANK}")
-        self.ready = False
-
-    def prepare(self) -> None:
-        """Compile once in each Python worker; only the file's own lists are shipped."""
-        if not self.ready:
-            self.automaton = TokenAutomaton(self.vocab, self.merges)
-            self.find = regex.compile(self.pattern).findall
-            self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))).split
-            self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))).findall
-            self.seen: dict[str, tuple[bytes, str]] = {}
-            self.label = self.automaton.label | {i: s for s, i in self.special.items()}
-            self.ready = True
+    def __init__(self, data: dict):
+        self.automaton, self.special = TokenAutomaton(data["vocab"], data["merges"]), data["special"]
+        marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
+        self.find, self.cut, self.marks = regex.compile(data["pattern"]).findall, regex.compile(marks).split, regex.compile(marks).findall
+        self.seen: dict[str, tuple[bytes, str]] = {}
+        self.label = self.automaton.label | {i: s for s, i in self.special.items()}
+
+    @classmethod
+    def of(cls, data: dict) -> WordBpe:
+        """The model of a broadcast value, compiled once in each Python worker and kept beside it with its word table."""
+        if "model" not in data:
+            data["model"] = cls(data)
+        return data["model"]
 
     def word(self, w: str) -> tuple[bytes, str]:
         ids = self.automaton.spell(w.encode())
@@ -174,7 +176,6 @@ class WordBpe:
         return out
 
     def encode(self, text: str | None) -> bytes:
-        self.prepare()
         return b"".join([p[0] for p in self.pieces(text or "")])
 
     def decode(self, ids: list[int]) -> str:
@@ -190,15 +191,13 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     counts as empty: no ids, empty decoded text. Strings of special tokens in a text become those tokens, as in the
     file's own library. Repeated rows and ids, and null ids, each give their own row; other columns are not read.
     """
-    model = WordBpe(path)
     kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.string(), "ids_sha256": pa.string(),
              "decoded_sha256": pa.string()}
     names = {"n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary file
+    shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))  # bounded by the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        m.prepare()
+        m = WordBpe.of(shared.value)
         for batch in batches:
             got: dict[str, list] = {k: [] for k in keep}
             for text in batch.column(1).to_pylist():
@@ -224,12 +223,10 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, decoded): the text that a column of token ids spells; null ids decode to the empty text."""
-    model = WordBpe(path)
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    shared = encoded.sparkSession.sparkContext.broadcast(read_tokenizer(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        m.prepare()
+        m = WordBpe.of(shared.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([m.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], [id_col, "decoded"])

@@ -36,6 +36,14 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = shared_folder(df.sparkSession, re.sub(r"\W", "_", what))

@@ -53,8 +53,8 @@ def chunks(text: Column, divisor: int = 3) -> Column:
                                         lambda p: let(F.struct(ends(p).alias("ends"), p["lines"].alias("lines")), cut)))
 
 
-def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row and column of ``docs`` plus a struct column ``line_dedup``: n_lines, n_chunks, n_removed_chunks,
+def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_col: str = "text", name: str = "line_dedup") -> DataFrame:
+    """Every row and column of ``docs`` plus a struct column ``name``: n_lines, n_chunks, n_removed_chunks,
     n_removed_lines, kept (the text without them).
 
     What is shuffled is one small row per multi-line chunk, the texts of chunks whose hash repeats (summed up in each
@@ -62,16 +62,18 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_
     texts. Null text: no lines, ``kept`` null. Empty text: one line, kept. A text whose chunks all stand earlier
     becomes empty. Null ids sort first. Repeated rows keep the same lines. An empty table gives an empty one.
     """
-    me = F.struct(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"))
-    places = docs.select(me.alias("doc"), F.explode(chunks(F.col(text_col), divisor)).alias("c")).where("c.n_lines > 1 AND c.n_wordy > 1")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    # one form of the input for both joins below, so that its exchange can serve both
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th")).alias("doc"), F.col(text_col).alias("text"),
+                       *[F.col(f"`{c}`").alias(f"other{i}") for i, c in enumerate(others)])
+    places = rows.select("doc", F.explode(chunks(F.col("text"), divisor)).alias("c")).where("c.n_lines > 1 AND c.n_wordy > 1")
     places = places.select("doc", F.col("c.at").alias("at"), F.xxhash64("c.text").alias("h"))
     firsts = places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("first")).where("n > 1").select("h")
     repeated = places.join(firsts, "h").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("at", "h"))).alias("found"))
 
     # bytes: the texts of all chunks whose hash repeats
-    keyed = docs.select(me.alias("doc"), F.col(text_col).alias("text"))
     same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["th"] == b["th"])
-    texts = keyed.join(repeated.withColumnRenamed("doc", "doc2"), same(F.col("doc"), F.col("doc2")))
+    texts = rows.join(repeated.withColumnRenamed("doc", "doc2"), same(F.col("doc"), F.col("doc2")))
     texts = texts.select("doc", "found", chunks(F.col("text"), divisor).alias("all")).select(
         "doc", F.explode(F.transform("found", lambda x: F.struct(x["at"].alias("at"), x["h"].alias("h"), F.get("all", x["at"])["text"].alias("text")))).alias("c"))
     classes = texts.select("c.h", "c.text", F.struct("doc", F.col("c.at").alias("at")).alias("place")).groupBy("h", "text").agg(F.min("place").alias("first"))
@@ -84,9 +86,8 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_
     by_text = mixed.join(classes, ["h", "text"]).where(here > F.col("first")).select("doc", "at")
     removed = by_hash.unionAll(by_text).groupBy("doc").agg(F.array_sort(F.collect_set("at")).alias("gone"))
 
-    row = docs.select(F.struct("*").alias("row"), me.alias("doc"))
-    both = row.join(removed.withColumnRenamed("doc", "doc2"), same(F.col("doc"), F.col("doc2")), "left")
-    both = both.select("row", F.coalesce("gone", F.expr("array()").cast("array<int>")).alias("gone"), chunks(F.col(f"row.`{text_col}`"), divisor).alias("all"))
+    both = rows.join(removed.withColumnRenamed("doc", "doc2"), same(F.col("doc"), F.col("doc2")), "left")
+    both = both.select(rows["*"], F.coalesce("gone", F.expr("array()").cast("array<int>")).alias("gone"), chunks(F.col("text"), divisor).alias("all"))
     m, n = F.size("gone"), F.size("all")
 
     def run(j: Column) -> Column:  # the chunks between two removed ones
@@ -97,11 +98,11 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_
     kept = F.when(F.col("all").isNotNull(), F.flatten(F.transform(F.sequence(F.lit(0), m), run)))
     both = both.withColumn("kept", F.when(m > 0, kept).otherwise(F.col("all")))
     lines = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["n_lines"])
-    both = both.select("row", F.struct(
+    back = {id_col: F.col("doc.id"), text_col: F.col("text")} | {c: F.col(f"other{i}") for i, c in enumerate(others)}
+    return both.select(*[back[c].alias(c) for c in docs.columns], F.struct(
         F.coalesce(lines("all"), F.lit(0)).cast("long").alias("n_lines"), F.greatest(n, F.lit(0)).cast("long").alias("n_chunks"),
         m.cast("long").alias("n_removed_chunks"), F.coalesce(lines("all") - lines("kept"), F.lit(0)).cast("long").alias("n_removed_lines"),
-        F.array_join(F.transform("kept", lambda x: x["text"]), "\n").alias("kept")).alias("line_dedup"))
-    return both.select("row.*", "line_dedup")
+        F.array_join(F.transform("kept", lambda x: x["text"]), "\n").alias("kept")).alias(name))
 
 
 #: The same decisions, every chunk grouped by its text.

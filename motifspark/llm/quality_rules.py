@@ -183,12 +183,12 @@ def verdict(rules: list[Rule], counts: str = "counts") -> Column:
     return out.otherwise(F.lit(0)) if rules else F.lit(0)
 
 
-def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """``docs`` plus a struct column ``quality_rules``: the counts, base_failed, rule (0: none), kept.
+def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", name: str = "quality_rules") -> DataFrame:
+    """``docs`` plus a struct column ``name``: the counts, base_failed, rule (0: none), kept.
 
     Null and empty texts have no words and fail the base rules. Each row is judged by itself, whatever its id; an empty
     table gives an empty one.
     """
     out = counted(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), "text")
     out = out.select("row", "counts", base_failed().alias("base_failed"), verdict(rules).alias("rule"))
-    return out.select("row.*", F.struct("counts.*", "base_failed", "rule", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept")).alias("quality_rules"))
+    return out.select("row.*", F.struct("counts.*", "base_failed", "rule", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept")).alias(name))

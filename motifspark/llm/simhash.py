@@ -46,15 +46,15 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, block: int =
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) with the fingerprint as a signed long, one row per input row, in one narrow Arrow pass."""
-    head = docs.select(id_col, text_col)
+    """(id, th, fp): the text's hash and its fingerprint as a signed long, one row per input row, in one narrow Arrow pass."""
+    head = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("th"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], [id_col, "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["id", "th", "fp"])
 
-    return head.mapInArrow(run, f"`{id_col}` {head.schema[0].dataType.simpleString()}, fp long")
+    return head.mapInArrow(run, f"id {head.schema[0].dataType.simpleString()}, th long, fp long")
 
 
 def correlated_partitions(bits: np.ndarray, m: int) -> list[list[int]]:
@@ -141,6 +141,16 @@ def near_pairs(fps: DataFrame, distance: int) -> DataFrame:
     return found.select("a", "b")
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, fp, root, component_id), one row per input row; root names the component."""
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    classes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint_classes")
+    comps = connected_components(near_pairs(classes.select("fp"), distance))
+    grouped = classes.join(comps, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    label = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return prints.join(label, "fp")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id), one row per input row: component_id is the smallest id reachable over links.
 
@@ -148,21 +158,19 @@ def near_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: st
     fingerprint 0 and link like any other. Null ids are passed over in the smallest id (a group of null ids only has a
     null component); repeated rows each give a row; an empty table gives an empty one.
     """
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprint_classes")
-    comps = connected_components(near_pairs(classes.select("fp"), distance))
-    grouped = classes.join(comps, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    label = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(label, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = _grouped(docs, shingle, distance, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with all their columns, one row of each group of near copies: that with the smallest id.
 
-    Rows that share this id (repeated rows, null ids) are one document's group: the one with the smallest text hash
-    stays, and of equal rows one.
+    Ids that are null come last; of rows that share an id, the one with the smallest text hash stays; of rows that are equal in
+    both, the one with the smallest hash of all its columns.
     """
-    groups = near_groups(docs, shingle, distance, id_col, text_col)
-    ids = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep"), "component_id").distinct()
-    kept = docs.join(ids.select("__keep"), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    found = _grouped(docs, shingle, distance, id_col, text_col)
+    stays = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("k")).select(F.struct("k.id", "k.th").alias("stays"))
+    key = F.struct(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("th"))
+    rows = docs.select(key.alias("key"), F.struct("*").alias("row"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
+    rows = rows.join(stays, F.col("key") == F.col("stays"), "left_semi")
+    return rows.groupBy("key").agg(F.min_by("row", "h").alias("row")).select("row.*")
