@@ -55,11 +55,17 @@ class TokenAutomaton:
             body = s[: -len(END)] if ends else s
             if all(c in to_byte for c in body):
                 (self.final if ends else self.inner)[b"".join(to_byte[c] for c in body)] = i
-        self.longest = max(map(len, [*self.inner, *self.final]))
         self.lost: dict[tuple[int, int], int] = {}  # (state, token) -> the gadget that took this arc away
         self.born: dict[int, tuple[int, int, int]] = {}  # token -> (its gadget, left part, right part)
+        unreached: set[int] = set()  # tokens whose two parts never follow each other
         for step, (a, b) in enumerate(merges):
-            self.gadget(step, vocab[a], vocab[b], vocab[a + b])
+            if unreached.isdisjoint((vocab[a], vocab[b])) and self.alive(vocab[a], vocab[b]):
+                self.gadget(step, vocab[a], vocab[b], vocab[a + b])
+            else:
+                unreached.add(vocab[a + b])
+        self.inner = {s: i for s, i in self.inner.items() if i not in unreached}
+        self.final = {s: i for s, i in self.final.items() if i not in unreached}
+        self.longest = max(map(len, [*self.inner, *self.final]))
         self.known: dict[tuple[int, int], bool] = {}
 
     def gadget(self, step: int, a: int, b: int, ab: int) -> None:
@@ -79,20 +85,23 @@ class TokenAutomaton:
             made, _, state = self.born[state]
             step = min(step, made - 1)
 
+    def alive(self, state: int, token: int) -> bool:
+        """Is there an arc ``token`` at ``state`` now? It was added only if its left part's arc was there in time."""
+        part, step = token, 1 << 60
+        while not self.gone(state, part, step):
+            if part not in self.born:
+                return True
+            step, part, _ = self.born[part]
+        return False
+
     def arc(self, state: int, token: int) -> bool:
-        """Is there an arc ``token`` at ``state``? It was added only if its left part's arc was there in time."""
+        """The same for the finished automaton, remembered."""
         key = (state, token)
         found = self.known.get(key)
         if found is None:
-            found, part, step = True, token, len(self.born)
-            while found:
-                found = not self.gone(state, part, step)
-                if part not in self.born:
-                    break
-                step, part, _ = self.born[part]
             if len(self.known) >= 4 * REMEMBERED:
                 self.known.clear()
-            self.known[key] = found
+            found = self.known[key] = self.alive(state, token)
         return found
 
     def spell(self, word: bytes) -> list[int]:

@@ -44,7 +44,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], total: float, m
     every = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w = w.withColumn("all_words", F.sum("source_size").over(every) * F.lit(float(total))).withColumn("all_w", F.sum("w").over(every))
     w = w.withColumn("level", (F.col("all_words") - F.coalesce(F.sum("most").over(filled), F.lit(0.0)))
-                     / (F.col("all_w") - F.coalesce(F.sum("w").over(filled), F.lit(0.0))))
+                     / (F.col("all_w") - F.coalesce(F.sum("w").over(filled), F.lit(0.0))))  # never 0: its own weight is in it
     w = w.withColumn("full", F.col("most") / F.col("w") <= F.col("level"))
     # the first source that its share does not fill sets the level of all that follow
     w = w.withColumn("level", F.first(F.when(~F.col("full"), F.col("level")), ignorenulls=True).over(
@@ -55,11 +55,11 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], total: float, m
 def _rank(rows: DataFrame) -> DataFrame:
     """Pareto rank ``q`` of each row of a source that has a fraction left over; null for others."""
     mean = F.col("source_size") / F.col("n_docs")
-    rows = rows.withColumn("whole", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("int"))
+    rows = rows.withColumn("whole", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("int"))
     rows = rows.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    rows = rows.withColumn("f", F.col("rest") / F.col("source_size"))
-    odds = F.col("f") / (F.lit(1.0) - F.col("f")) * (F.lit(0.5) + F.col("size") / (F.col("size") + mean))
-    return rows.withColumn("q", F.when(F.col("f") > 0, F.col("u") / (F.lit(1.0) - F.col("u")) / odds))
+    rows = rows.withColumn("f", F.try_divide("rest", "source_size"))  # null for a source without words
+    odds = F.try_divide(F.col("f"), F.lit(1.0) - F.col("f")) * (F.lit(0.5) + F.try_divide(F.col("size"), F.col("size") + mean))
+    return rows.withColumn("q", F.when(F.col("f") > 0, F.try_divide(F.col("u") / (F.lit(1.0) - F.col("u")), odds)))
 
 
 def _join_sources(rows: DataFrame, by_source: DataFrame, n: int) -> DataFrame:

@@ -121,6 +121,8 @@ def near_pairs(fps: DataFrame, distance: int) -> DataFrame:
     """Distinct ``fp`` -> (a, b) with a < b that differ in at most ``distance`` bits, each pair once."""
     n = fps.count()
     picked = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()  # bounded by SAMPLE
+    if n < 2:
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
     parts = plan(np.array([r[0] for r in picked], np.int64).view(np.uint64), n, distance)
 
     def keys(fp: str, patterns: bool) -> Column:
