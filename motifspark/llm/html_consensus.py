@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of each host's pages.
 
 Every page scores its containers (elements that hold blocks of text) by how much of the page's running text they
-cover, how little link and boilerplate text they hold, and whether their tag says what they are. The scores are votes
-for generalised tag-class paths (digits become ``#``, ids are dropped), summed per host in Spark. Then each page is
-read again with its host's paths, best first: the first one that the page has is its main container; a page with none
+cover, how little link and boilerplate text they hold, and whether their tag says what they are. It votes for the
+generalised tag-class path (digits become ``#``, ids are dropped) of its best one; votes, and scores to break ties, are
+summed per host in Spark. Then each page is read again with its host's paths, best first: the first one that the page has is its main container; a page with none
 of them uses its own best.
 """
 
@@ -127,12 +127,15 @@ class Page(HTMLParser):
         return [(p, g / total * (g / all_text[p]) + 0.25 * bool(re.search(r">(article|main)(\.[^>]*)?$", p)) + 0.02 * p.count(">"))
                 for p, g in good.items() if g > 0]
 
+    def best(self) -> str:
+        return max(self.scores(), key=lambda s: (round(s[1], 9), s[0]), default=("", 0.0))[0]
+
     def text(self, ranked: list[str]) -> str:
         """Blocks of the first of the paths that this page has, else of its own best container."""
         present = {p for p, _ in self.scores()}
         best = next((p for p in ranked if p in present), None)
         if best is None:
-            best = max(self.scores(), key=lambda s: (round(s[1], 9), s[0]), default=("", 0.0))[0]
+            best = self.best()
         return " ".join([t for p, t, _, dropped in self.blocks if not dropped and (p == best or p.startswith(best + ">"))])
 
 
@@ -153,15 +156,18 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", p
         for batch in batches:
             votes: dict[tuple[str, str], list[float]] = {}
             for h, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for path, score in Page(html.as_py() or "").scores():
+                found = Page(html.as_py() or "")
+                best = found.best()
+                for path, score in found.scores():
                     v = votes.setdefault((h, path), [0, 0])
-                    v[0] += round(score * 1e6)  # whole numbers add up alike in any order
-                    v[1] += 1
+                    v[0] += path == best
+                    v[1] += round(score * 1e6)  # whole numbers add up alike in any order
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()),
-                                              pa.array([v[0] for v in votes.values()], pa.int64())], ["host", "path", "score"])
+                                              *(pa.array([v[i] for v in votes.values()], pa.int64()) for i in (0, 1))], ["host", "path", "votes", "score"])
 
-    votes = head.mapInArrow(run, "host string, path string, score long").groupBy("host", "path").agg(F.sum("score").alias("score"))
-    best = Window.partitionBy("host").orderBy(F.desc("score"), "path")  # one row per path of a host, not per page
+    votes = head.mapInArrow(run, "host string, path string, votes long, score long")
+    votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
+    best = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")  # one row per path of a host, not per page
     return (votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= paths).groupBy("host")
             .agg(F.array_sort(F.collect_list(F.struct("place", "path"))).alias("p")).select("host", F.transform("p", lambda x: x["path"]).alias("paths")))
 
