@@ -35,6 +35,16 @@ def n_lists(pairs: DataFrame, list_col: str = "list_id", name_col: str = "name")
     return clean_lists(pairs, list_col, name_col).agg(F.countDistinct("list_id").alias("n")).scalar()
 
 
+class NoLists(ValueError):
+    pass
+
+
+def checked_n(n: Column) -> Column:
+    """N, or an error where no list has a name: there is nothing to vote on."""
+    none = F.raise_error(F.lit("all prediction lists are empty"))
+    return F.when(F.coalesce(n, F.lit(0)) > 0, n).otherwise(none).cast("bigint")
+
+
 def threshold_k(pct, n: Column) -> Column:
     """``ceil(p / 100 * N)`` in double arithmetic."""
     p = pct if isinstance(pct, Column) else F.lit(int(pct))
@@ -42,13 +52,20 @@ def threshold_k(pct, n: Column) -> Column:
 
 
 def consensus(support: DataFrame, n: Column, thresholds=THRESHOLDS, keep=()) -> DataFrame:
-    """``(pct, name, support, *keep)`` for every threshold a name meets, one pass."""
+    """``(pct, name, support, *keep)`` for every threshold a name meets, one pass.
+
+    A name needs a vote (support >= 1); N = 0 is an error (``checked_n``).
+    """
     ths = sorted({int(t) for t in thresholds})
-    met = F.array_compact(F.array(*[F.when(F.col("support") >= threshold_k(t, n), F.lit(t)) for t in ths]))
+    n = checked_n(n)
+    met = F.array_compact(F.array(*[F.when((F.col("support") >= 1) & (F.col("support") >= threshold_k(t, n)), F.lit(t)) for t in ths]))
     return support.select(F.explode(met).alias("pct"), "name", "support", *keep)
 
 
 def consensus_from_pairs(pairs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
+    """F5 from lists; raises ``NoLists`` when no list has a name (the rows alone could not tell)."""
+    if clean_lists(pairs).limit(1).count() == 0:
+        raise NoLists("all prediction lists are empty")
     return consensus(fragment_support(pairs), n_lists(pairs), thresholds)
 
 

@@ -49,17 +49,24 @@ def control_exclude(features: DataFrame, *exclude: DataFrame, name_col: str = "N
     return features.join(side, id_part(F.col(name_col)) == F.col("_id"), "left_anti")
 
 
+def sequences_by_ids(seqs: DataFrame, ids: DataFrame, id_col: str = "id", exclude: bool = False,
+                     broadcast_rows: int = ID_BROADCAST_ROWS) -> DataFrame:
+    """J1/J2 below the windows: the sequences whose ID part is (``exclude``: is not) in the list.
+
+    A window's ID part is its sequence's, so the join can stand next to the scan
+    and only the wanted sequences are ever cut into windows.
+    """
+    side = checked_broadcast(_ids(ids, id_col), broadcast_rows, persist=False)
+    return seqs.join(side, id_part(F.col("seq_id")) == F.col("_id"), "left_anti" if exclude else "left_semi")
+
+
 def random_controls(features: DataFrame, n: int, seed, *exclude: DataFrame, name_col: str = "NAME") -> DataFrame:
     """F2 (random pool): anti join then exact-n seeded sample.
 
-    The draw runs on the narrow name column only (names are unique row keys);
-    the chosen names (n rows, checked) then select their full rows by a semi
-    join, which Catalyst pushes below the feature projection, so features are
-    computed only for the sample.
+    The histograms read the name column only; the final filter on the name's key
+    stands below the feature projection, so features are computed for the sample alone.
     """
-    pool = control_exclude(features, *exclude, name_col=name_col)
-    chosen = sample_n(pool.select(name_col), n, seed, name_col)
-    return pool.join(checked_broadcast(chosen, max(int(n), 1)), name_col, "left_semi")
+    return sample_n(control_exclude(features, *exclude, name_col=name_col), n, seed, name_col)
 
 
 def label_union(positives: DataFrame, controls: DataFrame, label_col: str = "CLASS") -> DataFrame:
@@ -71,12 +78,15 @@ def label_union(positives: DataFrame, controls: DataFrame, label_col: str = "CLA
 
 def training_tables(positives: DataFrame, pools: dict, n_pos: int, mults=(1, 2, 5, 10), seed=0,
                     name_col: str = "NAME") -> DataFrame:
-    """one labelled table per (tag, mult): positives (0) + bucket sample of the tag's pool (1)."""
-    out = None
+    """one labelled table per (tag, mult): positives (0) + bucket sample of the tag's pool (1).
+
+    The positives are read once and repeated for the (tag, mult) pairs, which are configuration.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(t).alias("tag"), F.lit(int(m)).alias("mult")) for t in pools for m in mults]))
+    cols = positives.columns
+    pos = positives.select(pairs.alias("_p"), *cols).select("_p.tag", "_p.mult", *cols)
+    ctrl = None
     for tag, pool in pools.items():
-        b = bucket_samples(pool, n_pos, mults, seed, name_col)
-        for m in mults:
-            ctrl = b.where(F.col("mult") == m).drop("mult")
-            t = label_union(positives, ctrl).select(F.lit(tag).alias("tag"), F.lit(int(m)).alias("mult"), "*")
-            out = t if out is None else out.unionByName(t)
-    return out
+        b = bucket_samples(pool, n_pos, mults, seed, name_col).select(F.lit(tag).alias("tag"), "mult", *pool.columns)
+        ctrl = b if ctrl is None else ctrl.unionByName(b, allowMissingColumns=True)
+    return label_union(pos, ctrl)

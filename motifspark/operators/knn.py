@@ -80,8 +80,8 @@ def smote(df: DataFrame, feature_cols: list[str], k: int = 5, seed: int = 0, lab
     among i's k nearest minority rows and u in [0, 1), both from md5(seed, i, j).
     Returns the input plus the synthetic rows (names ``<name>#s<j>``).
     """
-    from motifspark.operators.sampling import first_n_by_key, with_order_key
-    counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+    from motifspark.operators.sampling import class_sizes, first_n_by_key
+    counts = class_sizes(df, label_col)
     if len(counts) < 2:
         return df
     mino = minority if minority is not None else min(counts, key=lambda c: (counts[c], c))
@@ -97,7 +97,7 @@ def smote(df: DataFrame, feature_cols: list[str], k: int = 5, seed: int = 0, lab
     if kk <= 0:
         raise ValueError("SMOTE needs at least 2 minority rows")
     base, extra = divmod(need, n_min)
-    plus = first_n_by_key(with_order_key(mins.select("NAME"), f"{seed}:extra"), extra, f"{seed}:extra", "NAME") \
+    plus = first_n_by_key(mins.select("NAME"), extra, f"{seed}:extra", "NAME") \
         .withColumn("plus", F.lit(1)) if extra else None
     m = mins.join(plus, "NAME", "left") if plus is not None else mins.withColumn("plus", F.lit(None).cast("int"))
     m = m.withColumn("c", F.lit(base) + F.coalesce(F.col("plus"), F.lit(0))).where(F.col("c") > 0)

@@ -5,28 +5,51 @@ that order are the sample. No ``rand()``/``sample()``: the result must not
 depend on partitioning, and md5 gives the same order in SQL.
 
 Scale: "first n by key" is an exact distributed selection, never a window over
-one group and never a driver collect of rows. A histogram of the key's top bits
-(<= 4096 buckets, partial aggregation) finds the bucket where the running count
-crosses n; everything before it is in, and only that bucket is examined further
-(recursively) until it holds at most ``final_rows`` rows, which are ordered
-with a bounded top-k. Each level is one filtered pass over the input.
+one group and never a driver collect of rows. One pass makes the histograms of
+the key's top bits for ALL draws at once (partial aggregation, a bounded number
+of buckets per draw); the bucket where a draw's running count crosses its n
+becomes literals, and one filter pass emits the rows before it. Only the rows
+of the crossing buckets are ordered; a bucket above ``final_rows`` is cut again
+first. Nothing is persisted, nothing is joined back.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from motifspark.functions.hashing import hex8_int, seeded_key
 
-BUCKET_BITS = 12
+BUCKET_BITS = 14
 FINAL_ROWS = 100_000
+MAX_CLASSES = 1_000
 
 
 class NotEnoughRows(ValueError):
     pass
 
 
+@dataclass(frozen=True)
+class Draw:
+    """The first ``n`` rows by the seed's key, of the rows where ``where`` holds (all rows if None)."""
+
+    label: Any
+    n: int
+    seed: Any
+    where: Column | None = None
+
+
+@dataclass
+class Cut:
+    """Rows with a prefix below ``lo`` are in; of those in [lo, hi) the first ``need`` by (key, name)."""
+
+    lo: int
+    hi: int
+    need: int
+
+
 def order_prefix(seed, key_col: str = "NAME"):
     """First 32 bits of ``md5('<seed>:<key>')`` as a BIGINT (orders like the hex key)."""
     return hex8_int(seeded_key(seed, F.col(key_col)))
@@ -36,67 +59,73 @@ def with_order_key(df: DataFrame, seed, key_col: str = "NAME", hcol: str = "_h")
     return df.withColumn(hcol, order_prefix(seed, key_col))
 
 
-def first_n_by_key(df: DataFrame, n: int, seed, key_col: str = "NAME", hcol: str = "_h",
-                   final_rows: int = FINAL_ROWS, persist: bool = True) -> DataFrame:
-    """Exact first ``n`` rows of ``df`` by ``(md5('<seed>:<key>'), key)``; ``hcol`` holds the 32-bit prefix.
+def _of(draw: Draw, cond: Column) -> Column:
+    return F.coalesce(cond if draw.where is None else draw.where & cond, F.lit(False))
 
-    Only the prefix is kept per row; the full hex key is computed for the last
-    (at most ``final_rows``) candidates only.
-    """
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    h = F.col(hcol)
-    lo, width, need = 0, 1 << 32, n
-    known = None                                   # row count of [lo, lo + width) when already known
+
+def cut_offs(df: DataFrame, draws: list[Draw], key_col: str, final_rows: int = FINAL_ROWS) -> list[Cut]:
+    """Where each draw's first n rows end; one histogram pass for all draws, and one more for buckets above ``final_rows``."""
+    cuts = [Cut(0, 1 << 32, d.n) for d in draws]
+    active = [i for i, d in enumerate(draws) if d.n > 0]
+    for i, d in enumerate(draws):
+        if d.n <= 0:
+            cuts[i] = Cut(0, 0, 0)
     first = True
-    while width > 1 and (known is None or known > final_rows):
-        shift = max(0, width.bit_length() - 1 - BUCKET_BITS)
-        rng = df.where((h >= lo) & (h < lo + width))
-        counts = sorted((r["b"], r["count"]) for r in
-                        rng.groupBy(F.shiftright(h - F.lit(lo), shift).alias("b")).count().collect())
-        total = sum(c for _, c in counts)
-        if first and total < n:
-            raise NotEnoughRows(f"requested {n} rows, only {total} available")
-        first = False
-        if total <= final_rows:
-            break
-        cum = 0
-        for b, c in counts:
-            if cum + c >= need:
-                lo, width, known = lo + (b << shift), 1 << shift, c
-                need -= cum
-                break
-            cum += c
-    if first:
-        total = df.count()
-        if total < n:
-            raise NotEnoughRows(f"requested {n} rows, only {total} available")
-    head = df.where(h < lo)
-    tail = df.where((h >= lo) & (h < lo + width)).withColumn("_k", seeded_key(seed, F.col(key_col))) \
-             .orderBy("_k", key_col).limit(need).drop("_k")
-    return head.unionByName(tail).drop(hcol)
-
-
-def sample_n(df: DataFrame, n: int, seed, key_col: str = "NAME", persist: bool = True) -> DataFrame:
+    while active:
+        shift = {i: max(0, (cuts[i].hi - cuts[i].lo).bit_length() - 1 - BUCKET_BITS) for i in active}
+        cells = []
+        for i in active:
+            h = order_prefix(draws[i].seed, key_col)
+            inside = _of(draws[i], (h >= cuts[i].lo) & (h < cuts[i].hi))
+            cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.shiftright(h - F.lit(cuts[i].lo), shift[i]).alias("b"))))
+        found = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.i", "c.b").count().collect()
+        again = []
+        for i in active:
+            counts = sorted((r["b"], r["count"]) for r in found if r["i"] == i)
+            total = sum(c for _, c in counts)
+            if first and total < draws[i].n:
+                raise NotEnoughRows(f"requested {draws[i].n} rows, only {total} available")
+            cut, before = cuts[i], 0
+            for b, c in counts:
+                if before + c >= cut.need:
+                    cuts[i] = Cut(cut.lo + (b << shift[i]), cut.lo + ((b + 1) << shift[i]), cut.need - before)
+                    if c > final_rows and shift[i] > 0:
+                        again.append(i)
+                    break
+                before += c
+        active, first = again, False
+    return cuts
+
+
+def first_n(df: DataFrame, draws: list[Draw], key_col: str = "NAME", label_col: str = "draw", final_rows: int = FINAL_ROWS) -> DataFrame:
+    """``(label, *df)``: the exact first rows of every draw."""
+    cuts = cut_offs(df, draws, key_col, final_rows)
+    heads, edges = [], []
+    for d, c in zip(draws, cuts):
+        h = order_prefix(d.seed, key_col)
+        heads.append(F.when(_of(d, h < c.lo), F.lit(d.label)))
+        edges.append(F.when(_of(d, (h >= c.lo) & (h < c.hi)), F.struct(F.lit(d.label).alias("label"), F.lit(c.need).alias("need"), seeded_key(d.seed, F.col(key_col)).alias("k"))))
+    cols = df.columns
+    head = df.select(F.explode(F.array_compact(F.array(*heads))).alias(label_col), *cols)
+    edge = df.select(F.explode(F.array_compact(F.array(*edges))).alias("_e"), *cols)
+    rank = F.row_number().over(Window.partitionBy("_e.label").orderBy("_e.k", key_col))   # at most final_rows rows a draw
+    edge = edge.withColumn("_r", rank).where(F.col("_r") <= F.col("_e.need")).select(F.col("_e.label").alias(label_col), *cols)
+    return head.unionByName(edge)
+
+
+def first_n_by_key(df: DataFrame, n: int, seed, key_col: str = "NAME", hcol: str = "_h", final_rows: int = FINAL_ROWS) -> DataFrame:
+    """Exact first ``n`` rows of ``df`` by ``(md5('<seed>:<key>'), key)``."""
+    return first_n(df.drop(hcol), [Draw(0, int(n), seed)], key_col, "_draw", final_rows).drop("_draw")
+
+
+def sample_n(df: DataFrame, n: int, seed, key_col: str = "NAME") -> DataFrame:
     """Exactly n rows without replacement, seeded; error if fewer are available."""
-    return first_n_by_key(with_order_key(df, seed, key_col), n, seed, key_col, persist=persist)
+    return first_n_by_key(df, n, seed, key_col)
 
 
 def bucket_samples(pool: DataFrame, n_pos: int, mults=(1, 2, 5, 10), seed=0, key_col: str = "NAME") -> DataFrame:
-    """For each multiple m an independent draw of m * n_pos rows with seed + m -> ``(mult, *pool)``.
-
-    All order prefixes are computed in one pass and cached with the pool.
-    """
-    cols = pool.columns
-    keyed = pool.select(*cols, *[order_prefix(int(seed) + int(m), key_col).alias(f"_h{m}") for m in mults]) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
-    for m in mults:
-        part = first_n_by_key(keyed.select(*cols, F.col(f"_h{m}").alias("_h")), int(m) * int(n_pos),
-                              int(seed) + int(m), key_col, persist=False) \
-            .select(F.lit(int(m)).alias("mult"), *cols)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """For each multiple m an independent draw of m * n_pos rows with seed + m -> ``(mult, *pool)``."""
+    return first_n(pool, [Draw(int(m), int(m) * int(n_pos), int(seed) + int(m)) for m in mults], key_col, "mult")
 
 
 def class_counts(df: DataFrame, label_col: str = "CLASS") -> DataFrame:
@@ -104,25 +133,31 @@ def class_counts(df: DataFrame, label_col: str = "CLASS") -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_sizes(df: DataFrame, label_col: str = "CLASS") -> dict:
+    """A11 on the driver, for a label with at most ``MAX_CLASSES`` values."""
+    rows = class_counts(df, label_col).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
+    return {r[label_col]: r["n"] for r in rows}
+
+
 def stratified_split(df: DataFrame, seed, test_frac: float = 0.2, label_col: str = "CLASS",
                      key_col: str = "NAME") -> DataFrame:
     """Add ``is_test``; per class the first ``round(test_frac * n_class)`` rows by md5 key.
 
-    Class sizes come from one small aggregate (one row per class); each class is
-    then an exact distributed selection, so no class is ever a single task.
+    Every row comes out once, also where names repeat. Only the rows of each
+    class's crossing bucket are ordered, so no class is ever a single task.
     """
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r[label_col]: r["n"] for r in class_counts(base, label_col).collect()}
-    keyed = with_order_key(base, seed, key_col)
-    test = None
-    for cls, n in sorted(sizes.items(), key=lambda kv: (kv[0] is None, kv[0])):
-        k = int(round(test_frac * n))
-        if k <= 0:
-            continue
-        part = first_n_by_key(keyed.where(F.col(label_col) == F.lit(cls)), k, seed, key_col, persist=False) \
-            .select(key_col, label_col)
-        test = part if test is None else test.unionByName(part)
-    if test is None:
-        return base.withColumn("is_test", F.lit(False))
-    flag = test.select(key_col, label_col).withColumn("is_test", F.lit(True))
-    return base.join(flag, [key_col, label_col], "left").withColumn("is_test", F.coalesce("is_test", F.lit(False)))
+    sizes = class_sizes(df, label_col)
+    draws = [Draw(i, int(round(test_frac * n)), seed, F.col(label_col).eqNullSafe(F.lit(c))) for i, (c, n) in enumerate(sizes.items())]
+    cuts = cut_offs(df, draws, key_col)
+    h = order_prefix(seed, key_col)
+    edge, head, need = F.lit(False), F.lit(False), F.lit(0)
+    for d, c in zip(draws, cuts):
+        inside = _of(d, (h >= c.lo) & (h < c.hi))
+        edge, head = edge | inside, head | _of(d, h < c.lo)
+        need = F.when(inside, F.lit(c.need)).otherwise(need)
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy(seeded_key(seed, F.col(key_col)), key_col))
+    sure = df.where(~edge).withColumn("is_test", head)
+    close = df.where(edge).withColumn("is_test", rank <= need)
+    return sure.unionByName(close)
