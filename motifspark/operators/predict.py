@@ -1,27 +1,38 @@
 """Scoring every row with every linear model in ONE scan.
 
 The reference starts one process per model group and re-reads the feature table
-each time. Here the coefficient table (one row per model; bounded by the model
-count, checked below) becomes a small numpy matrix shipped with the task, and a
-single ``mapInArrow`` pass computes ``X . W^T + b`` per Arrow batch.
+each time. Here the coefficient table (one row per model) becomes a numpy
+matrix shipped with the task, and one ``mapInArrow`` pass scores all models.
 
 A row is predicted *positive* (class 0) when its margin is <= 0. Per row we
 emit the number of models voting positive (``support``) and the set of those
 models as a bitmask (``hits``, 64 models per BIGINT). The bitmask lets later
-steps count non-empty lists (N) and deduplicate repeated names exactly, and
-lets the per-model prediction lists be written without a second scoring pass.
+steps count non-empty lists (N), OR the votes of repeated names, and write the
+per-model lists without a second scoring pass.
+
+Window text never reaches Python window by window: a kernel gets a *chunk* of
+sequence text once and takes the residue counts of each window in it from
+running counts. Rows that are ingested as a feature table go through the same
+core (``score_features``).
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
+
+from motifspark.functions.ids import fragment_name
+from motifspark.operators.windows import SPREAD_ABOVE, window_chunks
 
-MAX_MODELS = 4096          # bound on the broadcast coefficient table (rows)
-MAX_WIDTH = 4096           # bound on the feature width
+MODEL_BYTES = 1 << 30      # bound on the coefficient matrix that is shipped to tasks
+GROUP = 512                # models scored at a time
+BLOCK = 4096               # rows scored at a time
+CHUNK = 4096               # windows per chunk of text
 
 
 @dataclass(frozen=True)
@@ -34,314 +45,230 @@ class LinearModels:
     def n_words(self) -> int:
         return (len(self.list_ids) + 63) // 64
 
+    def votes(self, X: np.ndarray) -> np.ndarray:
+        """``X . W^T + b <= 0`` as a boolean (rows, models) matrix, in blocks of rows and groups of models."""
+        out = np.empty((len(X), len(self.list_ids)), dtype=bool)
+        for g in range(0, len(self.list_ids), GROUP):
+            W, b = self.W[g:g + GROUP].T, self.b[g:g + GROUP]
+            for i in range(0, len(X), BLOCK):
+                np.less_equal(X[i:i + BLOCK] @ W + b, 0.0, out=out[i:i + BLOCK, g:g + GROUP])
+        return out
+
+    def words(self, pos: np.ndarray) -> np.ndarray:
+        """(rows, models) votes as (rows, n_words) int64 bitmasks, bit j of word j // 64."""
+        packed = np.packbits(pos, axis=1, bitorder="little")
+        buf = np.zeros((len(pos), self.n_words * 8), dtype=np.uint8)
+        buf[:, :packed.shape[1]] = packed
+        return buf.view("<i8")
+
 
-def collect_models(models: DataFrame, width: int, max_models: int = MAX_MODELS) -> LinearModels:
+def collect_models(models: DataFrame, width: int, max_bytes: int = MODEL_BYTES) -> LinearModels:
     """Bring the coefficient table to the driver after checking its size."""
-    n = models.limit(max_models + 1).count()
-    if n > max_models:
-        raise ValueError(f"more than {max_models} models; score in groups of at most {max_models}")
-    if width > MAX_WIDTH:
-        raise ValueError(f"feature width {width} exceeds {MAX_WIDTH}")
+    n = models.count()
+    if n * (width + 1) * 8 > max_bytes:
+        raise ValueError(f"{n} models of width {width} exceed {max_bytes} bytes")
     rows = models.select("list_id", "weights", "bias").orderBy("list_id").collect()
     W = np.array([r["weights"] for r in rows], dtype=np.float64).reshape(len(rows), width)
     b = np.array([r["bias"] for r in rows], dtype=np.float64)
     return LinearModels([r["list_id"] for r in rows], W, b)
 
 
-def _to_words(pos: np.ndarray, n_words: int) -> np.ndarray:
-    """Pack a boolean (rows, m) matrix into (rows, n_words) int64 bitmasks, bit j of word j//64."""
-    rows = pos.shape[0]
-    packed = np.packbits(pos, axis=1, bitorder="little")
-    buf = np.zeros((rows, n_words * 8), dtype=np.uint8)
-    buf[:, :packed.shape[1]] = packed
-    return buf.view("<i8")
+# ---------------------------------------------------------------- where the rows come from
 
-
-_BLOCK = 2048
+def window_blocks(batches: Iterator[pa.RecordBatch], w: int, step: int, residues: str, rows: int = 1 << 15):
+    """Chunks (seq_id, first, cnt, text) -> (seq_ids, starts, X): residue fractions of all windows, some chunks at a time."""
+    k = len(residues)
+    lut = np.full(256, k, dtype=np.int64)
+    lut[[ord(a) for a in residues]] = np.arange(k)
+    for batch in batches:
+        cnts = batch.column(2).to_numpy()
+        at = 0
+        while at < len(cnts):
+            end = at + max(1, int(np.searchsorted(np.cumsum(cnts[at:]), rows, side="right")))
+            part, n = batch.slice(at, end - at), cnts[at:end]
+            text = np.frombuffer("".join(part.column(3).to_pylist()).encode("utf-32-le"), "<u4")
+            codes = np.where(text < 256, lut[np.minimum(text, 255)], k)
+            running = np.zeros((len(codes) + 1, k + 1), dtype=np.int32)
+            running[np.arange(1, len(codes) + 1), codes] = 1
+            np.cumsum(running, axis=0, out=running)
+            begins = np.concatenate(([0], np.cumsum((n - 1) * step + w)[:-1]))
+            row = np.repeat(np.arange(len(n)), n)
+            j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            place = begins[row] + j * step
+            X = (running[place + w, :k] - running[place, :k]) / float(w)
+            starts = ((part.column(1).to_numpy()[row] + j) * step + 1).astype(np.int32)
+            yield part.column(0).take(pa.array(row)), starts, X
+            at = end
+
+
+def _lists(words: np.ndarray) -> pa.Array:
+    n, k = words.shape
+    return pa.ListArray.from_arrays(np.arange(0, (n + 1) * k, k, dtype=np.int32), pa.array(words.reshape(-1), type=pa.int64()))
 
 
-def _positive(X: np.ndarray, W_aug: np.ndarray) -> np.ndarray:
-    """``[X, 1] . W_aug <= 0`` (W_aug = [W^T; b]) in row blocks with reused buffers.
+@dataclass(frozen=True)
+class WindowScores:
+    """All models over all windows of ``seqs`` (residue composition), evaluated when asked.
 
-    Small blocks keep temporaries in cache instead of mapping fresh pages per batch.
+    Every method is one pass over the text. ``repeated`` holds the IDs that stand on several records: their
+    windows share names, so their votes are united per name (``rows`` does it); other names occur once.
     """
-    n, d = X.shape
-    m = W_aug.shape[1]
-    out = np.empty((n, m), dtype=bool)
-    Xa = np.empty((min(n, _BLOCK), d + 1), dtype=np.float64)
-    Xa[:, d] = 1.0
-    M = np.empty((min(n, _BLOCK), m), dtype=np.float64)
-    for s0 in range(0, n, _BLOCK):
-        s1 = min(n, s0 + _BLOCK)
-        k = s1 - s0
-        Xa[:k, :d] = X[s0:s1]
-        np.matmul(Xa[:k], W_aug, out=M[:k])
-        np.less_equal(M[:k], 0.0, out=out[s0:s1])
-    return out
-
-
-def augmented(models: "LinearModels") -> np.ndarray:
-    return np.ascontiguousarray(np.vstack([models.W.T, models.b.reshape(1, -1)]))
-
-
-def score_support(features: DataFrame, models: LinearModels, feature_cols: list[str],
-                  keep: list[str]) -> DataFrame:
-    """``keep + support BIGINT + hits ARRAY<BIGINT>`` for every feature row."""
-    if len(feature_cols) != models.W.shape[1]:
-        raise ValueError("feature count does not match model width")
-    W_aug = augmented(models)
-    n_words = models.n_words
-    in_schema = features.select(*keep).schema
-    out_schema = T.StructType(list(in_schema.fields) + [
-        T.StructField("support", T.LongType(), False),
-        T.StructField("hits", T.ArrayType(T.LongType(), False), False)])
-    feature_cols = list(feature_cols)
-    keep = list(keep)
-
-    def run(batches):
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            X = _batches_to_X(batch, feature_cols)
-            pos = _positive(X, W_aug)
-            support = pos.sum(axis=1).astype(np.int64)
-            words = _to_words(pos, n_words)
-            hits = pa.ListArray.from_arrays(np.arange(0, (n + 1) * n_words, n_words, dtype=np.int32),
-                                            pa.array(words.reshape(-1), type=pa.int64()))
-            cols = [batch.column(c) for c in keep] + [pa.array(support, type=pa.int64()), hits]
-            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
-                [batch.schema.field(c) for c in keep] +
-                [pa.field("support", pa.int64(), False), pa.field("hits", pa.list_(pa.field("element", pa.int64(), False)), False)]))
 
-    return features.select(*keep, *feature_cols).mapInArrow(run, out_schema)
+    seqs: DataFrame
+    models: LinearModels
+    residues: str
+    w: int = 15
+    step: int = 1
+    min_len: int = 15
+    spread_above: int | None = SPREAD_ABOVE
+    chunk: int = CHUNK
+
+    def _pass(self, emit: Callable, schema: str, seqs: DataFrame | None = None) -> DataFrame:
+        """``emit(blocks)`` over (seq_ids, starts, votes) blocks of each task."""
+        if len(self.residues) != self.models.W.shape[1]:
+            raise ValueError("residue alphabet does not match model width")
+        models, w, step, residues = self.models, self.w, self.step, self.residues
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from emit((ids, starts, models.votes(X)) for ids, starts, X in window_blocks(batches, w, step, residues))
+
+        chunks = window_chunks(self.seqs if seqs is None else seqs, w, step, self.min_len, self.chunk, self.spread_above)
+        return chunks.select("seq_id", "first", "cnt", "text").mapInArrow(run, schema)
+
+    def _rows(self, least: int, seqs: DataFrame | None = None) -> DataFrame:
+        models = self.models
+
+        def emit(blocks):
+            for ids, starts, pos in blocks:
+                support = pos.sum(axis=1).astype(np.int64)
+                keep = np.flatnonzero(support >= least)
+                if len(keep):
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep)), pa.array(starts[keep]), pa.array(support[keep]), _lists(models.words(pos[keep]))],
+                                                     ["seq_id", "start", "support", "hits"])
+
+        return self._pass(emit, "seq_id string, start int, support long, hits array<bigint>", seqs)
+
+    def rows(self, least: int = 0) -> DataFrame:
+        """``(NAME, seq_id, start, support, hits)`` of every window with at least ``least`` votes, one row per name."""
+        dup = self.repeated()
+        if dup is None:
+            out = self._rows(least)
+        else:
+            ids = dup.withColumnRenamed("seq_id", "_id")
+            same = F.col("seq_id") == F.col("_id")
+            many = dedupe_support(self._rows(0, self.seqs.join(ids, same, "left_semi")), "seq_id", self.models.n_words, ("start",))
+            out = self._rows(least, self.seqs.join(ids, same, "left_anti")).unionByName(many.where(F.col("support") >= least))
+        return out.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", "support", "hits")
+
+    def repeated(self) -> DataFrame | None:
+        """IDs of several records, or None; only IDs are counted, not text."""
+        dup = self.seqs.groupBy("seq_id").count().where("count > 1").select("seq_id")
+        n = dup.limit(1_000_001).count()
+        return None if n == 0 else F.broadcast(dup) if n <= 1_000_000 else dup
+
+    def n_lists(self) -> int:
+        """N = number of models that predict at least one window positive.
+
+        Each task stops reading once every model has had a positive window, so the usual case touches a few chunks
+        per task; a model that never fires makes the tasks read everything. One bitmask per task reaches the driver.
+        """
+        models = self.models
+
+        def emit(blocks):
+            seen = np.zeros(len(models.list_ids), dtype=bool)
+            for _, _, pos in blocks:
+                seen |= pos.any(axis=0)
+                if seen.all():
+                    break
+            yield pa.RecordBatch.from_arrays([_lists(models.words(seen[None, :]))], ["hits"])
 
+        masks = self._pass(emit, "hits array<bigint>")
+        r = masks.agg(*[F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(models.n_words)]).first()
+        return sum(((r[j] or 0) & ((1 << 64) - 1)).bit_count() for j in range(models.n_words))
 
-def hit_count(hits_col: str = "hits", n_words: int = 1):
-    return sum((F.bit_count(F.col(hits_col)[j]).cast("bigint") for j in range(n_words)), F.lit(0).cast("bigint"))
+    def list_digests(self) -> DataFrame:
+        """``(list_id, n_positive, name_sum)`` of each non-empty list: its length and the sum of the first 8 hex digits of
+        its names' md5. Each task sums up its own lists, so a list is one row per task, not one per name. IDs must be unique.
+        """
+        ids = list(self.models.list_ids)
 
+        def emit(blocks):
+            n, total = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
+            for seq_ids, starts, pos in blocks:
+                h = np.array([int(hashlib.md5(f"{i}:{s}".encode()).hexdigest()[:8], 16) for i, s in zip(seq_ids.to_pylist(), starts.tolist())], dtype=np.int64)
+                n += pos.sum(axis=0)
+                # exact in doubles: 32-bit hashes, halves of them summed over a block
+                total += ((h & 0xFFFF).astype(np.float64) @ pos).astype(np.int64) + (((h >> 16).astype(np.float64) @ pos).astype(np.int64) << 16)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), pa.array(n), pa.array(total)], ["list_id", "n", "h"])
 
-def dedupe_support(scored: DataFrame, name_col: str, n_words: int, keep=()) -> DataFrame:
-    """Exact A1 for repeated names: OR the bitmasks per name, then count bits."""
-    aggs = [F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)]
-    g = scored.groupBy(name_col, *keep).agg(*aggs)
-    hits = F.array(*[F.col(f"w{j}") for j in range(n_words)])
-    support = sum((F.bit_count(F.col(f"w{j}")).cast("bigint") for j in range(n_words)), F.lit(0).cast("bigint"))
-    return g.select(name_col, *keep, support.alias("support"), hits.alias("hits"))
+        per_task = self._pass(emit, "list_id string, n bigint, h bigint")
+        return per_task.groupBy("list_id").agg(F.sum("n").alias("n_positive"), F.sum("h").alias("name_sum")).where(F.col("n_positive") > 0)
 
 
-def _batches_to_X(batch, feature_cols):
-    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in feature_cols])
+def composition_rows(seqs: DataFrame, residues: str, w: int = 15, step: int = 1, min_len: int = 15, chunk: int = CHUNK,
+                     spread_above: int | None = SPREAD_ABOVE) -> DataFrame:
+    """X9 straight from the text: ``NAME, seq_id, start, f_A .. f_Y`` of every window."""
+    names = [f"f_{a}" for a in residues]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, starts, X in window_blocks(batches, w, step, residues):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(starts), *(pa.array(np.ascontiguousarray(X[:, i])) for i in range(len(names)))], ["seq_id", "start", *names])
 
-def nonempty_lists(features: DataFrame, models: LinearModels, feature_cols: list[str]):
-    """N = number of models that predict at least one row positive (lazy scalar subquery).
+    chunks = window_chunks(seqs, w, step, min_len, chunk, spread_above).select("seq_id", "first", "cnt", "text")
+    out = chunks.mapInArrow(run, "seq_id string, start int, " + ", ".join(f"{n} double" for n in names))
+    return out.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", *names)
 
-    Each task stops reading as soon as every model has had a positive row, so in
-    the usual case this touches one Arrow batch per partition, not the table.
-    Exact: a model with no positive anywhere makes the tasks read everything.
-    """
-    W_aug = augmented(models)
-    m = len(models.list_ids)
-    n_words = models.n_words
-    feature_cols = list(feature_cols)
 
-    def run(batches):
-        seen = np.zeros(m, dtype=bool)
+def score_features(features: DataFrame, models: LinearModels, feature_cols: list[str], keep: list[str], least: int = 0) -> DataFrame:
+    """``keep + support + hits`` for every row of an ingested feature table with at least ``least`` votes."""
+    if len(feature_cols) != models.W.shape[1]:
+        raise ValueError("feature count does not match model width")
+    head = features.select(*keep, F.array(*[F.col(f"`{c}`").cast("double") for c in feature_cols]).alias("x"))
+    k = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                seen |= _positive(_batches_to_X(batch, feature_cols), W_aug).any(axis=0)
-                if seen.all():
-                    break
-        words = _to_words(seen.reshape(1, m), n_words)[0]
-        yield pa.RecordBatch.from_arrays([pa.array([words.tolist()], type=pa.list_(pa.int64()))], names=["hits"])
+                pos = models.votes(batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+                support = pos.sum(axis=1).astype(np.int64)
+                sel = np.flatnonzero(support >= least)
+                part = batch.take(pa.array(sel))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(k)), pa.array(support[sel]), _lists(models.words(pos[sel]))], [*keep, "support", "hits"])
 
-    seen = features.select(*feature_cols).mapInArrow(run, "hits array<bigint>")
-    aggs = [F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)]
-    total = sum((F.bit_count(F.col(f"w{j}")).cast("bigint") for j in range(n_words)), F.lit(0).cast("bigint"))
-    return seen.agg(*aggs).select(F.coalesce(total, F.lit(0).cast("bigint")).alias("n_lists")).scalar()
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head.select(*keep).schema)
+    return head.mapInArrow(run, f"{kinds}, support long, hits array<bigint>")
 
 
-def positive_counts(features: DataFrame, models: LinearModels, feature_cols: list[str]) -> DataFrame:
-    """Rows predicted positive per model: ``(list_id, n_positive)`` for non-empty lists.
+def hit_count(words) -> F.Column:
+    """Number of set bits of some bitmask columns."""
+    return sum((F.bit_count(x).cast("bigint") for x in words), F.lit(0).cast("bigint"))
 
-    One scoring pass; each task emits one small row per model, then a tiny
-    aggregate sums them (partial counts never leave the task as rows).
-    """
-    W_aug = augmented(models)
-    ids = list(models.list_ids)
-    feature_cols = list(feature_cols)
 
-    def run(batches):
-        acc = np.zeros(len(ids), dtype=np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                acc += _positive(_batches_to_X(batch, feature_cols), W_aug).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), pa.array(acc, type=pa.int64())],
-                                         names=["list_id", "n"])
+def dedupe_support(scored: DataFrame, name_col: str, n_words: int, keep=()) -> DataFrame:
+    """Exact A1 for repeated names: OR the bitmasks per name, then count bits (a partial aggregate)."""
+    g = scored.groupBy(name_col, *keep).agg(*[F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)])
+    words = [F.col(f"w{j}") for j in range(n_words)]
+    return g.select(name_col, *keep, hit_count(words).alias("support"), F.array(*words).alias("hits"))
+
 
-    per_task = features.select(*feature_cols).mapInArrow(run, "list_id string, n bigint")
-    return per_task.groupBy("list_id").agg(F.sum("n").alias("n_positive")).where(F.col("n_positive") > 0)
+def n_lists_of(scored: DataFrame, n_words: int) -> F.Column:
+    """N over scored rows (lazy scalar subquery): models with at least one positive row."""
+    g = scored.agg(*[F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)])
+    return g.select(F.coalesce(hit_count([F.col(f"w{j}") for j in range(n_words)]), F.lit(0).cast("bigint")).alias("n_lists")).scalar()
 
 
-def prediction_pairs(scored: DataFrame, models: LinearModels, name_col: str = "NAME") -> DataFrame:
-    """Expand the bitmask into per-model prediction lists ``(list_id, name)`` (K5 input)."""
+def prediction_pairs(scored: DataFrame, models: LinearModels, name_col: str = "NAME", plan: DataFrame | None = None) -> DataFrame:
+    """Set bits of the bitmask -> per-model prediction lists ``(list_id, name)``, with the identity columns of ``plan``
+    (``family, crit, tag, mult, n_feats, model``) where it is given (K5 input). Only set bits are exploded.
+    """
     ids = F.array(*[F.lit(x) for x in models.list_ids])
-    m = len(models.list_ids)
-    j = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j")
-    x = scored.select(F.col(name_col).alias("name"), "hits", j)
-    bit = F.expr("shiftrightunsigned(hits[CAST(j DIV 64 AS INT)], CAST(j % 64 AS INT)) & 1")
-    return x.where(bit != 0).select(F.element_at(ids, F.col("j") + 1).alias("list_id"), "name")
+    bits = F.filter(F.sequence(F.lit(0), F.lit(len(models.list_ids) - 1)),
+                    lambda j: F.getbit(F.get("hits", F.floor(j / 64).cast("int")), j % 64) == 1)
+    pairs = scored.where(F.col("support") > 0).select(F.col(name_col).alias("name"), F.explode(bits).alias("j"))
+    pairs = pairs.select(F.get(ids, F.col("j")).alias("list_id"), "name")
+    return pairs if plan is None else pairs.join(F.broadcast(plan), "list_id")   # plan: one row per model
 
 
 def predict_positive_names(scored_one_model: DataFrame, name_col: str = "NAME", prediction_col: str = "prediction") -> DataFrame:
     """Names predicted as class 0 (positive) by one fitted Spark ML model."""
     return scored_one_model.where(F.col(prediction_col) == 0).select(F.col(name_col).alias("name"))
-
-
-# ---------------------------------------------------------------- fused composition + scoring
-
-def _utf8_parts(arr):
-    """(data uint8, offsets int64) of an Arrow string/binary array (any offset width)."""
-    import pyarrow.compute as pc  # noqa: F401
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    t = arr.type
-    if pa.types.is_large_string(t) or pa.types.is_large_binary(t):
-        off_dtype = np.int64
-    elif pa.types.is_string(t) or pa.types.is_binary(t):
-        off_dtype = np.int32
-    else:
-        arr = arr.cast(pa.large_string())
-        off_dtype = np.int64
-    bufs = arr.buffers()
-    offsets = np.frombuffer(bufs[1], dtype=off_dtype)[arr.offset: arr.offset + len(arr) + 1].astype(np.int64)
-    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
-    return data, offsets
-
-
-def composition_matrix(arr, residues: str) -> np.ndarray:
-    """Fraction of each residue letter per string, vectorised over an Arrow batch.
-
-    Bytes are mapped through a lookup table and counted with one ``bincount``;
-    the denominator is the character length (non-residue bytes count as other).
-    """
-    import pyarrow.compute as pc
-    k = len(residues)
-    lut = np.full(256, k, dtype=np.int64)
-    for i, a in enumerate(residues):
-        lut[ord(a)] = i
-    data, offsets = _utf8_parts(arr)
-    n = len(offsets) - 1
-    lengths = np.diff(offsets)
-    codes = lut[data[offsets[0]:offsets[-1]]]
-    rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
-    counts = np.bincount(rows * (k + 1) + codes, minlength=n * (k + 1)).reshape(n, k + 1)[:, :k]
-    chars = pc.utf8_length(arr).to_numpy(zero_copy_only=False).astype(np.float64)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return counts / chars[:, None]
-
-
-def score_windows(windows: DataFrame, models: LinearModels, residues: str, keep: list[str],
-                  sub_col: str = "sub", min_support: int = 0) -> DataFrame:
-    """Composition features + all-model scores in one Arrow pass: ``keep + support + hits``.
-
-    Rows with fewer than ``min_support`` positive votes are dropped inside the
-    kernel (they could never pass a vote threshold), so they never cross back.
-    """
-    if len(residues) != models.W.shape[1]:
-        raise ValueError("residue alphabet does not match model width")
-    W_aug = augmented(models)
-    n_words = models.n_words
-    keep = list(keep)
-    in_schema = windows.select(*keep).schema
-    out_schema = T.StructType(list(in_schema.fields) + [
-        T.StructField("support", T.LongType(), False),
-        T.StructField("hits", T.ArrayType(T.LongType(), False), False)])
-
-    def run(batches):
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            X = composition_matrix(batch.column(sub_col), residues)
-            pos = _positive(X, W_aug)
-            support = pos.sum(axis=1).astype(np.int64)
-            if min_support > 0:
-                sel = np.nonzero(support >= min_support)[0]
-                if len(sel) == 0:
-                    continue
-                if len(sel) < n:
-                    batch = batch.take(pa.array(sel))
-                    pos, support, n = pos[sel], support[sel], len(sel)
-            words = _to_words(pos, n_words)
-            hits = pa.ListArray.from_arrays(np.arange(0, (n + 1) * n_words, n_words, dtype=np.int32),
-                                            pa.array(words.reshape(-1), type=pa.int64()))
-            cols = [batch.column(c) for c in keep] + [pa.array(support), hits]
-            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
-                [batch.schema.field(c) for c in keep] +
-                [pa.field("support", pa.int64(), False), pa.field("hits", pa.list_(pa.field("element", pa.int64(), False)), False)]))
-
-    cols = keep + ([sub_col] if sub_col not in keep else [])
-    return windows.select(*cols).mapInArrow(run, out_schema)
-
-
-def nonempty_lists_windows(windows: DataFrame, models: LinearModels, residues: str, sub_col: str = "sub"):
-    """N over window text (composition computed in the kernel); early exit as in ``nonempty_lists``."""
-    W_aug = augmented(models)
-    m = len(models.list_ids)
-    n_words = models.n_words
-
-    def run(batches):
-        seen = np.zeros(m, dtype=bool)
-        for batch in batches:
-            if batch.num_rows:
-                seen |= _positive(composition_matrix(batch.column(sub_col), residues), W_aug).any(axis=0)
-                if seen.all():
-                    break
-        words = _to_words(seen.reshape(1, m), n_words)[0]
-        yield pa.RecordBatch.from_arrays([pa.array([words.tolist()], type=pa.list_(pa.int64()))], names=["hits"])
-
-    seen = windows.select(sub_col).mapInArrow(run, "hits array<bigint>")
-    aggs = [F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)]
-    total = sum((F.bit_count(F.col(f"w{j}")).cast("bigint") for j in range(n_words)), F.lit(0).cast("bigint"))
-    return seen.agg(*aggs).select(F.coalesce(total, F.lit(0).cast("bigint")).alias("n_lists")).scalar()
-
-
-def positive_counts_windows(windows: DataFrame, models: LinearModels, residues: str, sub_col: str = "sub") -> DataFrame:
-    """Per-model positive counts over window text, one pass (see ``positive_counts``)."""
-    W_aug = augmented(models)
-    ids = list(models.list_ids)
-
-    def run(batches):
-        acc = np.zeros(len(ids), dtype=np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                acc += _positive(composition_matrix(batch.column(sub_col), residues), W_aug).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), pa.array(acc, type=pa.int64())],
-                                         names=["list_id", "n"])
-
-    per_task = windows.select(sub_col).mapInArrow(run, "list_id string, n bigint")
-    return per_task.groupBy("list_id").agg(F.sum("n").alias("n_positive")).where(F.col("n_positive") > 0)
-
-
-def probe_all_models_fire(windows: DataFrame, models: LinearModels, residues: str, rows: int = 200_000,
-                          sub_col: str = "sub") -> bool:
-    """Cheap exact shortcut for N: score the first ``rows`` windows; if every model
-    already predicts something positive there, N equals the model count."""
-    W_aug = augmented(models)
-    m = len(models.list_ids)
-
-    def run(batches):
-        seen = np.zeros(m, dtype=bool)
-        for batch in batches:
-            if batch.num_rows:
-                seen |= _positive(composition_matrix(batch.column(sub_col), residues), W_aug).any(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([int(seen.sum())], type=pa.int64()),
-                                          pa.array([seen.tobytes()], type=pa.binary())], names=["k", "mask"])
-
-    got = windows.select(sub_col).limit(rows).mapInArrow(run, "k bigint, mask binary").collect()
-    seen = np.zeros(m, dtype=bool)
-    for r in got:
-        seen |= np.frombuffer(r["mask"], dtype=bool)
-    return bool(seen.all())

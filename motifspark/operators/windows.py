@@ -4,12 +4,13 @@ A window is ``sub = seq[start : start + w - 1]`` (1-based) for starts
 1, 1+step, ... while the window fits; sequences shorter than ``min_len`` give
 nothing. Names are ``seq_id:start`` (or ``seq_id:k`` in index mode).
 
-Scale: one very long sequence would explode into billions of rows inside the
-task that read it. We therefore explode in two levels: first into *chunks* of
-``chunk`` windows (each chunk carries only its own slice of the text), spread
-the chunks over ``n_partitions`` tasks, then explode each chunk into windows.
-The extra shuffle moves the raw text once, which is small next to the
-window output (about ``w`` times the text).
+Scale: a sequence is exploded in two levels, first into *chunks* of windows
+(each carries only its own slice of text), then each chunk into windows, all in
+the task that read it: no shuffle. Only sequences with more than
+``spread_above`` letters are dealt out by chunk first, so that one sequence
+holding a third of all letters is not one task. A column ``raw_len`` (an upper
+bound of the length that costs nothing, such as the size of the raw text) lets
+the scan tell long from short before any cleaning.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from motifspark.functions.ids import fragment_name
-from motifspark.session import shuffle_partitions
 
 
 def window_count(length, w: int, step: int, min_len: int):
@@ -26,41 +26,47 @@ def window_count(length, w: int, step: int, min_len: int):
     return F.when((length >= F.lit(max(min_len, 0))) & (length >= F.lit(w)), n).otherwise(F.lit(0).cast("bigint"))
 
 
-def sliding_windows(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int = 15,
-                    id_mode: str = "start", chunk: int = 64,
-                    n_partitions: int | None = None, spread: bool = True) -> DataFrame:
-    """``seqs(seq_id, seq)`` -> ``windows(name, seq_id, start, sub)``."""
+SPREAD_ABOVE = 1 << 22
+
+
+def window_chunks(seqs: DataFrame, w: int, step: int, min_len: int, chunk: int, spread_above: int | None = SPREAD_ABOVE) -> DataFrame:
+    """``seqs(seq_id, seq)`` -> ``(seq_id, first, cnt, text)``: windows first .. first + cnt - 1 (0-based) and just their text."""
     if w < 1 or step < 1:
         raise ValueError("window and step must be >= 1")
-    if id_mode not in ("start", "index"):
-        raise ValueError("id_mode must be 'start' or 'index'")
-    spark = seqs.sparkSession
-    n_win = window_count(F.length("seq"), w, step, min_len)
     # Character-position substring on a UTF-8 string scans from the start, which
     # makes windowing a long sequence quadratic. Sequence text is ASCII in
     # practice (FASTA), where bytes = characters and a BINARY substring is an
     # O(1) slice; any non-ASCII row keeps the character-based path.
-    base = seqs.select("seq_id", "seq").withColumn("n_win", n_win).where(F.col("n_win") > 0) \
-               .withColumn("ascii", F.octet_length("seq") == F.length("seq"))
-    n_chunks = F.floor((F.col("n_win") - 1) / F.lit(chunk)).cast("int")
-    chunks = base.select("seq_id", "n_win", "ascii", F.explode(F.sequence(F.lit(0), n_chunks)).alias("c"), "seq")
-    first = F.col("c").cast("bigint") * F.lit(chunk)            # 0-based index of the chunk's first window
-    cnt = F.least(F.lit(chunk).cast("bigint"), F.col("n_win") - first)
-    off = (first * step + 1).cast("int")
-    ln = ((cnt - 1) * step + w).cast("int")
-    text = F.when(F.col("ascii"), F.substring(F.col("seq").cast("binary"), off, ln)) \
-            .otherwise(F.encode(F.substring("seq", off, ln), "UTF-8"))
-    chunks = chunks.select("seq_id", "ascii", first.alias("first"), cnt.alias("cnt"), text.alias("text"))
-    if spread:
-        chunks = chunks.repartition(n_partitions or shuffle_partitions(spark), "seq_id", "first")
+    def cut(part: DataFrame, spread: bool) -> DataFrame:
+        base = part.select("seq_id", "seq")
+        n_win = window_count(F.length("seq"), w, step, min_len)
+        n_chunks = F.floor((n_win - 1) / F.lit(chunk)).cast("int")
+        # a sequence without windows gives a null array, hence no row: no filter that would clean its text a second time
+        c = base.select("seq_id", n_win.alias("n_win"), F.explode(F.when(n_win > 0, F.sequence(F.lit(0), n_chunks))).alias("c"), "seq")
+        first = F.col("c").cast("bigint") * F.lit(chunk)
+        cnt = F.least(F.lit(chunk).cast("bigint"), F.col("n_win") - first)
+        off, ln = (first * step + 1).cast("int"), ((cnt - 1) * step + w).cast("int")
+        text = F.when(F.octet_length("seq") == F.length("seq"), F.substring(F.col("seq").cast("binary"), off, ln).cast("string")) \
+                .otherwise(F.substring("seq", off, ln))
+        out = c.select("seq_id", first.alias("first"), cnt.alias("cnt"), text.alias("text"))
+        return out.repartition("seq_id", "first") if spread else out
 
+    if spread_above is None:
+        return cut(seqs, False)
+    size = F.coalesce(F.col("raw_len") if "raw_len" in seqs.columns else F.length("seq"), F.lit(0))
+    return cut(seqs.where(size <= spread_above), False).unionByName(cut(seqs.where(size > spread_above), True))
+
+
+def sliding_windows(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int = 15, id_mode: str = "start", chunk: int = 64,
+                    spread_above: int | None = SPREAD_ABOVE) -> DataFrame:
+    """``seqs(seq_id, seq)`` -> ``windows(name, seq_id, start, sub)``."""
+    if id_mode not in ("start", "index"):
+        raise ValueError("id_mode must be 'start' or 'index'")
+    chunks = window_chunks(seqs, w, step, min_len, chunk, spread_above)
     # Chunks are short (``chunk`` windows), so carrying the chunk text through the
     # generator costs a small copy per window and everything stays in codegen.
     j = F.explode(F.sequence(F.lit(0), (F.col("cnt") - 1).cast("int"))).alias("j")
-    exploded = chunks.select("seq_id", "ascii", "first", "text", j)
-    pos = F.col("j") * step + 1
-    sub = F.when(F.col("ascii"), F.substring(F.col("text"), pos, w).cast("string")) \
-           .otherwise(F.substring(F.decode(F.col("text"), "UTF-8"), pos, w))
+    exploded = chunks.select("seq_id", "first", "text", j)
     idx = F.col("first") + F.col("j")                            # 0-based window index
     start = (idx * step + 1).cast("int")
     label = start if id_mode == "start" else (idx + 1).cast("int")
@@ -68,7 +74,7 @@ def sliding_windows(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int =
         fragment_name("seq_id", label).alias("name"),
         "seq_id",
         start.alias("start"),
-        sub.alias("sub"),
+        F.substring("text", F.col("j") * step + 1, w).alias("sub"),
     )
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from motifspark.functions.ids import id_part, split_fragment_id
 from motifspark.functions.text import RESIDUES
 from motifspark.operators import consensus as C
-from motifspark.operators.features import composition_features, composition_names
+from motifspark.operators.features import composition_features
 from motifspark.operators.regions import merge_regions, parse_fragments
-from motifspark.operators.windows import window_counts
+from motifspark.operators.windows import sliding_windows, window_counts
 from motifspark.plans import flows
 from motifspark.plans.runplan import THRESHOLDS
 from motifspark.sources import oracle as O
@@ -65,29 +65,31 @@ def q_windows_step3(spark, d):
 
 # ---------------------------------------------------------------- composition features
 
-_SUM_F = ", ".join(f"round(sum(f_{a}), 6) AS s_{a}" for a in RESIDUES)
+def _sql_round(cols, expr="{c}"):
+    return ", ".join(f"round({expr.format(c=c)}, 6) AS {c}" for c in cols)
+
+
+_FB = [f"f_{a}" for a in RESIDUES]
 
 
 @query("composition_features", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte()) +
-       f"SELECT seq_id, count(*) AS n_windows, {_SUM_F} FROM features_big GROUP BY seq_id")
+       "SELECT NAME, " + _sql_round(_FB) + " FROM features_big")
 def q_composition(spark, d):
-    f = composition_features(V.windows(spark, d), keep=("seq_id",))
-    return f.groupBy("seq_id").agg(F.count(F.lit(1)).alias("n_windows"),
-                                   *[r6(F.sum(f"f_{a}")).alias(f"s_{a}") for a in RESIDUES])
+    return _round_cols(flows.window_features(V.sequences(spark, d)).select("NAME", *_FB), _FB)
 
 
 # ---------------------------------------------------------------- all-model scoring
 
-def _scored(spark, d, thresholds=None):
-    return flows.scored_windows(V.sequences(spark, d), V.models_linear(spark), thresholds=thresholds)
+def _scores(spark, d):
+    return flows.window_scores(V.sequences(spark, d), V.models_linear(spark))
 
 
 @query("score_all_models", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte()) +
-       f"SELECT m.list_id, count(*) AS n_positive FROM features_big f, models m WHERE {O.margin_expr()} <= 0 GROUP BY m.list_id")
+       f", h AS (SELECT *, CAST(CAST(('0x' || substr(md5(NAME), 1, 8)) AS UBIGINT) AS BIGINT) AS h FROM features_big) "
+       f"SELECT m.list_id, count(*) AS n_positive, CAST(sum(f.h) AS BIGINT) AS name_sum FROM h f, models m WHERE {O.margin_expr()} <= 0 GROUP BY m.list_id")
 def q_score_all(spark, d):
-    from motifspark.operators.predict import collect_models, positive_counts_windows
-    lm = collect_models(V.models_linear(spark), len(RESIDUES))
-    return positive_counts_windows(V.windows(spark, d), lm, RESIDUES)
+    """All 172 lists as digests: their lengths and the sums of their names' hashes."""
+    return _scores(spark, d).list_digests()
 
 
 _SCORED_SQL = _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte(),
@@ -113,14 +115,12 @@ def _islands_sql(src: str, keys: str, w: int = 15, min_frags: int = 2) -> str:
 
 @query("consensus_scored", _SCORED_SQL + "SELECT pct, name, support FROM cons")
 def q_consensus_scored(spark, d):
-    scored, n, _ = _scored(spark, d, THRESHOLDS)
-    return flows.consensus_windows(scored, n).select("pct", "name", "support")
+    return flows.consensus_windows(_scores(spark, d)).select("pct", "name", "support")
 
 
 @query("regions_all", _SCORED_SQL + _islands_sql("cons", "pct"))
 def q_regions_all(spark, d):
-    scored, n, _ = _scored(spark, d, THRESHOLDS)
-    return flows.consensus_regions(flows.consensus_windows(scored, n))
+    return flows.consensus_regions(flows.consensus_windows(_scores(spark, d)))
 
 
 _WRAP_SQL = ("array_to_string(list_transform(range(0, length(r), 60), lambda i: substr(r, i + 1, 60)), chr(10))")
@@ -134,8 +134,7 @@ _WRAP_SQL = ("array_to_string(list_transform(range(0, length(r), 60), lambda i:
        "FROM (SELECT g.*, substr(s.seq, g.start, g.\"end\" - g.start + 1) AS r FROM regions g JOIN sequences s USING (seq_id) "
        "WHERE g.start >= 1 AND g.\"end\" <= length(s.seq) AND g.start <= g.\"end\") g")
 def q_region_fasta(spark, d):
-    scored, n, _ = _scored(spark, d, THRESHOLDS)
-    regions = flows.consensus_regions(flows.consensus_windows(scored, n))
+    regions = flows.consensus_regions(flows.consensus_windows(_scores(spark, d)))
     return flows.region_fasta(regions, V.sequences(spark, d))
 
 
@@ -222,7 +221,6 @@ from motifspark.operators import metrics as ME  # noqa: E402
 from motifspark.operators import importance as IM  # noqa: E402
 
 _F64 = [f"f{i}" for i in range(64)]
-_FB = [f"f_{a}" for a in RESIDUES]
 
 
 def _round_cols(df, cols):
@@ -230,10 +228,6 @@ def _round_cols(df, cols):
     return df.select(*[r6(F.col(c)).alias(c) if c in s else F.col(c) for c in df.columns])
 
 
-def _sql_round(cols, expr="{c}"):
-    return ", ".join(f"round({expr.format(c=c)}, 6) AS {c}" for c in cols)
-
-
 @query("fill_missing", _with(O.features_dirty_cte()) +
        "SELECT NAME, " + _sql_round(_F64, "CASE WHEN {c} IS NULL OR isnan({c}) THEN 0.0 ELSE {c} END") + ", CLASS FROM features_dirty")
 def q_fill_missing(spark, d):
@@ -297,21 +291,26 @@ def q_class_counts(spark, d):
 _REF = _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.id_list_cte(), O.benchmark_windows_cte())
 
 
+def _names(seqs):
+    return sliding_windows(seqs).select(F.col("name").alias("NAME"))
+
+
 @query("control_by_ids", _REF + "SELECT NAME, " + _sql_round(_FB) +
        " FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list)")
 def q_control_by_ids(spark, d):
-    return _round_cols(CO.control_by_ids(V.reference_features(spark, d), V.id_list(spark, d)), _FB)
+    return _round_cols(flows.window_features(CO.sequences_by_ids(V.sequences(spark, d), V.id_list(spark, d))).select("NAME", *_FB), _FB)
 
 
 @query("control_exclude", _REF + "SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) NOT IN (SELECT id FROM id_list)")
 def q_control_exclude(spark, d):
-    return CO.control_exclude(V.reference_features(spark, d), V.id_list(spark, d)).select("NAME")
+    return _names(CO.sequences_by_ids(V.sequences(spark, d), V.id_list(spark, d), exclude=True))
 
 
 @query("sample_n", _REF + "SELECT NAME, " + _sql_round(_FB) + " FROM features_big WHERE split_part(NAME, ':', 1) NOT IN "
        "(SELECT id FROM id_list) ORDER BY md5('42:' || NAME), NAME LIMIT 2000")
 def q_sample_n(spark, d):
-    return _round_cols(CO.random_controls(V.reference_features(spark, d), 2000, 42, V.id_list(spark, d)), _FB)
+    rest = CO.sequences_by_ids(V.sequences(spark, d), V.id_list(spark, d), exclude=True)
+    return _round_cols(CO.random_controls(composition_features(sliding_windows(rest)), 2000, 42), _FB)
 
 
 @query("short_buckets", _REF + ", npos AS (SELECT count(*) AS n FROM pos_windows), "
@@ -321,7 +320,7 @@ def q_sample_n(spark, d):
        "md5(CAST(7 + mult AS VARCHAR) || ':' || NAME), NAME) AS rn FROM pool, mults) t, npos WHERE rn <= mult * npos.n")
 def q_short_buckets(spark, d):
     n_pos = V.positive_features(spark, d).count()
-    pool = CO.control_exclude(V.reference_features(spark, d), V.id_list(spark, d)).select("NAME")
+    pool = _names(CO.sequences_by_ids(V.sequences(spark, d), V.id_list(spark, d), exclude=True))
     return SA.bucket_samples(pool, n_pos, (1, 2, 5, 10), seed=7).select("mult", "NAME")
 
 
@@ -337,7 +336,7 @@ def q_split(spark, d):
        "SELECT NAME, " + _sql_round(_FB) + ", 0 AS CLASS FROM pos UNION ALL SELECT NAME, " + _sql_round(_FB) +
        ", 1 AS CLASS FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list)")
 def q_label_union(spark, d):
-    u = CO.label_union(V.positive_features(spark, d), CO.control_by_ids(V.reference_features(spark, d), V.id_list(spark, d)))
+    u = CO.label_union(V.positive_features(spark, d), composition_features(sliding_windows(CO.sequences_by_ids(V.sequences(spark, d), V.id_list(spark, d)))))
     return _round_cols(u, _FB)
 
 
@@ -353,9 +352,8 @@ def q_label_union(spark, d):
 def q_training_tables(spark, d):
     pos = V.positive_features(spark, d).select("NAME")
     n_pos = pos.count()
-    ref = V.reference_features(spark, d).select("NAME")
-    ids = V.id_list(spark, d)
-    pools = {"PTM": CO.control_by_ids(ref, ids), "Random": CO.control_exclude(ref, ids)}
+    seqs, ids = V.sequences(spark, d), V.id_list(spark, d)
+    pools = {"PTM": _names(CO.sequences_by_ids(seqs, ids)), "Random": _names(CO.sequences_by_ids(seqs, ids, exclude=True))}
     return CO.training_tables(pos, pools, n_pos, (1, 2, 5, 10), seed=11).select("tag", "mult", "NAME", "CLASS")
 
 
@@ -462,7 +460,7 @@ def q_sequence_lookup(spark, d):
 
 @query("concat_sequences", _SRC_SQL + "SELECT seq_id, seq, source FROM sequences UNION ALL SELECT seq_id, seq, source FROM bseq")
 def q_concat(spark, d):
-    return V.sequences(spark, d).unionByName(_bench_as_docs(spark, d))
+    return V.sequences(spark, d).drop("raw_len").unionByName(_bench_as_docs(spark, d))
 
 
 # ---------------------------------------------------------------- single-model-group prediction
@@ -473,11 +471,10 @@ _TRIO = "linear/f1/PTM/1x/feats69/"
 @query("predict_linear", _with(O.sequences_cte(), O.windows_cte(), O.features_big_cte(), O.models_cte()) +
        f"SELECT m.list_id, f.NAME AS name FROM features_big f, models m WHERE m.list_id LIKE '{_TRIO}%' AND {O.margin_expr()} <= 0")
 def q_predict_linear(spark, d):
-    from motifspark.operators.predict import collect_models, prediction_pairs, score_windows
+    from motifspark.operators.predict import prediction_pairs
     models = V.models_linear(spark).where(F.col("list_id").startswith(_TRIO))
-    lm = collect_models(models, len(RESIDUES))
-    scored = score_windows(V.windows(spark, d).withColumnRenamed("name", "NAME"), lm, RESIDUES, keep=["NAME"], min_support=1)
-    return prediction_pairs(scored, lm)
+    scores = flows.window_scores(V.sequences(spark, d), models)
+    return prediction_pairs(scores.rows(1), scores.models)
 
 
 # ---------------------------------------------------------------- kNN and resampling

@@ -9,68 +9,44 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from motifspark.operators.consensus import consensus, threshold_k
-from motifspark.operators.extract import extract_regions
-from motifspark.operators.features import composition_features, composition_names
 from motifspark.functions.text import RESIDUES
-from motifspark.functions.ids import fragment_name
-from motifspark.operators.predict import (LinearModels, collect_models, nonempty_lists_windows,
-                                          probe_all_models_fire, score_windows)
+from motifspark.operators.consensus import NoLists, consensus
+from motifspark.operators.extract import extract_regions
+from motifspark.operators.predict import LinearModels, WindowScores, collect_models, composition_rows
 from motifspark.operators.regions import merge_regions
-from motifspark.operators.windows import sliding_windows
 from motifspark.plans.runplan import THRESHOLDS
 
 
 def window_features(seqs: DataFrame, w: int = 15, step: int = 1, min_len: int = 15) -> DataFrame:
-    win = sliding_windows(seqs, w=w, step=step, min_len=min_len)
-    return composition_features(win, keep=("seq_id", "start"))
+    return composition_rows(seqs, RESIDUES, w, step, min_len)
+
+
+def window_scores(seqs: DataFrame, models: DataFrame | LinearModels, w: int = 15, step: int = 1, min_len: int = 15) -> WindowScores:
+    """All windows of ``seqs`` against every model, on their residue composition."""
+    lm = models if isinstance(models, LinearModels) else collect_models(models, len(RESIDUES))
+    return WindowScores(seqs, lm, RESIDUES, w, step, min_len)
 
 
-def scored_windows(seqs: DataFrame, models: DataFrame | LinearModels, w: int = 15, step: int = 1,
-                   min_len: int = 15, thresholds=None):
-    """Windows of ``seqs`` scored by every model on their residue composition.
+def consensus_windows(scores: WindowScores, thresholds=THRESHOLDS, n: int | None = None) -> DataFrame:
+    """F5 over scored windows: ``(pct, name, seq_id, start, support)``.
 
-    Returns ``(scored, N, models)``; N = non-empty lists. A probe over the first
-    windows usually proves N = model count (exact: N cannot exceed it); then,
-    given ``thresholds``, windows below the lowest vote threshold are dropped
-    inside the scoring kernel. Otherwise N is a lazy scalar over all windows.
-    Composition and scores come from one Arrow pass, so only window text
-    crosses to Python. Window names are unique when ``seq_id`` is unique (true
-    for the lookup table, S2), so per-name support needs no shuffle.
+    N is counted first; windows below the lowest vote threshold then never leave the kernel. Raises ``NoLists``
+    when no model predicts anything.
     """
-    win = sliding_windows(seqs, w=w, step=step, min_len=min_len)
-    lm = models if isinstance(models, LinearModels) else collect_models(models, len(RESIDUES))
-    m = len(lm.list_ids)
-    probe = sliding_windows(seqs, w=w, step=step, min_len=min_len, spread=False)
-    min_support = 0
-    if probe_all_models_fire(probe, lm, RESIDUES):
-        n = F.lit(m).cast("bigint")
-        if thresholds:
-            min_support = max(1, math.ceil(min(thresholds) / 100.0 * m))
-    else:
-        n = nonempty_lists_windows(win, lm, RESIDUES)
-    scored = score_windows(win.select("seq_id", "start", "sub"), lm, RESIDUES, keep=["seq_id", "start"],
-                           min_support=min_support)
-    scored = scored.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", "support", "hits")
-    return scored, n, lm
-
-
-def consensus_windows(scored: DataFrame, n, thresholds=THRESHOLDS) -> DataFrame:
-    """F5 over scored windows: ``(pct, name, seq_id, start, support)``."""
-    s = scored.select(F.col("NAME").alias("name"), "seq_id", "start", "support")
-    return consensus(s, n, thresholds, keep=("seq_id", "start"))
+    n = scores.n_lists() if n is None else n
+    if n == 0:
+        raise NoLists("all prediction lists are empty")
+    least = max(1, math.ceil(min(thresholds) / 100.0 * n))
+    s = scores.rows(least).select(F.col("NAME").alias("name"), "seq_id", "start", "support")
+    return consensus(s, F.lit(n).cast("bigint"), thresholds, keep=("seq_id", "start"))
 
 
 def consensus_regions(cons: DataFrame, w: int = 15, min_frags: int = 2) -> DataFrame:
-    """regions per threshold, ``(pct, seq_id, start, end, n_frags)``."""
+    """regions per threshold, ``(pct, seq_id, start, end, n_frags)``; names are unique per threshold already."""
     return merge_regions(cons.select("pct", "seq_id", "start"), w=w, min_frags=min_frags,
                          keys=("pct",), distinct=False)
 
 
 def region_fasta(regions: DataFrame, seqs: DataFrame) -> DataFrame:
-    """FASTA records per threshold."""
+    """FASTA records per threshold; ``seqs`` is the lookup (one sequence per ID, S2)."""
     return extract_regions(regions, seqs, keys=("pct",))
-
-
-def support_threshold(pct: int, n):
-    return threshold_k(pct, n)

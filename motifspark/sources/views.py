@@ -35,7 +35,7 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("seq_id"),
                     clean_residues("text").alias("seq"),
-                    F.lit("documents").alias("source"))
+                    F.lit("documents").alias("source"), F.octet_length("text").alias("raw_len"))
 
 
 def windows(spark: SparkSession, sf_dir: str, w: int = W, step: int = 1, min_len: int = W) -> DataFrame:
