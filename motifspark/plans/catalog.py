@@ -506,19 +506,62 @@ def q_enn(spark, d):
     return edited_nn(V.features_small(spark, d), _F64, k=3, block_rows=128).select("NAME", "CLASS")
 
 
-@query("smote")
+def _smote_ctes(src: str, k: int, seed: int) -> str:
+    """SMOTE over ``src(NAME, CLASS, x)``: the same md5 choices in SQL -> ``smoted(NAME, CLASS, x)``."""
+    h = "CAST(CAST(('0x' || substr(md5({}), 1, 8)) AS UBIGINT) AS BIGINT)"
+    pick, gap = (h.format(f"'{seed}:' || g.NAME || ':' || CAST(g.j AS VARCHAR) || ':{x}'") for x in ("nn", "u"))
+    return (f"sizes AS (SELECT CLASS, count(*) AS n FROM {src} GROUP BY CLASS), "
+            f"mino AS (SELECT arg_min(CLASS, (n, CLASS)) AS c, min(n) AS n, max(n) - min(n) AS need FROM sizes), "
+            f"mins AS (SELECT p.NAME, p.x, p.CLASS FROM {src} p, mino WHERE p.CLASS = mino.c), "
+            "md AS (SELECT a.NAME AS id, b.NAME AS nid, list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2 "
+            "FROM mins a, mins b WHERE a.NAME <> b.NAME), "
+            "mr AS (SELECT id, nid, row_number() OVER (PARTITION BY id ORDER BY d2, nid) AS rank FROM md), "
+            f"cnt AS (SELECT mins.*, mino.need // mino.n + CASE WHEN row_number() OVER (ORDER BY md5('{seed}:extra:' || NAME), NAME) <= mino.need % mino.n "
+            "THEN 1 ELSE 0 END AS c, mino.n AS n_min FROM mins, mino), "
+            "g AS (SELECT NAME, x, CLASS, n_min, unnest(range(0, c)) AS j FROM cnt), "
+            f"gp AS (SELECT g.*, {pick} % least({k}, n_min - 1) + 1 AS rank, {gap} / 4294967296.0 AS u FROM g), "
+            "syn AS (SELECT gp.NAME || '#s' || CAST(gp.j AS VARCHAR) AS NAME, gp.CLASS, "
+            "list_transform(list_zip(gp.x, o.x), lambda p: p[1] + gp.u * (p[2] - p[1])) AS x "
+            "FROM gp JOIN mr ON mr.id = gp.NAME AND mr.rank = gp.rank JOIN mins o ON o.NAME = mr.nid), "
+            f"smoted AS (SELECT NAME, CLASS, x FROM {src} UNION ALL SELECT NAME, CLASS, x FROM syn)")
+
+
+_X64 = "[" + ", ".join(f"f{i}" for i in range(64)) + "]"
+_UNPACK = ", ".join(f"round(x[{i + 1}], 6) AS f{i}" for i in range(64))
+
+
+@query("smote", _with(O.features_small_cte(), f"pts AS (SELECT NAME, CLASS, {_X64} AS x FROM features_small)", _smote_ctes("pts", 5, 1)) +
+       f"SELECT NAME, CLASS, {_UNPACK} FROM smoted")
 def q_smote(spark, d):
-    """Rows check: classes are balanced after oversampling (property-tested against brute force in tests)."""
+    """Input and synthetic rows; every choice comes from md5, so SQL makes the same rows."""
     from motifspark.operators.knn import smote
-    out = smote(V.features_small(spark, d), _F64, k=5, seed=1)
-    return out.groupBy("CLASS").agg(F.count(F.lit(1)).alias("n"))
+    return _round_cols(smote(V.features_small(spark, d), _F64, k=5, seed=1), _F64)
 
 
-@query("smote_enn")
+@query("smote_enn", _with(O.features_small_cte(), "st AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _F64) + " FROM features_small)",
+                          "pts AS (SELECT NAME, CLASS, [" + ", ".join(f"CASE WHEN hi_{c} = lo_{c} THEN 0.0 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END" for c in _F64) +
+                          "] AS x FROM features_small, st)", _smote_ctes("pts", 5, 1),
+                          "ed AS (SELECT a.NAME AS id, b.CLASS = a.CLASS AS same, row_number() OVER (PARTITION BY a.NAME ORDER BY "
+                          "list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), b.NAME) AS rank "
+                          "FROM smoted a, smoted b WHERE a.NAME <> b.NAME)",
+                          "gone AS (SELECT DISTINCT id FROM ed WHERE rank <= 3 AND NOT same)") +
+       f"SELECT NAME, CLASS, {_UNPACK} FROM smoted WHERE NAME NOT IN (SELECT id FROM gone)")
 def q_smote_enn(spark, d):
     from motifspark.operators.knn import smote_enn
-    out = smote_enn(V.features_small(spark, d), _F64, 5, 3, seed=1)
-    return out.groupBy("CLASS").agg(F.count(F.lit(1)).alias("n"))
+    return _round_cols(smote_enn(V.features_small(spark, d), _F64, 5, 3, seed=1), _F64)
+
+
+@query("knn_ties", _with(O.features_small_cte(),
+                         "pts AS (SELECT NAME, [round(f0, 0), round(f1, 0), round(f2, 0)] AS x FROM features_small)",
+                         "r AS (SELECT a.NAME AS id, b.NAME AS nid, sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS dist, "
+                         "row_number() OVER (PARTITION BY a.NAME ORDER BY list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), b.NAME) AS rank "
+                         "FROM pts a, pts b WHERE a.NAME <> b.NAME)") +
+       "SELECT id, nid, round(dist, 6) AS dist, rank FROM r WHERE rank <= 5")
+def q_knn_ties(spark, d):
+    """Many equal points: at most k candidates per query and block."""
+    from motifspark.operators.knn import knn
+    p = V.features_small(spark, d).select("NAME", F.array(*[F.round(f"f{i}", 0) for i in range(3)]).alias("x"))
+    return knn(p, 5, block_rows=128, broadcast_bytes=0).select("id", "nid", r6(F.col("dist")).alias("dist"), "rank")
 
 
 # ---------------------------------------------------------------- learning (L3-L7, L11, L17): rows checks
