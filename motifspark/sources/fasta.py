@@ -9,25 +9,51 @@ file's first header is dropped; a header without body gives an empty sequence.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import os
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from motifspark.functions.text import FASTA_WIDTH, fasta_record
 from motifspark.operators.joins import checked_broadcast
 
 
+def _plain(path: str) -> str:
+    """A path without its scheme, absolute where it names a local file."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", path)
+    return os.path.abspath(bare) if "://" not in path and not bare.startswith("/") else bare.rstrip("/") or "/"
+
+
+def _file_order(file: Column, paths: list[str]) -> Column:
+    """Position in the path list that a file was read for: an exact path by look-up, else a folder or pattern it falls under."""
+    plain = [_plain(p) for p in paths]
+    own = F.regexp_replace(F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B"))), "^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
+    exact = F.try_element_at(F.create_map(*[F.lit(x) for i, p in reversed(list(enumerate(plain))) if p not in plain[:i] for x in (p, i)]), own)
+    under = F.lit(None).cast("int")
+    for i, p in reversed(list(enumerate(plain))):
+        if any(c in p for c in "*?[{"):
+            pattern = "".join("[^/]*" if c == "*" else "[^/]" if c == "?" else c if c in "[]" else "(" if c == "{" else ")" if c == "}" else "|" if c == "," else re.escape(c) for c in p)
+            under = F.when(own.rlike(f"^{pattern}(/|$)"), F.lit(i)).otherwise(under)
+        elif not os.path.splitext(p)[1]:  # a name without suffix may be a folder
+            under = F.when(F.startswith(own, F.lit(p + "/")), F.lit(i)).otherwise(under)
+    return F.coalesce(exact, under, F.lit(0)).cast("int")
+
+
 def read_fasta(spark: SparkSession, paths, source: str | None = None, file_ord: int = 0) -> DataFrame:
-    """``(seq_id, seq, source, file_ord, pos_block, pos_row)``, duplicates kept."""
+    """``(seq_id, seq, source, file_ord, pos_block, pos_row)``, duplicates kept.
+
+    All files are one scan. ``file_ord`` is the file's position in ``paths`` (plus the argument), ``source`` its path
+    unless given. Nothing is persisted: which record comes first in its file is read from the row positions alone.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.option("lineSep", "\n>").text(paths) \
         .select("value", F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("pos_block"),
-                F.monotonically_increasing_id().alias("pos_row")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+                F.monotonically_increasing_id().alias("pos_row"))
     # the first chunk of each file: smallest row id within the file's first split
     firsts = raw.where(F.col("pos_block") == 0).groupBy("file").agg(F.min("pos_row").alias("first_row"))
     raw = raw.join(checked_broadcast(firsts, 1_000_000, persist=False), "file", "left")
-    is_first = F.col("pos_row") == F.col("first_row")
+    is_first = F.coalesce(F.col("pos_row") == F.col("first_row"), F.lit(False))
     v = F.col("value")
     # a file's first chunk is a record only when the file starts with '>'
     keep = ~is_first | v.startswith(">")
@@ -37,18 +63,22 @@ def read_fasta(spark: SparkSession, paths, source: str | None = None, file_ord:
     body = F.expr("substr(rec, length(substring_index(rec, '\\n', 1)) + 2)")
     seq_id = F.split(F.trim(header), r"\s+").getItem(0)
     out = x.select(seq_id.alias("seq_id"), F.regexp_replace(body, r"\s+", "").alias("seq"),
-                   F.lit(source or ",".join(paths)).alias("source"), F.lit(int(file_ord)).alias("file_ord"),
-                   "pos_block", "pos_row")
+                   (F.lit(source) if source else F.col("file")).alias("source"), (_file_order(F.col("file"), paths) + F.lit(int(file_ord))).alias("file_ord"),
+                   "pos_block", "pos_row", F.octet_length("rec").alias("raw_len"))
     return out.where(F.length("seq_id") > 0)
 
 
 def read_fastas(spark: SparkSession, paths) -> DataFrame:
-    """S3/U4: several FASTA files as one set, each tagged with its order."""
-    out = None
-    for i, p in enumerate([paths] if isinstance(paths, str) else paths):
-        df = read_fasta(spark, p, source=p, file_ord=i)
-        out = df if out is None else out.unionByName(df)
-    return out
+    """S3/U4: several FASTA files as one set, each tagged with its order (one scan, whatever their number)."""
+    return read_fasta(spark, paths)
+
+
+def only_file(spark: SparkSession, pattern: str) -> str:
+    """The one file that ``pattern`` names; an error if there is none or more than one (the reference set is one file)."""
+    found = [r[0] for r in spark.read.format("binaryFile").load(pattern).select("path").limit(3).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{pattern} names {'no file' if not found else 'more than one file'}; exactly one is needed")
+    return found[0]
 
 
 def sequence_lookup(records: DataFrame, prefer: str = "last") -> DataFrame:
@@ -79,4 +109,4 @@ def write_records(df: DataFrame, path: str, record_col: str = "record", partitio
     w.text(path)
 
 
-__all__ = ["read_fasta", "read_fastas", "sequence_lookup", "write_fasta", "write_records", "FASTA_WIDTH"]
+__all__ = ["only_file", "read_fasta", "read_fastas", "sequence_lookup", "write_fasta", "write_records", "FASTA_WIDTH"]

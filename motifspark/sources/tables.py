@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.utils import AnalysisException
 
 from motifspark.operators.features import clean_features, coerce_numeric, require_columns
 
@@ -60,17 +61,22 @@ def read_ids(spark: SparkSession, path, missing_ok: bool = False) -> DataFrame:
     """One ID per line, trimmed, blanks skipped, deduplicated; a missing file is empty when allowed."""
     try:
         df = spark.read.text(path)
-    except Exception:
-        if not missing_ok:
+    except AnalysisException as e:
+        if not (missing_ok and "PATH_NOT_FOUND" in str(e)):
             raise
         return spark.createDataFrame([], "id string")
     return df.select(F.trim("value").alias("id")).where(F.length("id") > 0).distinct()
 
 
 def read_prediction_lists(spark: SparkSession, root: str, glob: str = "*.txt", include: str = "") -> DataFrame:
-    """All lists under ``root`` (recursive, by glob), ``list_id`` = file path; optional substring filter."""
-    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root) \
-        .select(F.col("_metadata.file_path").alias("list_id"), F.trim("value").alias("name"))
+    """All lists under ``root`` (recursive, by glob), ``list_id`` = file path; optional substring filter.
+
+    An error when no file matches; an empty file is a list without names.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    if not any(include in f for f in raw.inputFiles()):
+        raise FileNotFoundError(f"no file under {root} matches {glob}" + (f" and holds {include}" if include else ""))
+    df = raw.select(F.col("_metadata.file_path").alias("list_id"), F.trim("value").alias("name"))
     if include:
         df = df.where(F.col("list_id").contains(include))
     return df
@@ -91,20 +97,28 @@ def read_importance(spark: SparkSession, path) -> DataFrame:
                      *([F.col("cum_fraction").cast("double")] if "cum_fraction" in df.columns else []))
 
 
-def read_json_list(path: str) -> list:
-    """A JSON drop list (a small configuration file, read on the driver)."""
-    with open(path) as fh:
-        return list(json.load(fh))
+def read_json_list(spark: SparkSession, path: str) -> list:
+    """A JSON drop list (a small configuration file), from wherever Spark can read."""
+    return list(json.loads("".join(r[0] for r in spark.read.option("wholetext", True).text(path).limit(1).collect())))
+
+
+SINGLE_ROWS = 1_000_000
+
+
+def _single(df: DataFrame, single: bool) -> DataFrame:
+    if single and df.limit(SINGLE_ROWS + 1).count() > SINGLE_ROWS:
+        raise ValueError(f"more than {SINGLE_ROWS} rows do not go into one file")
+    return df.coalesce(1) if single else df
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", single: bool = False) -> None:
-    """K3: TSV with header (``single`` for a small table that must be one file)."""
-    (df.coalesce(1) if single else df).write.mode(mode).option("header", True).option("sep", "\t").csv(path)
+    """K3: TSV with header (``single`` for a small table that must be one file, at most ``SINGLE_ROWS`` rows)."""
+    _single(df, single).write.mode(mode).option("header", True).option("sep", "\t").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single: bool = False) -> None:
     """K4: CSV with header."""
-    (df.coalesce(1) if single else df).write.mode(mode).option("header", True).csv(path)
+    _single(df, single).write.mode(mode).option("header", True).csv(path)
 
 
 def write_predictions(pairs: DataFrame, path: str, keys=("family", "crit", "tag", "mult", "n_feats", "model"),
@@ -114,11 +128,47 @@ def write_predictions(pairs: DataFrame, path: str, keys=("family", "crit", "tag"
 
 
 def write_consensus(cons: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K7: consensus lists, one folder per threshold, names sorted within each file."""
-    cons.select("pct", "name").repartition("pct", "name").sortWithinPartitions("pct", "name") \
+    """K7: consensus lists, one folder per threshold; its files, in order, are one sorted list."""
+    cons.select("pct", "name").repartitionByRange("pct", "name").sortWithinPartitions("pct", "name") \
         .write.mode(mode).partitionBy("pct").text(path)
 
 
+CACHE_KEYS = ["family", "crit", "tag", "mult", "n_feats", "model"]
+
+
+def write_params(params: DataFrame, path: str, mode: str = "append") -> None:
+    """Searched parameters ``(*CACHE_KEYS, params, score)`` as JSON lines; a redone search appends and wins by ``saved``."""
+    params.select(*CACHE_KEYS, "params", "score", F.unix_micros(F.current_timestamp()).alias("saved")).write.mode(mode).json(path)
+
+
+def read_params(spark: SparkSession, path: str) -> DataFrame:
+    """The cache, newest entry per key; empty where nothing was saved yet."""
+    schema = "family string, crit string, tag string, mult int, n_feats int, model string, params string, score double, saved long"
+    try:
+        df = spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        df = spark.createDataFrame([], schema)
+    return df.groupBy(*CACHE_KEYS).agg(F.max_by(F.struct("params", "score"), "saved").alias("p")).select(*CACHE_KEYS, "p.*")
+
+
+def write_models(models: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K8: the coefficient table ``(list_id, weights, bias)``; it is all that scoring needs of a linear model."""
+    models.select("list_id", "weights", "bias").write.mode(mode).parquet(path)
+
+
+def read_models(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
+    """K8: a coefficient table; with ``required=False`` a missing one is empty."""
+    schema = "list_id string, weights array<double>, bias double"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if required or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def coerce_table(df: DataFrame, keep=("NAME",)) -> DataFrame:
     """P4 over a whole table read as text."""
     return coerce_numeric(df, [c for c in df.columns if c not in set(keep)])

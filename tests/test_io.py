@@ -76,4 +76,70 @@ def test_ids_lists_regions_importance_json(spark, tmpdir_path):
     imp = _w(os.path.join(tmpdir_path, "imp.csv"), "feature,importance,cum_fraction\nf1,0.7,0.7\nf2,0.3,1.0\n")
     assert read_importance(spark, imp).count() == 2
     j = _w(os.path.join(tmpdir_path, "drop.json"), json.dumps(["f3", "f4"]))
-    assert read_json_list(j) == ["f3", "f4"]
+    assert read_json_list(spark, j) == ["f3", "f4"]
+
+
+def test_file_order_decides_whatever_the_names(spark, tmpdir_path):
+    a = _w(os.path.join(tmpdir_path, "a.fa"), ">x\nAAA\n")
+    b = _w(os.path.join(tmpdir_path, "b.fa"), ">x\nBBB\n")
+    for paths, want in (([a, b], "BBB"), ([b, a], "AAA")):
+        for read in (read_fasta, read_fastas):
+            assert [r["seq"] for r in sequence_lookup(read(spark, paths)).collect()] == [want]
+    os.makedirs(os.path.join(tmpdir_path, "folder"))
+    _w(os.path.join(tmpdir_path, "folder", "c.fa"), ">x\nCCC\n")
+    for paths, want in (([os.path.join(tmpdir_path, "folder"), a], "AAA"), ([a, os.path.join(tmpdir_path, "folder")], "CCC"), ([a, os.path.join(tmpdir_path, "b*.fa")], "BBB")):
+        assert [r["seq"] for r in sequence_lookup(read_fasta(spark, paths)).collect()] == [want]
+
+
+def test_reference_is_one_file(spark, tmpdir_path):
+    from motifspark.sources.fasta import only_file
+    a = _w(os.path.join(tmpdir_path, "a.fa"), ">x\nAAA\n")
+    assert only_file(spark, tmpdir_path + "/*.fa").endswith("a.fa") and a
+    _w(os.path.join(tmpdir_path, "b.fa"), ">x\nAAA\n")
+    import pytest
+    with pytest.raises(ValueError):
+        only_file(spark, tmpdir_path + "/*.fa")
+
+
+def test_writers(spark, tmpdir_path):
+    import pytest
+
+    from motifspark.operators.predict import prediction_pairs
+    from motifspark.plans.runplan import run_plan
+    from motifspark.sources.tables import read_scoring, write_consensus, write_csv, write_predictions, write_tsv
+    t = spark.createDataFrame([("A:1", 1.5), ("B:2", None)], "NAME string, f1 double")
+    write_tsv(t, tmpdir_path + "/t", single=True)
+    assert len([f for f in os.listdir(tmpdir_path + "/t") if f.startswith("part")]) == 1
+    assert {tuple(r) for r in read_scoring(spark, tmpdir_path + "/t").collect()} == {("A:1", 1.5), ("B:2", 0.0)}
+    write_csv(t, tmpdir_path + "/c")
+    assert read_features(spark, tmpdir_path + "/c", sep=",").count() == 2
+    cons = spark.createDataFrame([(100, f"s:{i:05d}") for i in range(3000)] + [(90, "a:1")], "pct int, name string").repartition(7)
+    write_consensus(cons, tmpdir_path + "/cons")
+    files = sorted(f for f in os.listdir(tmpdir_path + "/cons/pct=100") if f.startswith("part"))
+    names = [x for f in files for x in open(tmpdir_path + "/cons/pct=100/" + f).read().split()]
+    assert names == sorted(names) and len(names) == 3000
+    plan = run_plan(spark, family="nn")
+    ids = sorted(r["list_id"] for r in plan.collect())
+    import numpy as np
+
+    from motifspark.operators.predict import LinearModels
+    scored = spark.createDataFrame([("x:1", 2, [5]), ("y:1", 0, [0])], "NAME string, support long, hits array<bigint>")
+    write_predictions(prediction_pairs(scored, LinearModels(ids, np.zeros((len(ids), 1)), np.zeros(len(ids))), plan=plan), tmpdir_path + "/pred")
+    back = spark.read.parquet(tmpdir_path + "/pred")
+    assert sorted(r["list_id"] for r in back.collect()) == sorted([ids[0], ids[2]]) and {"family", "tag", "mult"} <= set(back.columns)
+    os.makedirs(tmpdir_path + "/none")
+    with pytest.raises(FileNotFoundError):
+        read_prediction_lists(spark, tmpdir_path + "/none")
+
+
+def test_parameter_cache_and_model_store(spark, tmpdir_path):
+    from motifspark.sources.tables import read_models, read_params, write_models, write_params
+    schema = "family string, crit string, tag string, mult int, n_feats int, model string, params string, score double"
+    assert read_params(spark, tmpdir_path + "/p").count() == 0
+    write_params(spark.createDataFrame([("linear", "f1", "PTM", 1, 69, "sgd", "{}", 0.5), ("linear", "f1", "PTM", 2, 69, "sgd", "{}", 0.6)], schema), tmpdir_path + "/p")
+    write_params(spark.createDataFrame([("linear", "f1", "PTM", 1, 69, "sgd", '{"a": 1}', 0.7)], schema), tmpdir_path + "/p")
+    assert sorted((r["mult"], r["params"], r["score"]) for r in read_params(spark, tmpdir_path + "/p").collect()) == [(1, '{"a": 1}', 0.7), (2, "{}", 0.6)]
+    assert read_models(spark, tmpdir_path + "/m", required=False).count() == 0
+    m = spark.createDataFrame([("a", [1.0, -2.5], 0.25)], "list_id string, weights array<double>, bias double")
+    write_models(m, tmpdir_path + "/m")
+    assert read_models(spark, tmpdir_path + "/m").collect() == m.collect()

@@ -114,3 +114,77 @@ def test_extract_missing_parent_and_bounds(spark):
     r = rows[0]
     assert r["header"] == ">P:1-75|n_frags=3"
     assert r["record"] == ">P:1-75|n_frags=3\n" + "A" * 60 + "\n" + "A" * 10 + "C" * 5
+
+
+def _flat_models(n, weight):
+    import numpy as np
+
+    from motifspark.operators.predict import LinearModels
+    return LinearModels([f"m{i}" for i in range(n)], np.full((n, 20), weight), np.full(n, weight / 100))
+
+
+def test_no_list_is_an_error(spark):
+    import pytest
+
+    from motifspark.operators.consensus import NoLists, consensus_from_pairs
+    from motifspark.plans import flows
+    seqs = _seqs(spark, [20])
+    with pytest.raises(NoLists):
+        flows.consensus_windows(flows.window_scores(seqs, _flat_models(1, 1.0)))
+    with pytest.raises(NoLists):
+        consensus_from_pairs(spark.createDataFrame([("L", " ")], "list_id string, name string"))
+    sup = spark.createDataFrame([("a:1", 0)], "name string, support long")
+    with pytest.raises(Exception, match="empty"):
+        consensus(sup.withColumn("support", F.lit(1).cast("bigint")), F.lit(0).cast("bigint"), [90]).collect()
+    assert consensus(sup, F.lit(3).cast("bigint"), [0]).count() == 0  # a name needs a vote
+
+
+def test_repeated_ids_count_once(spark):
+    from motifspark.plans import flows
+    seqs = _seqs(spark, [20]).unionByName(_seqs(spark, [20])).unionByName(_seqs(spark, [18], "T"))
+    scores = flows.window_scores(seqs, _flat_models(70, -1.0))
+    cons = flows.consensus_windows(scores, (100,))
+    assert sorted(r["name"] for r in cons.collect()) == [f"S0:{i}" for i in range(1, 7)] + [f"T0:{i}" for i in range(1, 5)]
+    assert sorted((r["seq_id"], r["n_frags"]) for r in flows.consensus_regions(cons).collect()) == [("S0", 6), ("T0", 4)]
+
+
+def test_votes_of_repeated_names_are_united(spark):
+    import numpy as np
+
+    from motifspark.functions.text import RESIDUES
+    from motifspark.operators.predict import LinearModels, WindowScores
+    W = np.zeros((2, 20))
+    W[0, 0], W[1, 1] = -1.0, -1.0  # one model wants A, the other C
+    models = LinearModels(["a", "c"], W, np.array([0.5, 0.5]))
+    seqs = spark.createDataFrame([("X", "A" * 15), ("X", "C" * 15), ("Y", "A" * 15)], "seq_id string, seq string")
+    got = {r["NAME"]: (r["support"], r["hits"]) for r in WindowScores(seqs, models, RESIDUES).rows(1).collect()}
+    assert got == {"X:1": (2, [3]), "Y:1": (1, [1])}
+    assert WindowScores(seqs, models, RESIDUES).n_lists() == 2
+
+
+def test_kernel_equals_row_by_row(spark):
+    import numpy as np
+
+    from motifspark.functions.text import RESIDUES
+    from motifspark.operators.features import composition_features, composition_names
+    from motifspark.operators.predict import LinearModels, WindowScores, composition_rows, score_features
+    r = np.random.default_rng(3)
+    rows = [(f"s{i}", "".join(r.choice(list(RESIDUES + "xÄ"), int(r.integers(0, 200))))) for i in range(40)]
+    seqs = spark.createDataFrame(rows, "seq_id string, seq string")
+    models = LinearModels([f"m{i:03d}" for i in range(700)], r.standard_normal((700, 20)), r.standard_normal(700) / 10)
+    for step, chunk, above in ((1, 7, None), (3, 64, 50), (1, 4096, 1 << 22)):
+        want = composition_features(sliding_windows(seqs, step=step), keep=("seq_id", "start"))
+        got = composition_rows(seqs, RESIDUES, step=step, chunk=chunk, spread_above=above)
+        f = lambda df: sorted((x["NAME"], *[round(x[c], 9) for c in composition_names()]) for x in df.collect())
+        assert f(got) == f(want)
+        a = WindowScores(seqs, models, RESIDUES, step=step, chunk=chunk, spread_above=above).rows().select("NAME", "support", "hits").collect()
+        b = score_features(want, models, composition_names(), ["NAME"]).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_split_keeps_repeated_names_single(spark):
+    from motifspark.operators.sampling import stratified_split
+    df = spark.createDataFrame([("same", 0)] * 6 + [(f"n{i}", i % 2) for i in range(14)], "NAME string, CLASS int")
+    out = stratified_split(df, seed=1)
+    assert out.count() == 20
+    assert {r["CLASS"]: r["n"] for r in out.where("is_test").groupBy("CLASS").agg(F.count(F.lit(1)).alias("n")).collect()} == {0: round(0.2 * 13), 1: round(0.2 * 7)}
