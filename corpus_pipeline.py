@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motifspark.llm import bpe_automaton, line_chunks, mixing, quality_rules, simhash
-from motifspark.llm.common import free_name, materialise, table
+from motifspark.llm.common import free_name, materialise, small_batches, table
 from motifspark.llm.queries import tokenizer_file
 
 
@@ -31,6 +31,7 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
@@ -41,6 +42,7 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and the digests of ids and decoded text."""
+    small_batches(spark)
     return bpe_automaton.encode_documents(docs, tokenizer_file(), keep=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 

@@ -17,10 +17,22 @@ from motifspark.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that go to a Python worker at a time: whole texts are long, so fewer than Spark's default.
+ARROW_ROWS = "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds of a table of texts, unless the session asks for less already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > int(ARROW_ROWS):
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8 bytes; null has none."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

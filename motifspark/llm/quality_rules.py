@@ -11,7 +11,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,9 +59,10 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 def counted(docs: DataFrame, text_col: str = "text", name: str = "counts") -> DataFrame:
     """``docs`` plus a struct column of the counts; one Arrow pass, no shuffle."""
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS))
-    def counts(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_counts(t) for t in text], columns=list(COUNTS), dtype="int64")
+    @F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
+    def counts(text: pa.Array) -> pa.Array:
+        rows = [text_counts(t.as_py()) for t in text]  # one text at a time
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))], list(COUNTS))
 
     return docs.withColumn(name, counts.asNondeterministic()(F.col(text_col)))
 
