@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def feature_importance(df: DataFrame, feature_cols: list[str], label_col: str = "CLASS", n_trees: int = 500,
-                       seed: int = 0, max_depth: int = 10) -> DataFrame:
+                       seed: int = 0, max_depth: int = 30) -> DataFrame:
     """Random-forest impurity importances -> ``(feature, importance)`` (sum to 1).
 
+    ``max_depth`` is the deepest tree Spark ML grows; the reference sets no depth, so only branches below 30 differ.
+
     Trees are trained in parallel by Spark ML; rows are aggregated per tree node
     on the executors, so the table is never collected.
     """
@@ -22,7 +24,7 @@ def feature_importance(df: DataFrame, feature_cols: list[str], label_col: str =
     va = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
     data = va.transform(df.select(*feature_cols, F.col(label_col).cast("double").alias("label")))
     rf = RandomForestClassifier(numTrees=n_trees, featureSubsetStrategy="sqrt", bootstrap=False, seed=seed,
-                                maxDepth=max_depth, labelCol="label", featuresCol="features")
+                                maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True, labelCol="label", featuresCol="features")
     model = rf.fit(data)
     imp = model.featureImportances.toArray().tolist()
     spark = df.sparkSession

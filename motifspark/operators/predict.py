@@ -36,22 +36,62 @@ CHUNK = 4096               # windows per chunk of text
 
 
 @dataclass(frozen=True)
-class LinearModels:
+class Mlp:
+    """One fitted perceptron over some of the feature columns: sigmoid layers, two outputs, class 0 where its output is larger."""
+
+    columns: np.ndarray    # positions of its features
+    shift: np.ndarray
+    scale: np.ndarray      # 0: a constant column, scaled to 0
+    layers: list           # (weights (in, out), bias (out)) each
+
+    def votes(self, X: np.ndarray) -> np.ndarray:
+        x = X[:, self.columns] - self.shift
+        x = np.divide(x, self.scale, out=np.zeros_like(x), where=self.scale != 0)
+        for i, (w, b) in enumerate(self.layers):
+            x = x @ w + b
+            if i + 1 < len(self.layers):
+                x = 0.5 * (1.0 + np.tanh(0.5 * x))   # the sigmoid, without overflow
+        return x[:, 0] >= x[:, 1]
+
+
+@dataclass(frozen=True)
+class Models:
+    """Linear models first, then perceptrons; ``list_ids`` names them in that order."""
+
     list_ids: list
-    W: np.ndarray          # (m, d)
+    W: np.ndarray          # (m, d) of the linear ones
     b: np.ndarray          # (m,)
+    mlps: tuple = ()
+
+    @classmethod
+    def of(cls, linear: list, mlps: list, feature_cols: list) -> Models:
+        """From coefficient rows (``list_id, weights, bias`` over all of ``feature_cols``) and perceptron rows."""
+        at = {c: i for i, c in enumerate(feature_cols)}
+        made = []
+        for m in mlps:
+            flat, layers, used = np.array(m["weights"], dtype=np.float64), [], 0
+            for n_in, n_out in zip(m["layers"], m["layers"][1:]):
+                w = flat[used:used + n_in * n_out].reshape(n_in, n_out)
+                layers.append((w, flat[used + n_in * n_out:used + (n_in + 1) * n_out]))
+                used += (n_in + 1) * n_out
+            made.append(Mlp(np.array([at[c] for c in m["features"]], dtype=np.int64), np.array(m["shift"]), np.array(m["scale"]), layers))
+        W = np.array([r["weights"] for r in linear], dtype=np.float64).reshape(len(linear), len(feature_cols))
+        return cls([r["list_id"] for r in linear] + [m["list_id"] for m in mlps], W, np.array([r["bias"] for r in linear], dtype=np.float64), tuple(made))
 
     @property
     def n_words(self) -> int:
         return (len(self.list_ids) + 63) // 64
 
     def votes(self, X: np.ndarray) -> np.ndarray:
-        """``X . W^T + b <= 0`` as a boolean (rows, models) matrix, in blocks of rows and groups of models."""
+        """Positive votes as a boolean (rows, models) matrix, in blocks of rows and groups of models; linear: ``X . W^T + b <= 0``."""
         out = np.empty((len(X), len(self.list_ids)), dtype=bool)
-        for g in range(0, len(self.list_ids), GROUP):
-            W, b = self.W[g:g + GROUP].T, self.b[g:g + GROUP]
-            for i in range(0, len(X), BLOCK):
-                np.less_equal(X[i:i + BLOCK] @ W + b, 0.0, out=out[i:i + BLOCK, g:g + GROUP])
+        m = len(self.b)
+        for i in range(0, len(X), BLOCK):
+            x = X[i:i + BLOCK]
+            for g in range(0, m, GROUP):
+                np.less_equal(x @ self.W[g:g + GROUP].T + self.b[g:g + GROUP], 0.0, out=out[i:i + BLOCK, g:min(g + GROUP, m)])
+            for j, mlp in enumerate(self.mlps):
+                out[i:i + BLOCK, m + j] = mlp.votes(x)
         return out
 
     def words(self, pos: np.ndarray) -> np.ndarray:
@@ -62,6 +102,9 @@ class LinearModels:
         return buf.view("<i8")
 
 
+LinearModels = Models
+
+
 def collect_models(models: DataFrame, width: int, max_bytes: int = MODEL_BYTES) -> LinearModels:
     """Bring the coefficient table to the driver after checking its size."""
     n = models.count()

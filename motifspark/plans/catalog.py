@@ -587,10 +587,10 @@ def q_train_sgd(spark, d):
 
 @query("train_mlp")
 def q_train_mlp(spark, d):
+    """L6/L17 with the default layout: the names that the fitted perceptron predicts."""
     from motifspark.operators.train import fit_mlp, predict_mlp
     df = _labelled_small(spark, d)
-    model, stats = fit_mlp(df, _F64, hidden=(16,), max_iter=50, seed=0)
-    return predict_mlp(model, stats, df, _F64)
+    return predict_mlp(fit_mlp(df, _F64), df)
 
 
 @query("feature_importance")
@@ -604,11 +604,74 @@ def q_search(spark, d):
     return best_per_model(search_linear(_labelled_small(spark, d), _F64, seed=0))
 
 
+@query("search_nn")
+def q_search_nn(spark, d):
+    from motifspark.operators.search import best_per_model, search_mlp
+    return best_per_model(search_mlp(_labelled_small(spark, d), _F64, seed=0), {"f1": "f1"})
+
+
+@query("search_smoteenn")
+def q_search_smoteenn(spark, d):
+    from motifspark.operators.search import search_resampled
+    return search_resampled(_labelled_small(spark, d), _F64, seed=0)
+
+
+@query("predict_smoteenn")
+def q_predict_smoteenn(spark, d):
+    """Lists of the resampled models of one tag and feature set, over an ingested feature table."""
+    from motifspark.operators.predict import Models, prediction_pairs, score_features
+    from motifspark.plans.pipeline import PipelineConfig, resampled_models, train_resampled
+    from motifspark.operators.train import coefficient_table
+    table, cfg = _labelled_small(spark, d), PipelineConfig()
+    rows = train_resampled(table, _F64, "smoteenn/PTM/cum90", lambda k: cfg.params[k], cfg)
+    mine = resampled_models(coefficient_table(spark, rows), "PTM", "cum90").collect()   # three rows
+    models = Models.of([r.asDict() for r in mine], [], _F64)
+    return prediction_pairs(score_features(table, models, _F64, ["NAME"], least=1), models)
+
+
+# ---------------------------------------------------------------- ingested tables and repeated IDs
+
+@query("scoring_matrix", _with(O.features_dirty_cte()) +
+       "SELECT NAME, " + _sql_round(_F64, "CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 ELSE {c} END") + " FROM features_dirty")
+def q_scoring_matrix(spark, d):
+    from motifspark.plans.pipeline import ingest_features
+    return _round_cols(ingest_features(V.features_dirty(spark, d)).drop("CLASS"), _F64)
+
+
+_DUP_SQL = _with(O.sequences_cte().replace("sequences AS", "docseq AS", 1),
+                 f"bseq AS (SELECT 'D' || CAST(item_id AS VARCHAR) AS seq_id, upper(regexp_replace(text, '{O.NOT_RES}', '', 'g')) AS seq FROM benchmark)",
+                 "sequences AS (SELECT seq_id, seq FROM docseq UNION ALL SELECT seq_id, seq FROM bseq)",
+                 O.windows_cte(), O.features_big_cte(), O.models_cte(),
+                 f"hit AS (SELECT DISTINCT f.NAME AS name, m.list_id FROM features_big f, models m WHERE {O.margin_expr()} <= 0)",
+                 "support AS (SELECT name, count(*) AS support FROM hit GROUP BY name)",
+                 "nl AS (SELECT count(DISTINCT list_id) AS n FROM hit)", "th AS (SELECT unnest([100, 95, 90, 85]) AS pct)")
+
+
+@query("consensus_duplicates", _DUP_SQL + "SELECT th.pct, s.name, s.support FROM support s, th, nl "
+       "WHERE s.support >= ceil(CAST(th.pct AS DOUBLE) / 100.0 * CAST(nl.n AS DOUBLE))")
+def q_consensus_duplicates(spark, d):
+    """Documents and benchmark passages under shared IDs: every name votes once per model."""
+    seqs = V.sequences(spark, d).select("seq_id", "seq").unionByName(_bench_as_docs(spark, d).select("seq_id", "seq"))
+    return flows.consensus_windows(flows.window_scores(seqs, V.models_linear(spark))).select("pct", "name", "support")
+
+
+@query("control_pools", _REF + ", rnd AS (SELECT NAME FROM features_big WHERE split_part(NAME, ':', 1) NOT IN (SELECT id FROM id_list) "
+       "ORDER BY md5('5:' || NAME), NAME LIMIT 100000) "
+       "SELECT 'PTM' AS tag, NAME FROM features_big WHERE split_part(NAME, ':', 1) IN (SELECT id FROM id_list) UNION ALL SELECT 'Random', NAME FROM rnd")
+def q_control_pools(spark, d):
+    """both pools; the random one is drawn with a fixed n."""
+    seqs, ids = V.sequences(spark, d), V.id_list(spark, d)
+    ptm = _names(CO.sequences_by_ids(seqs, ids)).select(F.lit("PTM").alias("tag"), "NAME")
+    rnd = CO.random_controls(_names(CO.sequences_by_ids(seqs, ids, exclude=True)), 100_000, 5)
+    return ptm.unionByName(rnd.select(F.lit("Random").alias("tag"), "NAME"))
+
+
 @query("fragment_pipeline")
 def q_pipeline(spark, d):
     """F8 end to end on the test tables: benchmark passages are the known fragments, documents the reference,
-    labels.quality = 0 the ID list; default settings except a single tag and multiple (3 x 2 linear models)."""
+    labels.quality = 0 the ID list; all tags and multiples, the linear family with its default parameters, the default
+    vote thresholds and a majority of half the lists beside them."""
     from motifspark.plans.pipeline import PipelineConfig, run
-    cfg = PipelineConfig(tags=("PTM",), mults=(1,))
+    cfg = PipelineConfig(families=("linear",), thresholds=(100, 95, 90, 85, 50))
     out = run(spark, cfg, V.benchmark_sequences(spark, d), V.sequences(spark, d), V.id_list(spark, d))
     return out["fasta"].select("pct", "seq_id", "start", "end", "n_frags", "record")

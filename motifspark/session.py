@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this package creates itself (tests, bench). On a cluster
 # the session is normally built by the platform; we then only read its settings.
@@ -61,5 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or configured
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def materialise(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts lineage, holds no executor memory, survives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{re.sub(r'[^A-Za-z0-9]', '_', what)}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

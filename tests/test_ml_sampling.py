@@ -132,7 +132,108 @@ def test_searches_small_grids(spark):
     df, _ = _pts(spark, 120)
     lin = search_linear(df, ["a", "b"], seed=1, grid=linear_grid()[:2]).collect()
     assert len(lin) == 2 and all(r["recall"] >= 0.9 for r in lin)
-    mlp = search_mlp(df, ["a", "b"], seed=1, grid=[dict(mlp_grid()[0], hidden=[4])], max_iter=50).collect()
-    assert len(mlp) == 1
+    mlp = search_mlp(df, ["a", "b"], seed=1, grid=[dict(g, hidden=[4]) for g in mlp_grid()[:2]], max_iter=50).collect()
+    assert len(mlp) == 2 and {r["fit"] for r in mlp} == {0} and mlp[0]["tp"] == mlp[1]["tp"]  # one model, two grid entries
     res = search_resampled(df, ["a", "b"], seed=1, ks=((3, 3),), grid=linear_grid()[:1]).collect()
     assert len(res) == 1 and res[0]["k_smote"] == 3
+
+
+def test_grids_have_the_fixed_values():
+    from motifspark.operators.search import linear_grid, mlp_grid, resampled_grid
+    from motifspark.operators.train import model_key
+    g = linear_grid()
+    assert [(p["solver"], p["penalty"], p["C"]) for p in g[:9]] == [("lbfgs", "l2", c) for c in (0.1, 1, 10)] + [("liblinear", q, c) for q in ("l1", "l2") for c in (0.1, 1, 10)]
+    assert [(p["alpha"], p["penalty"], p["l1_ratio"]) for p in g[9:12]] == [(1e-5, "l2", 0.0), (1e-5, "elasticnet", 0.15), (1e-5, "elasticnet", 0.5)]
+    assert [p["grid_ord"] for p in g] == list(range(18)) and len({model_key(p["model"], p) for p in g}) == 15
+    assert {p["alpha"] for p in mlp_grid()} == {1e-5, 1e-4, 1e-3} and {p["learning_rate_init"] for p in mlp_grid()} == {1e-4, 1e-3}
+    assert len({model_key("mlp", p) for p in mlp_grid()}) == 3 and len(resampled_grid()) == 12
+
+
+def test_perceptron_kernel_equals_spark(spark):
+    """Our forward pass of the extracted weights gives Spark's own predictions."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    from motifspark.operators.train import fit_mlp, predict_mlp, prepared
+    df, _ = _pts(spark, 150)
+    df = df.withColumn("c", F.lit(3.0)).withColumn("d", F.col("a") * F.col("b"))
+    cols = ["a", "b", "c", "d"]
+    ours = {r["name"] for r in predict_mlp(fit_mlp(df, cols, hidden=(5, 3), max_iter=30, seed=4), df).collect()}
+    with prepared(df, cols) as p:
+        model = MultilayerPerceptronClassifier(layers=[4, 5, 3, 2], maxIter=30, seed=4, solver="l-bfgs", tol=1e-6).fit(p.vectors)
+        assert model.transform(p.vectors).where("prediction = 0").count() == len(ours)
+    assert 0 < len(ours) < 150
+
+
+def test_folding_equals_scaling(spark):
+    from motifspark.operators.scaling import minmax_scale, standard_scale
+    from motifspark.operators.train import fit_linear
+    df, rows = _pts(spark, 120)
+    for scaler, scale in (("standard", standard_scale), ("minmax", minmax_scale)):
+        a = fit_linear(df, ["a", "b"], "logreg", {"C": 1.0}, scaler=scaler)
+        b = fit_linear(scale(df, ["a", "b"]), ["a", "b"], "logreg", {"C": 1.0}, scaler=scaler)
+        scaled = {r["NAME"]: r for r in scale(df, ["a", "b"]).collect()}
+        for name, x, y, _ in rows:
+            s = scaled[name]
+            assert abs(a["weights"][0] * x + a["weights"][1] * y + a["bias"] - (b["weights"][0] * s["a"] + b["weights"][1] * s["b"] + b["bias"])) < 1e-4
+
+
+def test_flow_with_all_families_and_cache(spark, tmpdir_path):
+    """F8 on a small reference: defaults, then searched parameters through the cache; ingested features give the same lists."""
+    import random
+
+    from motifspark.operators.predict import Models
+    from motifspark.plans import pipeline as P
+    from motifspark.sources.tables import read_params
+    rnd = random.Random(5)
+    word = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    pos = spark.createDataFrame([(f"p{i}", word("DEWF", 24)) for i in range(6)], "seq_id string, seq string")
+    ref = spark.createDataFrame([(f"r{i}", word("ACGHIKLMNPQRSTVY", 40) + (word("DEWF", 30) if i % 5 == 0 else "")) for i in range(40)], "seq_id string, seq string")
+    ids = spark.createDataFrame([(f"r{i}",) for i in range(20)], "id string")
+    cfg = P.PipelineConfig(mults=(1,), random_control_n=150, importance_trees=5, mlp_iter=10, seed=3, thresholds=(90,), cum_thresholds=(0.95,))
+    cfg.params = {**cfg.params, "mlp": {"hidden": [4]}}
+    out = P.run(spark, cfg, pos, ref, ids)
+    sets = len(out["feature_sets"])
+    assert out["models"].count() == 2 * sets * 3 + 2 * sets * 3 and out["mlps"].count() == 2 * sets
+    found = {r["seq_id"] for r in out["fasta"].collect()}
+    assert found and found <= {f"r{i}" for i in range(0, 40, 5)}  # only where the planted stretch is
+    assert all(r["record"].startswith(f">{r['seq_id']}:{r['start']}-") for r in out["fasta"].collect())
+    # brute force votes from the returned models
+    names = P.composition_names()
+    models = Models.of([r.asDict() for r in out["models"].collect()], [r.asDict() for r in out["mlps"].collect()], names)
+    import numpy as np
+    feats = P.featurize(ref, cfg).collect()
+    X = np.array([[r[c] for c in names] for r in feats])
+    votes = models.votes(X)
+    need = -(-90 * int(votes.any(axis=0).sum()) // 100)
+    want = {r["NAME"] for r, v in zip(feats, votes.sum(axis=1)) if v >= max(1, need)}
+    assert {r["name"] for r in out["consensus"].collect()} == want
+    # ingested tables instead of window text
+    table = P.consensus_table(P.ingest_features(P.featurize(ref, cfg)), models, names, cfg.thresholds)
+    assert {r["name"] for r in table.collect()} == want
+    # searched parameters: what is cached is not searched again, a missing entry is an error
+    small = P.PipelineConfig(tags=("PTM",), mults=(1,), importance_trees=5, mlp_iter=10, families=("linear",), cache=tmpdir_path + "/cache", cum_thresholds=(0.9,), thresholds=(50,), seed=3)
+    got = P.run(spark, small, pos, ref, ids)
+    assert got["models"].count() == 9  # three criteria x three models
+    n = read_params(spark, small.cache).count()
+    P.search_all(spark, out["tables"], {}, got["feature_sets"], small)
+    assert read_params(spark, small.cache).count() == n == 9
+    import pytest
+    small.tags = ("Random",)
+    with pytest.raises(KeyError):
+        P.train_all(out["tables"], got["feature_sets"], small, names)
+
+
+def test_resampled_models_required(spark):
+    from motifspark.plans.pipeline import resampled_models
+    t = spark.createDataFrame([("smoteenn/PTM/cum90/logreg", [1.0], 0.0), ("smoteenn/PTM/cum90/sgd_partial", [1.0], 0.0)], "list_id string, weights array<double>, bias double")
+    assert resampled_models(t, "PTM", "cum90").count() == 2  # SGD may be missing
+    with pytest.raises(FileNotFoundError):
+        resampled_models(t.where("list_id LIKE '%logreg'"), "PTM", "cum90")
+
+
+def test_knn_on_equal_points(spark):
+    """600 equal points: k candidates per query and block, and both plans give the same."""
+    df = spark.createDataFrame([(f"e{i:03d}", [1.0, 2.0]) for i in range(600)], "NAME string, x array<double>")
+    a = {tuple(r) for r in knn(df, 3).collect()}
+    b = {tuple(r) for r in knn(df, 3, block_rows=100, broadcast_bytes=0).collect()}
+    assert a == b and len(a) == 1800
