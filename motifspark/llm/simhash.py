@@ -98,10 +98,11 @@ def plan(sample: np.ndarray, n: int, distance: int) -> list[tuple[int, int, list
         groups = correlated_partitions(bits, m)
         costs = []
         for g in groups:
-            b = bits[:, g]
-            differ = b @ (1 - b).T
-            differ += differ.T
-            near = np.array([(np.count_nonzero(differ <= e + 0.5) - len(b)) / 2 for e in range(distance + 1)])
+            b, near = bits[:, g], np.zeros(distance + 1)
+            for i in range(0, len(b), 256):  # some rows at a time: the driver holds little
+                differ = b[i:i + 256] @ (1 - b).T + (1 - b[i:i + 256]) @ b.T
+                near += [np.count_nonzero(differ <= e + 0.5) for e in range(distance + 1)]
+            near = (near - len(b)) / 2
             # no smaller than for even bits, so that a small sample doesn't promise nothing
             chance = np.array([sum(comb(len(g), j) for j in range(e + 1)) for e in range(distance + 1)])
             rate = np.maximum(near / pairs, chance / 2.0 ** len(g))
