@@ -188,7 +188,7 @@ def train_resampled(table: DataFrame, feats: list[str], prefix: str, params, cfg
         ks = (q.get("smote_k", cfg.params["resampler"]["smote_k"]), q.get("enn_k", cfg.params["resampler"]["enn_k"]))
         made.setdefault(ks, []).append((f"{prefix}/{kind}", kind, inner))
     for (k1, k2), wanted in made.items():
-        res = smote_enn(table.select("NAME", *feats, "CLASS"), feats, k1, k2, cfg.seed)
+        res = materialise(smote_enn(table.select("NAME", *feats, "CLASS"), feats, k1, k2, cfg.seed), "resampled")
         with TR.prepared(res, feats, scaler="minmax") as p:
             rows += TR.fit_linear_group(p, wanted)
     return rows

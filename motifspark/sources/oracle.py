@@ -70,8 +70,8 @@ def features_dirty_cte() -> str:
 
 
 def votes_wide_cte() -> str:
-    return ("votes_wide AS (SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS list_id, "
-            "l_returnflag || l_linestatus || ':' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS name FROM lineitem)")
+    return ("votes_wide AS (SELECT 'L' || CAST(l_linenumber AS VARCHAR) AS list_id, 'P' || CAST(l_partkey // 50 AS VARCHAR) || ':' || "
+            "CAST(l_partkey % 50 + 1 AS VARCHAR) AS name FROM lineitem)")
 
 
 def id_list_cte() -> str:

@@ -123,11 +123,11 @@ def models_linear(spark: SparkSession, n_features: int = len(RESIDUES)) -> DataF
 
 
 def votes_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction lists from lineitem: list = supplier, name = flags:quantity (duplicates kept)."""
+    """Prediction lists from lineitem: list = line number, name = part (50 to a sequence), so names grow with the data; duplicates kept."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("list_id"),
-                     F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit(":"),
-                              F.col("l_quantity").cast("int").cast("string")).alias("name"))
+    part = F.col("l_partkey")
+    name = F.concat(F.lit("P"), F.floor(part / 50).cast("string"), F.lit(":"), (part % 50 + 1).cast("string"))
+    return li.select(F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("list_id"), name.alias("name"))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

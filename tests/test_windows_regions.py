@@ -188,3 +188,26 @@ def test_split_keeps_repeated_names_single(spark):
     out = stratified_split(df, seed=1)
     assert out.count() == 20
     assert {r["CLASS"]: r["n"] for r in out.where("is_test").groupBy("CLASS").agg(F.count(F.lit(1)).alias("n")).collect()} == {0: round(0.2 * 13), 1: round(0.2 * 7)}
+
+
+def test_small_helpers(spark, tmpdir_path):
+    import os
+
+    import pytest
+
+    from motifspark.operators.features import assert_feature_count, require_columns
+    from motifspark.operators.importance import bucket_suffix, set_name
+    from motifspark.operators.regions import sort_regions
+    from motifspark.operators.windows import prepare
+    from motifspark.sources.fasta import write_records
+    assert [bucket_suffix(m) for m in (1, 2, 10)] == ["", "2", "10"] and set_name(0.29) == "cum28"
+    df = spark.createDataFrame([("b", 5, 9, 1), ("a", 7, 9, 1), ("a", 7, 8, 1), ("a", 1, 9, 1)], "seq_id string, start int, end int, n_frags int")
+    assert [tuple(r)[:3] for r in sort_regions(df).collect()] == [("a", 1, 9), ("a", 7, 8), ("a", 7, 9), ("b", 5, 9)]
+    with pytest.raises(ValueError):
+        require_columns(df, "seq_id", "CLASS")
+    with pytest.raises(ValueError):
+        assert_feature_count(["a"], 2)
+    whole = prepare(_seqs(spark, [20, 3]), enabled=False).collect()  # whole sequences as single fragments
+    assert sorted((r["name"], r["start"], len(r["sub"])) for r in whole) == [("S0", 1, 20), ("S1", 1, 3)]
+    write_records(spark.createDataFrame([(90, ">x\nAC"), (100, ">y\nDE")], "pct int, record string"), tmpdir_path + "/r", partition_by=["pct"])
+    assert sorted(f for f in os.listdir(tmpdir_path + "/r") if f.startswith("pct")) == ["pct=100", "pct=90"]
