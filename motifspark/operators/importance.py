@@ -23,6 +23,9 @@ def feature_importance(df: DataFrame, feature_cols: list[str], label_col: str =
     from pyspark.ml.feature import VectorAssembler
     va = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
     data = va.transform(df.select(*feature_cols, F.col(label_col).cast("double").alias("label")))
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < tasks:   # a small table in a few files would leave most executors idle
+        data = data.repartition(tasks)
     rf = RandomForestClassifier(numTrees=n_trees, featureSubsetStrategy="sqrt", bootstrap=False, seed=seed,
                                 maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True, labelCol="label", featuresCol="features")
     model = rf.fit(data)
