@@ -8,7 +8,8 @@ Scale: a sequence is exploded in two levels, first into *chunks* of windows
 (each carries only its own slice of text), then each chunk into windows, all in
 the task that read it: no shuffle. Only sequences with more than
 ``spread_above`` letters are dealt out by chunk first, so that one sequence
-holding a third of all letters is not one task. A column ``raw_len`` (an upper
+holding a third of all letters is not one task; an input too small to give each
+core a split is dealt out whole. A column ``raw_len`` (an upper
 bound of the length that costs nothing, such as the size of the raw text) lets
 the scan tell long from short before any cleaning.
 """
@@ -29,6 +30,14 @@ def window_count(length, w: int, step: int, min_len: int):
 SPREAD_ABOVE = 1 << 22
 
 
+def below_one_split_a_core(df: DataFrame) -> bool:
+    """Is the input, by Spark's own estimate, too small to give every core a split? Then dealing it out is cheap and worth it."""
+    spark = df.sparkSession
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size < split * spark.sparkContext.defaultParallelism
+
+
 def window_chunks(seqs: DataFrame, w: int, step: int, min_len: int, chunk: int, spread_above: int | None = SPREAD_ABOVE) -> DataFrame:
     """``seqs(seq_id, seq)`` -> ``(seq_id, first, cnt, text)``: windows first .. first + cnt - 1 (0-based) and just their text."""
     if w < 1 or step < 1:
@@ -53,6 +62,8 @@ def window_chunks(seqs: DataFrame, w: int, step: int, min_len: int, chunk: int,
 
     if spread_above is None:
         return cut(seqs, False)
+    if below_one_split_a_core(seqs):
+        return cut(seqs, False).repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq_id", "first")
     size = F.coalesce(F.col("raw_len") if "raw_len" in seqs.columns else F.length("seq"), F.lit(0))
     return cut(seqs.where(size <= spread_above), False).unionByName(cut(seqs.where(size > spread_above), True))
 
