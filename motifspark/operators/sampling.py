@@ -63,6 +63,20 @@ def _of(draw: Draw, cond: Column) -> Column:
     return F.coalesce(cond if draw.where is None else draw.where & cond, F.lit(False))
 
 
+def _with_prefixes(df: DataFrame, draws: list[Draw], key_col: str) -> tuple[DataFrame, list]:
+    """One row per row and distinct seed, with ``_s.j`` (the seed) and ``_s.h`` (the prefix): each md5 is computed once, whatever is asked of it."""
+    seeds = list(dict.fromkeys(d.seed for d in draws))
+    made = [F.struct(F.lit(j).alias("j"), order_prefix(x, key_col).alias("h")) for j, x in enumerate(seeds)]
+    return df.select("*", F.explode(F.array(*made)).alias("_s")), [seeds.index(d.seed) for d in draws]
+
+
+def _each(rows: DataFrame, cells: list[Column], alone: bool, name: str, *cols) -> DataFrame:
+    """The cells of a row that are not null, as rows; ``alone``: at most one of them is."""
+    if alone:
+        return rows.select(F.coalesce(*cells).alias(name), *cols).where(F.col(name).isNotNull())
+    return rows.select(F.explode(F.array_compact(F.array(*cells))).alias(name), *cols)
+
+
 def cut_offs(df: DataFrame, draws: list[Draw], key_col: str, final_rows: int = FINAL_ROWS) -> list[Cut]:
     """Where each draw's first n rows end; one histogram pass for all draws, and one more for buckets above ``final_rows``."""
     cuts = [Cut(0, 1 << 32, d.n) for d in draws]
@@ -71,14 +85,15 @@ def cut_offs(df: DataFrame, draws: list[Draw], key_col: str, final_rows: int = F
         if d.n <= 0:
             cuts[i] = Cut(0, 0, 0)
     first = True
+    rows, seed_of = _with_prefixes(df, draws, key_col)
+    alone, h = len(set(seed_of)) == len(draws), F.col("_s.h")
     while active:
         shift = {i: max(0, (cuts[i].hi - cuts[i].lo).bit_length() - 1 - BUCKET_BITS) for i in active}
         cells = []
         for i in active:
-            h = order_prefix(draws[i].seed, key_col)
-            inside = _of(draws[i], (h >= cuts[i].lo) & (h < cuts[i].hi))
+            inside = (F.col("_s.j") == seed_of[i]) & _of(draws[i], (h >= cuts[i].lo) & (h < cuts[i].hi))
             cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.shiftright(h - F.lit(cuts[i].lo), shift[i]).alias("b"))))
-        found = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.i", "c.b").count().collect()
+        found = _each(rows, cells, alone, "c").groupBy("c.i", "c.b").count().collect()
         again = []
         for i in active:
             counts = sorted((r["b"], r["count"]) for r in found if r["i"] == i)
@@ -99,15 +114,18 @@ def cut_offs(df: DataFrame, draws: list[Draw], key_col: str, final_rows: int = F
 
 def first_n(df: DataFrame, draws: list[Draw], key_col: str = "NAME", label_col: str = "draw", final_rows: int = FINAL_ROWS) -> DataFrame:
     """``(label, *df)``: the exact first rows of every draw."""
-    cuts = cut_offs(df, draws, key_col, final_rows)
+    cuts, cols = cut_offs(df, draws, key_col, final_rows), df.columns
     heads, edges = [], []
-    for d, c in zip(draws, cuts):
-        h = order_prefix(d.seed, key_col)
-        heads.append(F.when(_of(d, h < c.lo), F.lit(d.label)))
-        edges.append(F.when(_of(d, (h >= c.lo) & (h < c.hi)), F.struct(F.lit(d.label).alias("label"), F.lit(c.need).alias("need"), seeded_key(d.seed, F.col(key_col)).alias("k"))))
-    cols = df.columns
-    head = df.select(F.explode(F.array_compact(F.array(*heads))).alias(label_col), *cols)
-    edge = df.select(F.explode(F.array_compact(F.array(*edges))).alias("_e"), *cols)
+    if len(draws) == 1:   # plain filters, which go below whatever makes the other columns
+        rows, seed_of, alone, h = df, [None], True, order_prefix(draws[0].seed, key_col)
+    else:
+        rows, seed_of = _with_prefixes(df, draws, key_col)
+        alone, h = len(set(seed_of)) == len(draws), F.col("_s.h")
+    for d, c, j in zip(draws, cuts, seed_of):
+        mine = F.lit(True) if j is None else F.col("_s.j") == j
+        heads.append(F.when(mine & _of(d, h < c.lo), F.lit(d.label)))
+        edges.append(F.when(mine & _of(d, (h >= c.lo) & (h < c.hi)), F.struct(F.lit(d.label).alias("label"), F.lit(c.need).alias("need"), seeded_key(d.seed, F.col(key_col)).alias("k"))))
+    head, edge = _each(rows, heads, alone, label_col, *cols), _each(rows, edges, alone, "_e", *cols)
     rank = F.row_number().over(Window.partitionBy("_e.label").orderBy("_e.k", key_col))   # at most final_rows rows a draw
     edge = edge.withColumn("_r", rank).where(F.col("_r") <= F.col("_e.need")).select(F.col("_e.label").alias(label_col), *cols)
     return head.unionByName(edge)
