@@ -109,6 +109,31 @@ def test_windows_see_across_parts(spark):
     assert few == many == want
 
 
+def dense(n, seed=5):
+    """Pairs at cosine 0.955, all of them in one group of mutual cosine 0.8."""
+    r = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    middle = unit(r.standard_normal(64))
+    one = unit(np.sqrt(0.8) * middle + np.sqrt(0.2) * unit(r.standard_normal((n // 2, 64))))
+    away = r.standard_normal((n // 2, 64))
+    away = unit(away - (away * one).sum(1, keepdims=True) * one)
+    two = 0.955 * one + np.sqrt(1 - 0.955 ** 2) * away
+    both = np.concatenate([one, two])
+    return [(i, [float(x) for x in v]) for i, v in enumerate(both)]
+
+
+@pytest.mark.parametrize("exact_rows, exact_block", [(0, 8192), (10_000, 8192), (10_000, 300)])
+def test_links_that_few_windows_hold(spark, exact_rows, exact_block):
+    rows = dense(2000)
+    x = np.array([v for _, v in rows])
+    hit = x @ x.T >= 0.95
+    np.fill_diagonal(hit, False)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.n_links for r in projection_passes.near_groups(df, window=8, passes=2 if exact_rows else 16, exact_rows=exact_rows, exact_block=exact_block).collect()}
+    found, want = sum(got.values()), int(hit.sum())
+    assert found == want if exact_rows else found >= 0.97 * want
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 def test_stages_keep_columns_and_take_awkward_rows(spark, tmpdir_path):
