@@ -2,8 +2,8 @@
 
 Every line has a hash; a rolling hash over the last two line hashes ends a chunk wherever it is divisible by
 ``divisor``. Boundaries depend on nearby lines only, so a passage keeps its inner chunks wherever it moves. Chunks of
-two or more lines that hold words and stand in several places are compared byte by byte; all but the first place are
-removed. The first place is the one with the smallest (id, hash of the whole text, position): rows that are equal in
+two or more lines, one of them with words at least, that stand in several places are compared byte by byte; all but the
+first place are removed. The first place is the one with the smallest (id, hash of the whole text, position): rows that are equal in
 both are one document and never remove each other's lines.
 """
 
@@ -66,7 +66,7 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_
     # one form of the input for both joins below, so that its exchange can serve both
     rows = docs.select(F.struct(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th")).alias("doc"), F.col(text_col).alias("text"),
                        *[F.col(f"`{c}`").alias(f"other{i}") for i, c in enumerate(others)])
-    places = rows.select("doc", F.explode(chunks(F.col("text"), divisor)).alias("c")).where("c.n_lines > 1 AND c.n_wordy > 1")
+    places = rows.select("doc", F.explode(chunks(F.col("text"), divisor)).alias("c")).where("c.n_lines > 1 AND c.n_wordy > 0")
     places = places.select("doc", F.col("c.at").alias("at"), F.xxhash64("c.text").alias("h"))
     firsts = places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("first")).where("n > 1").select("h")
     repeated = places.join(firsts, "h").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("at", "h"))).alias("found"))

@@ -327,6 +327,16 @@ def test_chunks_do_not_shift(spark):
     assert len(a & b) >= len(a) - 2 and all("\n".join(c.text for c in r.c) in texts for r in got)
 
 
+def test_paragraphs_between_blank_lines_are_removed(spark):
+    text = "\n\n".join(f"paragraph {i} of a text" for i in range(200))
+    rows = spark.createDataFrame([(1, text), (2, "another start\n" + text)], "doc_id long, text string")
+    sizes = [(c.n_lines, c.n_wordy) for c in rows.where("doc_id = 1").select(line_chunks.chunks(F.col("text")).alias("c")).first().c]
+    assert (2, 1) in sizes or (3, 1) in sizes
+    got = {r.doc_id: r.line_dedup.n_removed_lines for r in line_chunks.dedup_lines(rows).collect()}
+    inner = sum(n for n, wordy in sizes[1:] if n > 1 and wordy > 0)
+    assert got[1] == 0 and got[2] >= inner > sum(n for n, wordy in sizes if n > 1 and wordy > 1)
+
+
 def test_chunks_with_one_hash_are_told_apart_by_bytes(docs, con, monkeypatch):
     monkeypatch.setattr(line_chunks.F, "xxhash64", lambda *c: F.lit(1).cast("long"))
     got = line_chunks.dedup_lines(docs, name="found").select("doc_id", *[f"found.{c}" for c in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")],
