@@ -35,13 +35,24 @@ CLOSES = {"p": BLOCKS - {"figcaption"} | {"div", "article", "section", "main", "
 PATHS = 8
 
 
+#: Words before these say what a page has or lacks, not what the element is.
+STATE = re.compile(r"^(?:no|has|with|without)[-_]")
+
+
 class Page(HTMLParser):
-    """Blocks of a page in order: (path of the container, text, characters in links, dropped)."""
+    """Blocks of a page in order: (path of the container, text, characters in links, dropped).
+
+    What is dropped by class or id words or as a form (a soft drop) is taken back where it holds all articles of a page
+    (or, without any, all its main headings), or where it holds containers and the page would be left empty.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, str, int, bool]] = []
-        self.stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, dropped
+        self.stack: list[tuple[str, str, bool, frozenset[int]]] = [("", "", False, frozenset())]  # tag, path, dropped for good, soft drops around
+        self.soft: list[frozenset[int]] = []  # of each block
+        self.heads: dict[bool, list[frozenset[int]]] = {True: [], False: []}  # soft drops around articles, and around main headings
+        self.n_soft, self.wrappers = 0, set()
         self.parts: list[str] = []
         self.linked, self.in_link = 0, False
         try:
@@ -49,13 +60,23 @@ class Page(HTMLParser):
             self.close()
         except AssertionError:  # the library refuses some marked sections; browsers take them for comments
             self.__init__(re.sub(r"<!\[[^>]*>?", "", html))
+            return
         self.flush()
+        self.settle()
+
+    def settle(self) -> None:
+        around = self.heads[True] or self.heads[False]
+        lifted = min(around, key=len, default=frozenset())
+        if not any(not dropped and soft <= lifted for (*_, dropped), soft in zip(self.blocks, self.soft, strict=True)):
+            lifted = lifted | self.wrappers
+        self.blocks = [(p, t, n, dropped or not soft <= lifted) for (p, t, n, dropped), soft in zip(self.blocks, self.soft, strict=True)]
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, path, dropped = self.stack[-1]
+            _, path, dropped, soft = self.stack[-1]
             self.blocks.append((path, text, min(self.linked, len(text)), dropped))
+            self.soft.append(soft)
         self.parts.clear()
         self.linked = 0
 
@@ -71,10 +92,13 @@ class Page(HTMLParser):
                 self.parts.append(" ")
             return
         own = dict(attrs)
-        named = re.findall(r"[a-z]+", f"{own.get('class') or ''} {own.get('id') or ''}".lower()) if "class" in own or "id" in own else ()
-        dropped = (tag in DROPPED or not DROPPED_WORDS.isdisjoint(named) or own.get("role") in DROPPED_ROLES or "hidden" in own
-                   or own.get("aria-hidden") == "true" or "display:none" in (own.get("style") or "").replace(" ", "").lower()
-                   or (tag == "header" and not any(s[0] in ("article", "main") for s in self.stack))) and tag not in ("html", "body", "article", "main")
+        tokens = [t for t in f"{own.get('class') or ''} {own.get('id') or ''}".lower().split() if not STATE.match(t)] if "class" in own or "id" in own else ()
+        never = tag in ("html", "body", "article", "main")
+        soft = (tag == "form" or any(not DROPPED_WORDS.isdisjoint(re.findall(r"[a-z]+", t)) for t in tokens)) and not never
+        hard = ((tag in DROPPED and tag != "form") or own.get("role") in DROPPED_ROLES or "hidden" in own
+                or own.get("aria-hidden") == "true" or "display:none" in (own.get("style") or "").replace(" ", "").lower()
+                or (tag == "header" and not any(s[0] in ("article", "main") for s in self.stack))) and not never
+        dropped = soft or hard
         if tag in INLINE and not dropped:
             self.in_link = self.in_link or tag == "a"
             return
@@ -87,11 +111,17 @@ class Page(HTMLParser):
                 break
             if open_tag not in BLOCKS and open_tag not in INLINE and open_tag not in CLOSES:
                 break
-        _, path, inside = self.stack[-1]
+        _, path, inside, around = self.stack[-1]
         if tag not in BLOCKS and tag not in INLINE:
             classes = ".".join(sorted({re.sub(r"\d+", "#", c) for c in (own.get("class") or "").lower().split()}))
             path = f"{path}>{tag}.{classes}" if classes else f"{path}>{tag}"
-        self.stack.append((tag, path, inside or dropped))
+            self.wrappers |= around
+        if soft:
+            self.n_soft += 1
+            around = around | {self.n_soft}
+        if tag in ("article", "main", "h1") and not (inside or hard):
+            self.heads[tag != "h1"].append(around)
+        self.stack.append((tag, path, inside or hard, around))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)

@@ -46,6 +46,17 @@ def test_awkward_pages(spark):
     assert html_consensus.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_wrappers_named_like_boilerplate_keep_their_article():
+    def text(h):
+        return html_consensus.Page(h).text([])
+
+    inner = "<h1>T</h1><p>the article</p><div class=comments><p>a reader</p></div>"
+    for wrapper in ("<div class='layout has-sidebar'>", "<div class='post no-comments'>", "<div id='search-results'>", "<form>"):
+        assert text(f"<body>{wrapper}<article>{inner}</article><div class=sidebar><article>other</article></div>") == "T the article"
+        assert text(f"<body>{wrapper}<div class=body>{inner}</div>") == "T the article"
+    assert text("<div class=comments><p>only readers</p></div>") == ""
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_pages_table_equals_brute_force(spark):
     pages = spark.read.parquet(SF + "/pages.parquet")
