@@ -141,7 +141,7 @@ class Page(HTMLParser):
                 break
 
     def scores(self) -> list[tuple[str, float]]:
-        """(path, score) of every container: covered share x purity, and a little for a telling tag and for depth."""
+        """(path, score) of every container: covered share x purity, and a little for a telling tag."""
         good: dict[str, float] = {}
         all_text: dict[str, int] = {}
         total = 0.0
@@ -154,11 +154,11 @@ class Page(HTMLParser):
                 good[up] = good.get(up, 0.0) + running
                 all_text[up] = all_text.get(up, 0) + len(text)
                 at = path.rfind(">", 0, at)
-        return [(p, g / total * (g / all_text[p]) + 0.25 * bool(re.search(r">(article|main)(\.[^>]*)?$", p)) + 0.02 * p.count(">"))
+        return [(p, g / total * (g / all_text[p]) + 0.25 * bool(re.search(r">(article|main)(\.[^>]*)?$", p)))
                 for p, g in good.items() if g > 0]
 
     def best(self) -> str:
-        return max(self.scores(), key=lambda s: (round(s[1], 9), s[0]), default=("", 0.0))[0]
+        return max(self.scores(), key=lambda s: (round(s[1], 9), s[0].count(">"), s[0]), default=("", 0.0))[0]
 
     def text(self, ranked: list[str]) -> str:
         """Blocks of the first of the paths that this page has, else of its own best container."""
@@ -197,7 +197,7 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", p
 
     votes = head.mapInArrow(run, "host string, path string, votes long, score long")
     votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
-    best = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")  # one row per path of a host, not per page
+    best = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), F.desc(F.size(F.split("path", ">"))), "path")  # one row per path of a host, not per page
     return (votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= paths).groupBy("host")
             .agg(F.array_sort(F.collect_list(F.struct("place", "path"))).alias("p")).select("host", F.transform("p", lambda x: x["path"]).alias("paths")))
 

@@ -57,6 +57,12 @@ def test_wrappers_named_like_boilerplate_keep_their_article():
     assert text("<div class=comments><p>only readers</p></div>") == ""
 
 
+def test_depth_never_outweighs_text():
+    h = "<div class=post><h1>" + "h" * 60 + "</h1><div class=body><p>" + "word " * 1200 + "</p></div></div>"
+    assert html_consensus.Page(h).best() == ">div.post"
+    assert html_consensus.Page(h.replace("<h1>" + "h" * 60 + "</h1>", "")).best() == ">div.post>div.body"
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_pages_table_equals_brute_force(spark):
     pages = spark.read.parquet(SF + "/pages.parquet")
