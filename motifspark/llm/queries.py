@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.llm import bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash, suffix_dedup, token_rollup
+from motifspark.llm import (ball_tree, bpe_automaton, html_consensus, line_chunks, mixing, projection_passes, quality_rules, secrets_scan, simhash, suffix_dedup,
+                            token_rollup, url_filter, whitening)
 from motifspark.llm.common import n_words, shared_folder, table
 
 
@@ -95,6 +96,23 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           keep=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+#: (host, path, verdict) of the contract.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -106,10 +124,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_chunks": op8_line_chunks,
     "op9_html_consensus": op9_html_consensus,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_ball_tree_search": op11_ball_tree_search,
+    "op12_whitening": op12_whitening,
+    "op13_url_filter": op13_url_filter,
 }
 ORACLE: dict[str, str] = {
     "op3_linked_secrets": secrets_scan.oracle_sql(),
     "op4_pareto_mix": mixing.ORACLE_SQL,
     "op7_token_rollup": ROLLUP_SQL,
     "op8_line_chunks": line_chunks.ORACLE_SQL,
+    "op11_ball_tree_search": ball_tree.oracle_sql(),
 }
