@@ -4,8 +4,7 @@ Each pass gives every vector a code, the concatenated signs of its projections o
 vectors by code; every vector is compared with the ``window`` vectors before it. Vectors at a small angle share long
 code prefixes in some pass. Passes come in rounds, by turns on the vectors and on vectors centred on the mean of their
 neighbourhood (where many vectors lie close together, plain codes share their prefixes with too many), until a round
-joins next to nothing. Tables of up to ``exact_rows`` vectors take one round and are then compared completely, block by block. The
-verified pairs of all passes are united to components. Windows are bounded, so a group
+joins next to nothing. The verified pairs of all passes are united to components. Windows are bounded, so a group
 larger than a window gets its links counted exactly afterwards: inside each component, vectors within half the limit
 angle of the component's mean are linked to each other by the triangle inequality and only counted; all others are
 compared with the whole component, block by block.
@@ -187,36 +186,6 @@ def window_links(coded: DataFrame, window: int, least: float, parts: int) -> Dat
     return found.where("b IS NOT NULL").select("a", "b").unionAll(crossing)
 
 
-def block_links(vectors: DataFrame, least: float, rows: int) -> DataFrame:
-    """(component, node, vector) -> (a, b): links between different components, from every pair of blocks of ``rows`` vectors."""
-    vectors = vectors.withColumn("dim", F.size("vector"))
-    blocks = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("n_blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
-    dealt = vectors.join(F.broadcast(blocks), "dim").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    dealt = dealt.select("dim", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
-                         "component", "node", "vector")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, 3):
-            i, j = group.column(1)[0].as_py(), group.column(2)[0].as_py()
-            second = np.array(group.column(3).to_pylist())
-            names, x, forest, out = group.column(5).to_pylist(), _matrix(group.column(6)), _Forest(), []
-            comps = np.unique(np.array(group.column(4).to_pylist()), return_inverse=True)[1]
-            left = np.nonzero(~second)[0]
-            right = left if i == j else np.nonzero(second)[0]
-            for at in range(0, len(left), 512):
-                part = left[at:at + 512]
-                hit = (x[part] @ x[right].T >= least) & (comps[part][:, None] != comps[right][None, :])
-                for k, m in zip(*np.nonzero(hit), strict=True):
-                    a, b = int(part[k]), int(right[m])
-                    if forest.join(f"{comps[a]:012d}", f"{comps[b]:012d}"):
-                        out.append((names[a], names[b]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out]), pa.array([e[1] for e in out])], ["a", "b"])
-
-    return dealt.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j", "second", "node").mapInArrow(run, "a string, b string")
-
-
 def unite(comps: DataFrame, links: DataFrame, local: int = 100_000) -> tuple[DataFrame, int]:
     """(node, component) of all nodes with the links' components united, and how many joins that took.
 
@@ -284,14 +253,14 @@ def link_counts(members: DataFrame, least: float, block: int) -> DataFrame:
 
 
 def near_groups(vectors: DataFrame, least: float = 0.95, passes: int = 16, window: int = 64, block: int = 1024, seed: int = 7,
-                id_col: str = "vec_id", vector_col: str = "embedding", exact_rows: int = 200_000, exact_block: int = 8192) -> DataFrame:
+                id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per input row: id, n_links (other rows linked directly), component_id (smallest id reachable), kept.
 
     Equal vectors are one node, however many. Null, empty and zero vectors, vectors with null or non-finite parts and
     rows without id link with nothing: component_id is their own id. Vectors of different length are never compared.
-    Repeated rows are vectors like any other. Other columns are not read; an empty table gives an empty one. Up to
-    ``exact_rows`` different vectors no link is missed; beyond, rounds of passes go on until one adds at most a
-    thousandth to the joins made so far.
+    Repeated rows are vectors like any other. Other columns are not read; an empty table gives an empty one. Rounds
+    of passes go on until one adds at most a thousandth to the joins made so far, at least one on the vectors and one on
+    the centred ones.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     good = (F.col("id").isNotNull() & F.coalesce(F.size("vector") > 0, F.lit(False))
@@ -307,10 +276,8 @@ def near_groups(vectors: DataFrame, least: float = 0.95, passes: int = 16, windo
         centres = neighbourhoods(nodes, turn) if turn % 2 else None
         comps, more = unite(comps, window_links(codes(nodes, passes, seed, turn, centres), window, least, parts))
         joins, turn = joins + more, turn + 1
-        if n <= exact_rows or turn > 1 and more <= joins // 1000:
+        if turn > 1 and more <= joins // 1000:
             break
-    if 1 < n <= exact_rows:
-        comps, _ = unite(comps, block_links(nodes.join(comps, "node"), least, exact_block))
     comps = comps.join(comps.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("component"), "component")
     members = comps.join(classes, "node").select("component", "node", "vector", "copies")
     counts = link_counts(members, least, block)

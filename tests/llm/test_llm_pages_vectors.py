@@ -139,16 +139,14 @@ def dense(n, seed=5):
     return [(i, [float(x) for x in v]) for i, v in enumerate(both)]
 
 
-@pytest.mark.parametrize("exact_rows, exact_block", [(0, 8192), (10_000, 8192), (10_000, 300)])
-def test_links_that_few_windows_hold(spark, exact_rows, exact_block):
+def test_links_that_few_windows_hold(spark):
     rows = dense(2000)
     x = np.array([v for _, v in rows])
     hit = x @ x.T >= 0.95
     np.fill_diagonal(hit, False)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
-    got = {r.vec_id: r.n_links for r in projection_passes.near_groups(df, window=8, passes=2 if exact_rows else 16, exact_rows=exact_rows, exact_block=exact_block).collect()}
-    found, want = sum(got.values()), int(hit.sum())
-    assert found == want if exact_rows else found >= 0.97 * want
+    got = {r.vec_id: r.n_links for r in projection_passes.near_groups(df, window=8).collect()}
+    assert int(hit.sum()) >= sum(got.values()) >= 0.97 * int(hit.sum())
 
 
 # --- pipeline --------------------------------------------------------------------------------------------------------
