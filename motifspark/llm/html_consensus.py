@@ -3,18 +3,24 @@
 Every page scores its containers (elements that hold blocks of text) by how much of the page's running text they
 cover, how little link and boilerplate text they hold, and whether their tag says what they are. It votes for the
 generalised tag-class path (digits become ``#``, ids are dropped) of its best one; votes, and scores to break ties, are
-summed per host in Spark. Then each page is read again with its host's paths, best first: the first one that the page has is its main container; a page with none
-of them uses its own best.
+summed per host in Spark, along with what the host's pages tell about each path: on how many pages it stands, how much
+of it is links, and on how many of them it says the very same. Then each page is read again. Paths whose text repeats
+from page to page, or is links, are boilerplate there. A page's main container is its host's best voted path that holds
+most of the page's running text, or that nearly all pages which have it vote for; a page with none uses its own best.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motifspark.llm.common import materialise
@@ -29,30 +35,58 @@ DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search al
 DROPPED_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie
     cookies disqus footer login menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted
     related replies search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget""".split())
+#: Parts of a class or id that say where or how big an element is; a compound of dropped words and these is dropped, any other word keeps it.
+PLACE_WORDS = frozenset("""area bar block body bottom box button buttons card col column container content fixed global group header heading inner item items
+    left link links list main mobile outer page panel post posts right row section site slot sticky text title top unit wrap wrapper""".split())
 #: An open element of these ends when one of its kind, or what stands on the right, begins.
 CLOSES = {"p": BLOCKS - {"figcaption"} | {"div", "article", "section", "main", "header", "footer", "nav", "aside", "form"}, "li": {"li"}, "dd": {"dd", "dt"},
           "dt": {"dd", "dt"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}, "head": {"body", "div", "article", "nav", "p", "h1"}}
-PATHS = 8
-
-
 #: Words before these say what a page has or lacks, not what the element is.
 STATE = re.compile(r"^(?:no|has|with|without)[-_]")
 
 
+@lru_cache(100_000)
+def names_boilerplate(token: str) -> bool:
+    """Whether a whole class or id token names boilerplate: a dropped word, alone or with words of place and size."""
+    words = [w for w in re.split(r"[-_\d]+", token) if w]
+    return not STATE.match(token) and any(w in DROPPED_WORDS for w in words) and all(w in DROPPED_WORDS or w in PLACE_WORDS for w in words)
+
+
+@dataclass(slots=True)
+class Path:
+    """A generalised tag-class path of a page; its number is the same on every page."""
+
+    number: int
+    up: int  # index of the path above
+    label: str
+    depth: int
+    running: int = 0  # characters of its own blocks: kept ones outside links,
+    linked: int = 0  # in links,
+    chars: int = 0  # all
+    said: int = 0  # hash of its own blocks' texts
+    good: int = 0  # running and all characters of it and what is below
+    all: int = 0
+
+
 class Page(HTMLParser):
-    """Blocks of a page in order: (path of the container, text, characters in links, dropped).
+    """Blocks of a page in order: (index of the container's path, text, characters in links, dropped).
 
     What is dropped by class or id words or as a form (a soft drop) is taken back where it holds all articles of a page
-    (or, without any, all its main headings), or where it holds containers and the page would be left empty.
+    (or, without any, all its main headings), or where it holds containers and the page would be left empty. Memory is
+    linear in the page: paths and drops are numbered and point to those around them.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, str, int, bool]] = []
-        self.stack: list[tuple[str, str, bool, frozenset[int]]] = [("", "", False, frozenset())]  # tag, path, dropped for good, soft drops around
-        self.soft: list[frozenset[int]] = []  # of each block
-        self.heads: dict[bool, list[frozenset[int]]] = {True: [], False: []}  # soft drops around articles, and around main headings
-        self.n_soft, self.wrappers = 0, set()
+        self.blocks: list[tuple[int, str, int, bool]] = []
+        self.paths = [Path(0, -1, "", 0)]
+        self.by_label: dict[tuple[int, str], int] = {}
+        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]  # tag, path, dropped for good, innermost soft drop around
+        self.open: Counter = Counter()
+        self.soft: list[int] = []  # of each block
+        self.soft_up: list[int] = []  # the soft drop around each soft drop
+        self.wraps: set[int] = set()  # soft drops with containers in them
+        self.heads: dict[bool, list[int]] = {True: [], False: []}  # soft drops around articles, and around main headings
         self.parts: list[str] = []
         self.linked, self.in_link = 0, False
         try:
@@ -63,13 +97,40 @@ class Page(HTMLParser):
             return
         self.flush()
         self.settle()
+        self.weigh()
+
+    def around(self, soft: int) -> Iterator[int]:
+        while soft >= 0:
+            yield soft
+            soft = self.soft_up[soft]
 
     def settle(self) -> None:
-        around = self.heads[True] or self.heads[False]
-        lifted = min(around, key=len, default=frozenset())
-        if not any(not dropped and soft <= lifted for (*_, dropped), soft in zip(self.blocks, self.soft, strict=True)):
-            lifted = lifted | self.wrappers
-        self.blocks = [(p, t, n, dropped or not soft <= lifted) for (p, t, n, dropped), soft in zip(self.blocks, self.soft, strict=True)]
+        heads = self.heads[True] or self.heads[False]
+        depth = [0] * len(self.soft_up)
+        for i, up in enumerate(self.soft_up):  # those around come first
+            depth[i] = 1 + (depth[up] if up >= 0 else 0)
+        lifted = set(self.around(min(heads, key=lambda s: depth[s] if s >= 0 else 0, default=-1)))
+        kept = lambda soft: soft < 0 or soft in lifted  # noqa: E731  (drops around a lifted one are lifted)
+        if not any(not dropped and kept(soft) for (*_, dropped), soft in zip(self.blocks, self.soft, strict=True)):
+            for s in self.wraps:
+                for x in self.around(s):
+                    if x in lifted:
+                        break
+                    lifted.add(x)
+        self.blocks = [(p, t, n, dropped or not kept(soft)) for (p, t, n, dropped), soft in zip(self.blocks, self.soft, strict=True)]
+
+    def weigh(self) -> None:
+        for p, text, linked, dropped in self.blocks:
+            path = self.paths[p]
+            path.running += 0 if dropped else len(text) - linked
+            path.linked += linked
+            path.chars += len(text)
+            path.said = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), path.said)
+        for path in self.paths:
+            path.good, path.all = path.running, path.chars
+        for path in reversed(self.paths[1:]):  # paths above come first
+            self.paths[path.up].good += path.good
+            self.paths[path.up].all += path.all
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -80,6 +141,11 @@ class Page(HTMLParser):
         self.parts.clear()
         self.linked = 0
 
+    def cut(self, i: int) -> None:
+        for tag, *_ in self.stack[i:]:
+            self.open[tag] -= 1
+        del self.stack[i:]
+
     def handle_data(self, data: str) -> None:
         if not self.stack[-1][2] or not self.stack[-1][0] in ("script", "style"):
             self.parts.append(data)
@@ -92,36 +158,45 @@ class Page(HTMLParser):
                 self.parts.append(" ")
             return
         own = dict(attrs)
-        tokens = [t for t in f"{own.get('class') or ''} {own.get('id') or ''}".lower().split() if not STATE.match(t)] if "class" in own or "id" in own else ()
         never = tag in ("html", "body", "article", "main")
-        soft = (tag == "form" or any(not DROPPED_WORDS.isdisjoint(re.findall(r"[a-z]+", t)) for t in tokens)) and not never
+        soft = not never and (tag == "form" or any(map(names_boilerplate, f"{own.get('class') or ''} {own.get('id') or ''}".lower().split())))
         hard = ((tag in DROPPED and tag != "form") or own.get("role") in DROPPED_ROLES or "hidden" in own
                 or own.get("aria-hidden") == "true" or "display:none" in (own.get("style") or "").replace(" ", "").lower()
-                or (tag == "header" and not any(s[0] in ("article", "main") for s in self.stack))) and not never
-        dropped = soft or hard
-        if tag in INLINE and not dropped:
+                or (tag == "header" and not (self.open["article"] or self.open["main"]))) and not never
+        if tag in INLINE and not (soft or hard):
             self.in_link = self.in_link or tag == "a"
             return
         self.flush()
         self.in_link = False
-        for i in range(len(self.stack) - 1, 0, -1):  # ends that are left out
-            open_tag = self.stack[i][0]
-            if tag in CLOSES.get(open_tag, ()):
-                del self.stack[i:]
-                break
-            if open_tag not in BLOCKS and open_tag not in INLINE and open_tag not in CLOSES:
-                break
+        if any(self.open[t] for t in _CLOSED_BY.get(tag, ())):
+            for i in range(len(self.stack) - 1, 0, -1):  # ends that are left out
+                open_tag = self.stack[i][0]
+                if tag in CLOSES.get(open_tag, ()):
+                    self.cut(i)
+                    break
+                if open_tag not in BLOCKS and open_tag not in INLINE and open_tag not in CLOSES:
+                    break
         _, path, inside, around = self.stack[-1]
         if tag not in BLOCKS and tag not in INLINE:
             classes = ".".join(sorted({re.sub(r"\d+", "#", c) for c in (own.get("class") or "").lower().split()}))
-            path = f"{path}>{tag}.{classes}" if classes else f"{path}>{tag}"
-            self.wrappers |= around
+            path = self.below(path, f"{tag}.{classes}" if classes else tag)
+            if around >= 0:
+                self.wraps.add(around)
         if soft:
-            self.n_soft += 1
-            around = around | {self.n_soft}
+            self.soft_up.append(around)
+            around = len(self.soft_up) - 1
         if tag in ("article", "main", "h1") and not (inside or hard):
             self.heads[tag != "h1"].append(around)
         self.stack.append((tag, path, inside or hard, around))
+        self.open[tag] += 1
+
+    def below(self, up: int, label: str) -> int:
+        at = self.by_label.get((up, label))
+        if at is None:
+            at = self.by_label[up, label] = len(self.paths)
+            above = self.paths[up]
+            self.paths.append(Path(xxhash.xxh64_intdigest(label.encode("utf-8", "surrogatepass"), above.number), up, label, above.depth + 1))
+        return at
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -135,38 +210,57 @@ class Page(HTMLParser):
             return
         self.flush()
         self.in_link = False
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                break
-
-    def scores(self) -> list[tuple[str, float]]:
-        """(path, score) of every container: covered share x purity, and a little for a telling tag."""
-        good: dict[str, float] = {}
-        all_text: dict[str, int] = {}
-        total = 0.0
-        for path, text, linked, dropped in self.blocks:
-            running = 0.0 if dropped else float(len(text) - linked)
-            total += running
-            at = len(path)
-            while at > 0:
-                up = path[:at]
-                good[up] = good.get(up, 0.0) + running
-                all_text[up] = all_text.get(up, 0) + len(text)
-                at = path.rfind(">", 0, at)
-        return [(p, g / total * (g / all_text[p]) + 0.25 * bool(re.search(r">(article|main)(\.[^>]*)?$", p)))
-                for p, g in good.items() if g > 0]
-
-    def best(self) -> str:
-        return max(self.scores(), key=lambda s: (round(s[1], 9), s[0].count(">"), s[0]), default=("", 0.0))[0]
-
-    def text(self, ranked: list[str]) -> str:
-        """Blocks of the first of the paths that this page has, else of its own best container."""
-        present = {p for p, _ in self.scores()}
-        best = next((p for p in ranked if p in present), None)
+        if self.open[tag]:
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i][0] == tag:
+                    self.cut(i)
+                    break
+
+    def score(self, p: Path) -> float:
+        """Covered share x purity, and a little for a telling tag."""
+        return p.good / max(self.paths[0].good, 1) * (p.good / max(p.all, 1)) + 0.25 * (p.label.split(".")[0] in ("article", "main"))
+
+    def best(self) -> int:
+        """Index of the page's own best container; 0, the whole page, if nothing has running text. Depth only breaks ties."""
+        some = [i for i, p in enumerate(self.paths) if p.good > 0 and i > 0]
+        return max(some, key=lambda i: (round(self.score(self.paths[i]), 9), self.paths[i].depth, self.paths[i].number), default=0)
+
+    def name(self, i: int) -> str:
+        out = ""
+        while i > 0:
+            out, i = f">{self.paths[i].label}{out}", self.paths[i].up
+        return out
+
+    def text(self, ranked: list[tuple[int, bool]] = (), boilerplate: set[int] = frozenset()) -> str:
+        """Kept blocks of the main container. ``ranked``: (number, whether nearly all pages that have it vote for it) of the host's paths."""
+        out = [False] * len(self.paths)  # below a path that is boilerplate on this host
+        if boilerplate:
+            for i, p in enumerate(self.paths[1:], 1):
+                out[i] = out[p.up] or _signed(p.number) in boilerplate
+            if not any(p.running and not o for p, o in zip(self.paths, out, strict=True)):
+                out = [False] * len(self.paths)
+        good = [0 if o else p.running for p, o in zip(self.paths, out, strict=True)]
+        for i in range(len(good) - 1, 0, -1):
+            good[self.paths[i].up] += good[i]
+        at = {_signed(p.number): i for i, p in enumerate(self.paths) if good[i] > 0}
+        best = next((at[n] for n, sure in ranked if n in at and (sure or 2 * good[at[n]] > good[0])), None)
         if best is None:
             best = self.best()
-        return " ".join([t for p, t, _, dropped in self.blocks if not dropped and (p == best or p.startswith(best + ">"))])
+        inside = [False] * len(self.paths)
+        inside[best] = True
+        for i, p in enumerate(self.paths[1:], 1):
+            inside[i] = inside[i] or inside[p.up]
+        return " ".join([t for p, t, _, dropped in self.blocks if inside[p] and not dropped and not out[p]])
+
+
+_CLOSED_BY: dict[str, list[str]] = {}
+for _open, _tags in CLOSES.items():
+    for _tag in _tags:
+        _CLOSED_BY.setdefault(_tag, []).append(_open)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def host(url: Column) -> Column:
@@ -174,32 +268,46 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", paths: int = PATHS) -> DataFrame:
-    """(host, paths): the ``paths`` best voted container paths of each host, best first.
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = 0.01, sure: float = 0.8, pages_least: int = 5) -> DataFrame:
+    """(host, paths, boilerplate): what the pages of a host agree on.
+
+    ``paths``: array of (path, sure), best voted first, of the paths that at least ``share`` of the host's pages vote
+    for (so there are at most 1 / ``share``); sure if at least ``sure`` of the pages with text in it, and three, do.
+    ``boilerplate``: paths on at least ``pages_least`` and ``share`` of the pages that hold little of the running text
+    (under 30 %) and either say the very same on half of the pages that have them or consist of links to four fifths.
 
-    Only (host, path, score) rows are shuffled, summed up in each task first, so a host with a third of all pages is a
-    few rows per task.
+    One row per path and page is summed up in each task first, then by (host, path, what it says), then by (host,
+    path): neither a host with a third of all pages nor a text on all of them is a large group.
     """
     head = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    sums = ("votes", "score", "pages", "present", "chars", "linked", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes: dict[tuple[str, str], list[float]] = {}
+            votes: dict[tuple[str, int, int], list[int]] = {}
             for h, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = Page(html.as_py() or "")
-                best = found.best()
-                for path, score in found.scores():
-                    v = votes.setdefault((h, path), [0, 0])
-                    v[0] += path == best
-                    v[1] += round(score * 1e6)  # whole numbers add up alike in any order
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()),
-                                              *(pa.array([v[i] for v in votes.values()], pa.int64()) for i in (0, 1))], ["host", "path", "votes", "score"])
-
-    votes = head.mapInArrow(run, "host string, path string, votes long, score long")
-    votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
-    best = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), F.desc(F.size(F.split("path", ">"))), "path")  # one row per path of a host, not per page
-    return (votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= paths).groupBy("host")
-            .agg(F.array_sort(F.collect_list(F.struct("place", "path"))).alias("p")).select("host", F.transform("p", lambda x: x["path"]).alias("paths")))
+                page = Page(html.as_py() or "")
+                best, total = page.best(), max(page.paths[0].good, 1)
+                for i, p in enumerate(page.paths):
+                    v = votes.setdefault((h, _signed(p.number), _signed(p.said)), [0] * len(sums))
+                    # whole numbers add up alike in any order
+                    for k, x in enumerate((i == best and i > 0, round(page.score(p) * 1e6) if p.good else 0, 1, p.good > 0, p.chars, p.linked, p.good * 1000 // total)):
+                        v[k] += int(x)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), *(pa.array([k[i] for k in votes], pa.int64()) for i in (1, 2)),
+                                              *(pa.array([v[i] for v in votes.values()], pa.int64()) for i in range(len(sums)))], ["host", "path", "said", *sums])
+
+    found = head.mapInArrow(run, "host string, path long, said long, " + ", ".join(f"{c} long" for c in sums))
+    added = [F.sum(c).alias(c) for c in sums]
+    found = found.groupBy("host", "path", "said").agg(*added).groupBy("host", "path").agg(*added, F.max(F.when(F.col("chars") > 0, F.col("pages"))).alias("alike"))
+    found = materialise(found, "path_votes")
+    hosts = found.where("path = 0").select(F.col("host").alias("host2"), F.col("pages").alias("n"))  # the whole page is on every page
+    found = found.where("path <> 0").join(hosts, F.col("host") == F.col("host2"))
+    voted = (F.col("votes") > 0) & (F.col("votes") >= share * F.col("n"))
+    dull = ((F.col("pages") >= pages_least) & (F.col("pages") >= share * F.col("n")) & (F.col("part") < 300 * F.col("pages")) & (F.col("chars") > 0)
+            & ((2 * F.col("alike") > F.col("pages")) | (5 * F.col("linked") >= 4 * F.col("chars"))))
+    entry = F.struct((-F.col("votes")).alias("votes"), (-F.col("score")).alias("score"), "path", ((F.col("votes") >= sure * F.col("present")) & (F.col("votes") >= 3)).alias("sure"))
+    found = found.where(voted | dull).groupBy("host").agg(F.array_sort(F.collect_list(F.when(voted, entry))).alias("p"), F.collect_list(F.when(dull & ~voted, F.col("path"))).alias("boilerplate"))
+    return found.select("host", F.transform("p", lambda x: F.struct(x["path"].alias("path"), x["sure"].alias("sure"))).alias("paths"), "boilerplate")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_hosts: int = 100_000) -> DataFrame:
@@ -212,11 +320,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     voted = materialise(host_paths(pages, url_col, html_col).withColumnRenamed("host", "host2"), "host_paths")
     voted = F.broadcast(voted) if voted.count() <= broadcast_hosts else voted
     head = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host(F.col(url_col)).alias("host"))
-    joined = head.join(voted, F.col("host") == F.col("host2"), "left").select("id", "url", "html", "paths")
+    joined = head.join(voted, F.col("host") == F.col("host2"), "left").select("id", "url", "html", "paths", "boilerplate")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(h.as_py() or "").text(p or []) for h, p in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
+            texts = [Page(h.as_py() or "").text([(x["path"], x["sure"]) for x in p.as_py() or ()], set(b.as_py() or ()))
+                     for h, p, b in zip(batch.column(2), batch.column(3), batch.column(4), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              [id_col, url_col, "text", "n_chars"])
 

@@ -59,8 +59,52 @@ def test_wrappers_named_like_boilerplate_keep_their_article():
 
 def test_depth_never_outweighs_text():
     h = "<div class=post><h1>" + "h" * 60 + "</h1><div class=body><p>" + "word " * 1200 + "</p></div></div>"
-    assert html_consensus.Page(h).best() == ">div.post"
-    assert html_consensus.Page(h.replace("<h1>" + "h" * 60 + "</h1>", "")).best() == ">div.post>div.body"
+    best = lambda p: p.name(p.best())
+    assert best(html_consensus.Page(h)) == ">div.post"
+    assert best(html_consensus.Page(h.replace("<h1>" + "h" * 60 + "</h1>", ""))) == ">div.post>div.body"
+
+
+def test_classes_are_matched_as_whole_words():
+    story = "<p>" + "a sentence of the story. " * 40 + "</p>"
+    text = lambda h: html_consensus.Page(h).text()
+    assert text(f"<div class='social-science'>{story}</div>").startswith("a sentence")
+    assert text(f"<div class='ad-free-story'>{story}</div><div class=small><p>tiny</p></div>").startswith("a sentence")
+    assert "related work" in text(f"<article>{story}<section class='related-work'><p>related work</p></section></article>")
+    for cls in ("ad", "ads", "ad-banner", "comment-list", "sidebar_left", "cookie-notice-box", "nav-bar x", "widget2"):
+        assert "no" not in text(f"<article>{story}<div class='{cls}'><p>no</p></div></article>").split(), cls
+
+
+def test_a_teaser_is_not_the_article():
+    """A host path wins on a page only where it holds most of the running text, or where all pages that have it vote for it."""
+    page = html_consensus.Page("<div class=teaser><p>tiny</p></div><div class=story><p>" + "long story " * 70 + "</p></div>")
+    number = {page.name(i): html_consensus._signed(p.number) for i, p in enumerate(page.paths)}
+    assert page.text([(number[">div.teaser"], False)]).startswith("long story")
+    assert page.text([(number[">div.teaser"], False), (number[">div.story"], False)]).startswith("long story")
+    assert page.text([(number[">div.teaser"], True)]) == "tiny"
+
+
+def test_hosts_of_many_templates_and_boilerplate_by_evidence(spark):
+    r = np.random.default_rng(8)
+    words = lambda n: " ".join("".join(map(chr, r.integers(97, 123, 6))) for _ in range(n))
+    rows, want = [], {}
+    for t in range(12):  # more templates than a short list would hold
+        for i in range(10):
+            body = words(60)
+            html = (f"<div class=x1><a href=a>{words(2)}</a> <a href=b>{words(2)}</a></div><div class=t{chr(97 + t)}><p>{body}</p><div class=stripe><p>Read our terms before you go on reading, thank you.</p></div>"
+                    f"<div class=more><a href=c>{words(3)}</a></div></div>")
+            rows.append((len(rows), f"http://many.example.com/{t}/{i}", html))
+            want[len(rows) - 1] = body
+    got = {x.page_id: x.text for x in html_consensus.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    assert got == want
+
+
+def test_deep_pages_take_linear_memory():
+    import tracemalloc
+    for html in ("<div>" * 50_000 + "x", "<form><div>" * 25_000 + "x", "<ul><li>" * 25_000 + "x", "<blockquote>" * 50_000 + "x" + "</section>" * 50_000):
+        tracemalloc.start()
+        assert html_consensus.Page(html).text() == "x"
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+        tracemalloc.stop()
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
