@@ -363,6 +363,25 @@ def test_paragraphs_between_blank_lines_are_removed(spark):
     assert got[1] == 0 and got[2] >= inner > sum(n for n, wordy in sizes if n > 1 and wordy > 1)
 
 
+def test_most_runs_of_two_lines_are_touched(spark, con):
+    """Runs of two or more lines that stood together earlier, in other surroundings, with and without blank lines between."""
+    r = np.random.default_rng(21)
+    line = lambda: " ".join("".join(map(chr, r.integers(97, 123, 5))) for _ in range(6))
+    passages = [[line() for _ in range(2 + i % 3)] for i in range(150)]
+    rows = []
+    for i in range(600):
+        between = "\n\n" if i % 2 else "\n"
+        rows.append((i, between.join([line(), line(), *passages[i // 4], line()])))
+    got = {x.doc_id: x.line_dedup.n_removed_lines for x in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    later = [i for i in range(600) if i % 4 > 1]  # the third and fourth copies: both forms of between stood before
+    assert sum(got[i] > 0 for i in later) / len(later) > 0.9
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == {x[0]: x[4] for x in c.execute(line_chunks.ORACLE_SQL).fetchall()}
+    assert sum(got.values()) > 0.85 * sum(len(passages[i // 4]) for i in later)
+
+
 def test_chunks_with_one_hash_are_told_apart_by_bytes(docs, con, monkeypatch):
     monkeypatch.setattr(line_chunks.F, "xxhash64", lambda *c: F.lit(1).cast("long"))
     got = line_chunks.dedup_lines(docs, name="found").select("doc_id", *[f"found.{c}" for c in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")],
