@@ -9,10 +9,12 @@ a row meets the spans of its own bins only, and semi-joins report no pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motifspark.llm.common import materialise
+from motifspark.llm.common import let, materialise
 
 
 def either_case(text: str) -> str:
@@ -36,20 +38,40 @@ IDENTIFIERS, SECRETS = ("access", "ident"), ("assign", "hex", "blob")
 SCOPE_END = r"\n[\x20\t\r]*\n"
 
 
-def spans(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, end, value) of all matches, in characters: lengths of what stands between and of the matches, summed up."""
-    between, found, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0), F.regexp_extract_all(text, F.lit(pattern), group)
-    steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), F.zip_with(found, values, lambda m, v: F.struct(F.length(m).alias("n"), v.alias("value"))),
-                       lambda b, m: F.struct(F.length(b).alias("skip"), m["n"].alias("n"), m["value"].alias("value")))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
+def running(xs: Column, amount: Callable[[Column], Column], none: str) -> Column:
+    """Array of (x, before): each element with the sum of ``amount`` over those before it; ``none``: type of the elements.
+
+    Sums run inside blocks of about the square root of the number of elements, then over the blocks, so appending to
+    arrays costs n^1.5 copies and not n^2.
+    """
+    kind = f"array<struct<x:{none},before:int>>"
+    size = lambda p: F.greatest(F.ceil(F.sqrt(F.size(p))).cast("int"), F.lit(1))
 
     def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["skip"]
-        return F.struct((start + x["n"]).alias("at"), F.concat(acc["out"], F.array(
-            F.struct(start.alias("start"), (start + x["n"]).alias("end"), x["value"].alias("value")))).alias("out"))
+        return F.struct((acc["sum"] + amount(x)).alias("sum"), F.concat(acc["out"], F.array(F.struct(x.alias("x"), acc["sum"].alias("before")))).alias("out"))
+
+    def blocks(p: Column) -> Column:
+        n = F.ceil(F.size(p) / size(p)).cast("int")
+        block = lambda i: F.aggregate(F.slice(p, i * size(p) + 1, size(p)), F.struct(F.lit(0).alias("sum"), F.expr(f"cast(array() as {kind})").alias("out")), add)
+        return F.transform(F.sequence(F.lit(0), n - 1), block)
 
-    summed = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), summed).otherwise(none)
+    def shifted(b: Column) -> Column:
+        starts = F.aggregate(b, F.struct(F.lit(0).alias("sum"), F.expr("cast(array() as array<int>)").alias("out")),
+                             lambda acc, x: F.struct((acc["sum"] + x["sum"]).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(b, starts, lambda x, s: F.transform(x["out"], lambda y: F.struct(y["x"].alias("x"), (y["before"] + s).alias("before")))))
+
+    return let(xs, lambda p: F.when(F.size(p) > 0, let(blocks(p), shifted)).otherwise(F.expr(f"cast(array() as {kind})")))
+
+
+def spans(text: Column, pattern: str, group: int = 0) -> Column:
+    """Array of (start, end, value) of all matches, in characters: lengths of what stands between and of the matches, summed up."""
+    between, found, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0), F.regexp_extract_all(text, F.lit(pattern), group)
+    steps = let(found, lambda f: F.zip_with(F.slice(between, F.lit(1), F.size(f)), F.zip_with(f, values, lambda m, v: F.struct(F.length(m).alias("n"), v.alias("value"))),
+                                            lambda b, m: F.struct(F.length(b).alias("skip"), m["n"].alias("n"), m["value"].alias("value"))))
+    summed = running(steps, lambda x: x["skip"] + x["n"], "struct<skip:int,n:int,value:string>")
+    start = lambda y: y["before"] + y["x"]["skip"]
+    made = F.transform(summed, lambda y: F.struct(start(y).alias("start"), (start(y) + y["x"]["n"]).alias("end"), y["x"]["value"].alias("value")))
+    return F.when(text.rlike(pattern), made).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)"))
 
 
 def of_kind(text: Column, kind: str) -> Column:
@@ -92,11 +114,12 @@ def linked(docs: DataFrame, reach: int = 200, id_col: str = "doc_id", text_col:
     """(id, th, start, rank, end) of the weak candidates that are reported; th is the hash of the text."""
     text = F.col("text")
     some = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).where(_any(text))
-    ends = spans(text, SCOPE_END)
-    found = some.select("id", "th", ends.alias("ends"), F.concat(*[of_kind(text, k) for k in ORDER]).alias("all")).where(
-        F.exists("all", lambda x: x["rank"] >= len(STRONG))).distinct()
-    found = found.select("id", "th", "ends", F.explode("all").alias("x")).select(
-        "id", "th", F.size(F.filter("ends", lambda e: e["start"] < F.col("x.start"))).alias("scope"), "x.start", "x.rank", "x.end")
+    found = some.select("id", "th", "text", F.concat(*[of_kind(text, k) for k in ORDER]).alias("all")).where(F.exists("all", lambda x: x["rank"] >= len(STRONG)))
+    # a part's scope is the number of blank lines before it: a running count over both in one order
+    ends = F.transform(spans(text, SCOPE_END), lambda e: F.struct(e["start"].alias("start"), F.lit(-1).alias("rank"), e["end"].alias("end")))
+    scoped = running(F.array_sort(F.concat("all", ends)), lambda x: F.when(x["rank"] < 0, F.lit(1)).otherwise(F.lit(0)), "struct<start:int,rank:int,end:int>")
+    found = found.select("id", "th", F.filter(scoped, lambda y: y["x"]["rank"] >= 0).alias("all")).distinct()
+    found = found.select("id", "th", F.explode("all").alias("y")).select("id", "th", F.col("y.before").alias("scope"), "y.x.start", "y.x.rank", "y.x.end")
     found = materialise(found, "secret_parts")  # read by each of the joins below
     weak, strong = found.where(F.col("rank") >= len(STRONG)), found.where(F.col("rank") < len(STRONG))
     weak = _near(weak, strong, 0, "left_anti")  # part of a strong span already
