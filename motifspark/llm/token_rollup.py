@@ -1,10 +1,12 @@
 """Delta-maintained token counts by source, language and tokenizer version.
 
-A change batch inserts, deletes or revises the count of documents under a tokenizer version. Applying it writes, for
-this batch only: the new entries of a ledger (the last known count of each document and version) and the signed sums
-by source, language and version that the batch adds. Totals are the sum of the committed batches' signed sums, so no
-document is read again. A batch counts once its commit marker stands: it is written last, an unfinished batch is
-written anew under the same name, and a batch that is already committed changes nothing.
+A change batch inserts, deletes or revises the count of documents under a tokenizer version. Applying it writes a new
+version of those buckets of a ledger (the last known count of each document and version, bucketed by their hash) that
+hold a key of the batch, and the signed sums by source, language and version that the batch adds. A batch reads the
+newest version of these buckets and nothing else: neither other buckets nor older versions. Totals are the sum of the
+committed batches' signed sums, so no document is read again. A batch counts once its commit marker, which names its
+buckets, stands: it is written last, an unfinished batch is written anew under the same name, and a batch that is
+already committed changes nothing.
 """
 
 from __future__ import annotations
@@ -15,37 +17,39 @@ from pyspark.sql.utils import AnalysisException
 
 KEYS = ("doc_id", "version")
 GROUP = ("source", "lang", "version")
-_LEDGER = "doc_id {id}, version string, source string, lang string, n_tokens long, alive boolean, batch long"
+_LEDGER = "doc_id {id}, version string, source string, lang string, n_tokens long"
 _DELTA = "source string, lang string, version string, n_docs long, n_tokens long, batch long"
 
 
 class TokenRollup:
     """Totals kept in a folder that all executors share."""
 
-    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint"):
-        self.spark, self.folder, self.id_type = spark, folder.rstrip("/"), id_type
+    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint", buckets: int = 64):
+        """``buckets``: of the ledger; the same for the life of the folder."""
+        self.spark, self.folder, self.id_type, self.buckets = spark, folder.rstrip("/"), id_type, buckets
 
-    def _read(self, name: str, schema: str, batches: list[int]) -> DataFrame:
-        if not batches:
-            return self.spark.createDataFrame([], schema)
+    def _read(self, schema: str, paths: list[str]) -> DataFrame:
         # only folders of committed batches are listed, so leftovers of a failed try are never seen
-        return self.spark.read.schema(schema).parquet(*[f"{self.folder}/{name}/batch-{b}" for b in batches])
+        return self.spark.read.schema(schema).parquet(*[f"{self.folder}/{p}" for p in paths]) if paths else self.spark.createDataFrame([], schema)
 
-    def committed(self) -> list[int]:
-        """Numbers of the committed batches, in order."""
+    def _commits(self) -> dict[int, dict[int, bool]]:
+        """Committed batch -> bucket that it wrote -> whether anything is left in it."""
         try:
-            rows = self.spark.read.schema("batch long").parquet(f"{self.folder}/commits/*").select("batch").distinct().collect()  # one row per batch
+            rows = self.spark.read.schema("batch long, buckets map<int,boolean>").parquet(f"{self.folder}/commits/*").collect()  # one row per batch
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            return []
-        return sorted(r[0] for r in rows)
+            return {}
+        return {r.batch: r.buckets for r in sorted(rows, key=lambda r: r.batch)}
+
+    def committed(self) -> list[int]:
+        """Numbers of the committed batches, in order."""
+        return list(self._commits())
 
-    def ledger(self, batches: list[int] | None = None) -> DataFrame:
-        """Last entry of each document and version over some or all committed batches."""
-        entries = self._read("ledger", _LEDGER.format(id=self.id_type), self.committed() if batches is None else batches)
-        last = F.max_by(F.struct("source", "lang", "n_tokens", "alive"), "batch").alias("e")
-        return entries.groupBy(*KEYS).agg(last).select(*KEYS, "e.*")
+    def ledger(self, buckets: list[int] | None = None) -> DataFrame:
+        """Last count of each document and version that is there, of some buckets or all: one folder per bucket is read."""
+        newest = {k: f"ledger/batch-{b}/bucket={k}" * some for b, ks in self._commits().items() for k, some in ks.items()}
+        return self._read(_LEDGER.format(id=self.id_type), [newest[k] for k in (sorted(newest) if buckets is None else buckets) if newest.get(k)])
 
     def apply(self, batch: int, changes: DataFrame) -> bool:
         """Apply ``changes`` (op, doc_id, source, lang, version, n_tokens, and seq if a key may occur more than once).
@@ -66,28 +70,37 @@ class TokenRollup:
         op = F.when(known, F.col("op")).otherwise(F.raise_error(F.concat(F.lit("unknown op "), F.coalesce("op", F.lit("null")))))
         new = changes.select("doc_id", "version", F.struct(seq.alias("seq"), (op == "delete").alias("gone"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens"),
                                                            F.col("source").alias("source"), F.col("lang").alias("lang")).alias("c"))
-        new = new.groupBy(*KEYS).agg(F.max("c").alias("c")).select(F.col("doc_id").alias("id2"), F.col("version").alias("v2"), "c")
-        old = self.ledger(done).where("alive")
-        both = new.join(old, F.col("id2").eqNullSafe(F.col("doc_id")) & F.col("v2").eqNullSafe(F.col("version")), "left")
-        was = F.col("alive").isNotNull()
-        both = both.select(F.col("id2").alias("doc_id"), F.col("v2").alias("version"), F.coalesce("c.source", F.when(F.col("c.gone"), F.col("source"))).alias("source"),
-                           F.coalesce("c.lang", F.when(F.col("c.gone"), F.col("lang"))).alias("lang"), F.col("c.n_tokens").alias("n_tokens"), (~F.col("c.gone")).alias("alive"),
-                           was.alias("was"), F.struct("source", "lang", F.col("n_tokens").alias("n")).alias("old"))
+        bucket = F.pmod(F.xxhash64("id2", "v2"), F.lit(self.buckets)).cast("int")
+        new = new.groupBy(*KEYS).agg(F.max("c").alias("c")).select(F.col("doc_id").alias("id2"), F.col("version").alias("v2"), "c").withColumn("bucket", bucket)
         path = f"{self.folder}/changes/batch-{batch}"
+        new.write.mode("overwrite").parquet(path)  # the changes are read once
+        new = self.spark.read.schema(new.schema).parquet(path)
+        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())  # at most ``buckets``
+        old = self.ledger(touched)
+        both = new.join(old, F.col("id2").eqNullSafe(F.col("doc_id")) & F.col("v2").eqNullSafe(F.col("version")), "full")
+        # a row has a change (c), a count before (n_tokens), or both
+        changed, was = F.col("c").isNotNull(), F.col("n_tokens").isNotNull()
+        before = F.when(was, F.struct("source", "lang", F.col("n_tokens").alias("n")))
+        after = F.when(~changed, before).when(~F.col("c.gone"), F.struct(F.col("c.source").alias("source"), F.col("c.lang").alias("lang"), F.col("c.n_tokens").alias("n")))
+        both = both.select(F.when(changed, F.col("id2")).otherwise(F.col("doc_id")).alias("id2"), F.when(changed, F.col("v2")).otherwise(F.col("version")).alias("v2"),
+                           changed.alias("changed"), before.alias("before"), after.alias("after"))
+        path = f"{self.folder}/joined/batch-{batch}"
         both.write.mode("overwrite").parquet(path)  # the join runs once; ledger and sums are read from it
         both = self.spark.read.schema(both.schema).parquet(path)
-        entries = both.where("alive OR was").select(*KEYS, "source", "lang", "n_tokens", "alive", F.lit(batch).cast("long").alias("batch"))
-        entries.write.mode("overwrite").parquet(f"{self.folder}/ledger/batch-{batch}")
-        signed = both.where("was").select("old.source", "old.lang", "version", F.lit(-1).alias("d"), (-F.col("old.n")).alias("t")).unionAll(
-            both.where("alive").select("source", "lang", "version", F.lit(1).alias("d"), F.col("n_tokens").alias("t")))
+        entries = both.where("after IS NOT NULL").select(F.col("id2").alias("doc_id"), F.col("v2").alias("version"), "after.source", "after.lang", F.col("after.n").alias("n_tokens"), bucket.alias("bucket"))
+        entries.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/ledger/batch-{batch}")
+        left = {r[0] for r in entries.select("bucket").distinct().collect()}
+        signed = both.where("changed").select("v2", F.explode(F.array(F.struct(F.lit(-1).alias("d"), F.col("before").alias("e")), F.struct(F.lit(1).alias("d"), F.col("after").alias("e")))).alias("s"))
+        signed = signed.where("s.e IS NOT NULL").select("s.e.source", "s.e.lang", F.col("v2").alias("version"), F.col("s.d").alias("d"), (F.col("s.d") * F.col("s.e.n")).alias("t"))
         sums = signed.groupBy(*GROUP).agg(F.sum("d").alias("n_docs"), F.sum("t").alias("n_tokens")).withColumn("batch", F.lit(batch).cast("long"))
         sums.write.mode("overwrite").parquet(f"{self.folder}/delta/batch-{batch}")
-        self.spark.range(1).select(F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{self.folder}/commits/batch-{batch}")
+        marker = self.spark.createDataFrame([(batch, {k: k in left for k in touched})], "batch long, buckets map<int,boolean>")
+        marker.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/commits/batch-{batch}")
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, version, n_docs, n_tokens) over all committed batches; groups that are down to nothing are left out."""
-        added = self._read("delta", _DELTA, self.committed()).groupBy(*GROUP)
+        added = self._read(_DELTA, [f"delta/batch-{b}" for b in self.committed()]).groupBy(*GROUP)
         return added.agg(F.sum("n_docs").cast("long").alias("n_docs"), F.sum("n_tokens").cast("long").alias("n_tokens")).where("n_docs <> 0 OR n_tokens <> 0")
 
 

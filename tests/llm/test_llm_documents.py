@@ -410,6 +410,45 @@ def test_rollup_batches(spark, tmpdir_path):
         r.apply(4, spark.createDataFrame([("replace", 1, "a", "b", "v1", 1, 1)], schema))
 
 
+def test_rollup_reads_the_buckets_of_a_batch_only(spark, tmpdir_path):
+    schema = "op string, doc_id long, source string, lang string, version string, n_tokens long"
+    r = token_rollup.TokenRollup(spark, tmpdir_path + "/rollup", buckets=32)
+    read = []
+    ledger = r.ledger
+    r.ledger = lambda buckets=None: read.append(found := ledger(buckets)) or found
+    count = lambda: {(x.doc_id, x.n_tokens) for x in ledger().collect()}
+    for b in range(4):  # a history of whole batches
+        r.apply(b, spark.createDataFrame([("insert", i, "a", "en", "v1", i + b) for i in range(500)], schema))
+    read.clear()
+    r.apply(10, spark.createDataFrame([("revise", 7, "a", "en", "v1", 1000)], schema))
+    r.apply(11, spark.createDataFrame([("revise", 7, "a", "en", "v1", 2000), ("delete", 8, None, None, "v1", None)], schema))
+    files = [set(x.inputFiles()) for x in read]
+    sizes = [x.count() for x in read]
+    assert len({f.split("bucket=")[1].split("/")[0] for f in files[0]}) == 1 and len({f.split("bucket=")[1].split("/")[0] for f in files[1]}) <= 2
+    assert sizes[0] < 60 and sizes[1] < 120  # of 500 keys, and of 2,000 entries in all versions
+    assert all("batch-10/" in f or "batch-3/" in f for f in files[1])
+    assert count() == {(i, i + 3) for i in range(500) if i not in (7, 8)} | {(7, 2000)}
+    assert [(x.n_docs, x.n_tokens) for x in r.totals().collect()] == [(499, sum(i + 3 for i in range(500) if i not in (7, 8)) + 2000)]
+    r.apply(12, spark.createDataFrame([("delete", i, None, None, "v1", None) for i in range(500)], schema))
+    assert count() == set() and r.totals().count() == 0
+    r.apply(13, spark.createDataFrame([("insert", 1, "a", "en", "v1", 5)], schema))
+    assert count() == {(1, 5)}
+
+
+def test_secret_spans_of_many_matches_in_one_text(spark):
+    """Twice the matches in one text take about twice the time, not four times."""
+    import time
+    took = []
+    for n in (8000, 32000):
+        docs = spark.createDataFrame([(1, "\n\n".join(f"token=abcdef{i}" for i in range(n)))], "doc_id long, text string")
+        docs.count()
+        start = time.time()
+        got = secrets_scan.scan(docs).select("n_assign", "n_linked").first()
+        took.append(time.time() - start)
+        assert tuple(got) == (n, 0)
+    assert took[1] < 10 * max(took[0], 0.5)
+
+
 def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
     path = queries.tokenizer_file()
