@@ -152,7 +152,7 @@ def judge(pages: DataFrame, docs: DataFrame, rules: list[Rule], blocked: tuple[s
                                    F.filter(F.split(F.concat(named, F.lit("/"), F.col("path")), "[./]"), lambda x: F.size(parts_of(x)) > 1).alias("compound")), "urls")
 
     # words: those of the corpus, and what stands between marks or digits within a name; these are at least as frequent as 1 in a million
-    corpus = word_counts(docs, text_col)
+    corpus = materialise(word_counts(docs, text_col), "word_counts")
     least = F.lit(max(1, (corpus.agg(F.sum("n")).first()[0] or 0) // 1_000_000))
     own = urls.select(F.explode(F.array_distinct("compound")).alias("c")).distinct().select(F.explode(parts_of(F.col("c"))).alias("word"))
     if blocked:
