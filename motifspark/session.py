@@ -48,14 +48,16 @@ def get_spark(master: str | None = None, app: str = "motifspark",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) do we pick a scratch folder ourselves.
+    On a cluster that setting points at shared storage and is used as is; without it there is an error, as executors
+    would not see each other's files. Only a local session (tests) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = fallback or tempfile.mkdtemp(prefix="motifspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
