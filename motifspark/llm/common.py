@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motifspark.session import ensure_checkpoint_dir
+from motifspark.session import ensure_checkpoint_dir, materialise  # noqa: F401  (the operators import it from here)
 
 #: A word is a run of characters outside these six ASCII blanks; ``bytes.split()`` cuts at exactly the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,13 +60,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = shared_folder(df.sparkSession, re.sub(r"\W", "_", what))
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def file_bytes(path: str) -> bytes:
     """A vocabulary file that the caller names; read once on the driver and broadcast as tables."""
     with open(os.path.expanduser(path), "rb") as f:

@@ -256,14 +256,16 @@ def test_pipeline_equals_brute_force(spark):
     assert like(map(tuple, corpus_pipeline.run(spark, SF).collect())) == like(map(tuple, five))
 
 
-def test_guard_lets_the_rest_stand_without_this_subpackage(tmp_path):
+@pytest.mark.parametrize("gone", [("motifspark.llm", "corpus_pipeline"), ("regex",), ("xxhash",)])
+def test_guard_lets_the_rest_stand_without_this_subpackage(gone):
+    """Also where only a module is missing that it imports."""
     import subprocess
     import sys
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     code = ("import sys\n"
             "class Gone:\n"
             "    def find_spec(self, name, path=None, target=None):\n"
-            "        if name.startswith('motifspark.llm') or name == 'corpus_pipeline':\n"
+            f"        if name.startswith({gone!r}):\n"
             "            raise ModuleNotFoundError('No module named ' + name, name=name)\n"
             "sys.meta_path.insert(0, Gone())\n"
             "import __spark_entry__ as e\n"
