@@ -104,14 +104,15 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, id_col: str = "doc_id", text_
         F.struct(F.split("text", "\n", -1).alias("lines"), F.col("found").alias("found")),
         lambda p: F.transform(p["found"], lambda x: F.struct(x["at"].alias("at"), x["n_lines"].alias("n_lines"), x["h"].alias("h"), _cut(p["lines"], x["at"], x["n_lines"]).alias("text"))))).alias("c"))
     classes = texts.select("c.h", "c.text", F.struct("doc", F.col("c.at").alias("at")).alias("place")).groupBy("h", "text").agg(F.min("place").alias("first"))
-    sole = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
+    sole = materialise(classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first")), "chunk_firsts")
 
     here = F.struct("doc", "at")
     by_hash = repeated.join(sole.where("n = 1").select("h", "first"), "h").where(here > F.col("first")).select("doc", "at", "n_lines")
-    # hashes that different texts share: the same, keyed by the bytes too
-    mixed = texts.select("doc", "c.*").join(sole.where("n > 1").select("h"), "h", "left_semi")
-    by_text = mixed.join(classes, ["h", "text"]).where(here > F.col("first")).select("doc", "at", "n_lines")
-    removed = by_hash.unionAll(by_text).groupBy("doc").agg(F.collect_set(F.struct("at", "n_lines")).alias("spans"))
+    # hashes that different texts share, if there are any: the same, keyed by the bytes too
+    if sole.where("n > 1").limit(1).count():
+        mixed = texts.select("doc", "c.*").join(sole.where("n > 1").select("h"), "h", "left_semi")
+        by_hash = by_hash.unionAll(mixed.join(classes, ["h", "text"]).where(here > F.col("first")).select("doc", "at", "n_lines"))
+    removed = by_hash.groupBy("doc").agg(F.collect_set(F.struct("at", "n_lines")).alias("spans"))
     removed = removed.select(F.col("doc").alias("doc2"), F.size("spans").alias("n_removed"),
                              F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["at"], x["at"] + x["n_lines"] - 1))))).alias("gone"))
     # rows that are equal are one document, whose chunks were counted once for each
