@@ -63,7 +63,6 @@ class Path:
     running: int = 0  # characters of its own blocks: kept ones outside links,
     linked: int = 0  # in links,
     chars: int = 0  # all
-    said: int = 0  # hash of its own blocks' texts
     good: int = 0  # running and all characters of it and what is below
     all: int = 0
 
@@ -125,13 +124,19 @@ class Page(HTMLParser):
             path.running += 0 if dropped else len(text) - linked
             path.linked += linked
             path.chars += len(text)
-            path.said = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), path.said)
         for path in self.paths:
             path.good, path.all = path.running, path.chars
         for path in reversed(self.paths[1:]):  # paths above come first
             self.paths[path.up].good += path.good
             self.paths[path.up].all += path.all
 
+    def said(self) -> list[int]:
+        """A hash of each path's own blocks' texts."""
+        out = [0] * len(self.paths)
+        for p, text, _, _ in self.blocks:
+            out[p] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), out[p])
+        return out
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
@@ -157,12 +162,19 @@ class Page(HTMLParser):
             if tag in ("br", "hr"):
                 self.parts.append(" ")
             return
+        if not attrs and tag in INLINE:
+            self.in_link = self.in_link or tag == "a"
+            return
         own = dict(attrs)
         never = tag in ("html", "body", "article", "main")
-        soft = not never and (tag == "form" or any(map(names_boilerplate, f"{own.get('class') or ''} {own.get('id') or ''}".lower().split())))
-        hard = ((tag in DROPPED and tag != "form") or own.get("role") in DROPPED_ROLES or "hidden" in own
-                or own.get("aria-hidden") == "true" or "display:none" in (own.get("style") or "").replace(" ", "").lower()
-                or (tag == "header" and not (self.open["article"] or self.open["main"]))) and not never
+        soft = hard = False
+        if not never:
+            hard = tag in DROPPED and tag != "form" or tag == "header" and not (self.open["article"] or self.open["main"])
+            soft = tag == "form"
+            if own:
+                hard = (hard or own.get("role") in DROPPED_ROLES or "hidden" in own or own.get("aria-hidden") == "true"
+                        or "display:none" in (own.get("style") or "").replace(" ", "").lower())
+                soft = soft or any(map(names_boilerplate, f"{own.get('class') or ''} {own.get('id') or ''}".lower().split()))
         if tag in INLINE and not (soft or hard):
             self.in_link = self.in_link or tag == "a"
             return
@@ -288,8 +300,8 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", s
             for h, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(html.as_py() or "")
                 best, total = page.best(), max(page.paths[0].good, 1)
-                for i, p in enumerate(page.paths):
-                    v = votes.setdefault((h, _signed(p.number), _signed(p.said)), [0] * len(sums))
+                for i, (p, said) in enumerate(zip(page.paths, page.said(), strict=True)):
+                    v = votes.setdefault((h, _signed(p.number), _signed(said)), [0] * len(sums))
                     # whole numbers add up alike in any order
                     for k, x in enumerate((i == best and i > 0, round(page.score(p) * 1e6) if p.good else 0, 1, p.good > 0, p.chars, p.linked, p.good * 1000 // total)):
                         v[k] += int(x)

@@ -9,29 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from motifspark.operators.extratrees import importances
 
-def feature_importance(df: DataFrame, feature_cols: list[str], label_col: str = "CLASS", n_trees: int = 500,
-                       seed: int = 0, max_depth: int = 30) -> DataFrame:
-    """Random-forest impurity importances -> ``(feature, importance)`` (sum to 1).
 
-    ``max_depth`` is the deepest tree Spark ML grows; the reference sets no depth, so only branches below 30 differ.
-
-    Trees are trained in parallel by Spark ML; rows are aggregated per tree node
-    on the executors, so the table is never collected.
-    """
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
-    va = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
-    data = va.transform(df.select(*feature_cols, F.col(label_col).cast("double").alias("label")))
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < tasks:   # a small table in a few files would leave most executors idle
-        data = data.repartition(tasks)
-    rf = RandomForestClassifier(numTrees=n_trees, featureSubsetStrategy="sqrt", bootstrap=False, seed=seed,
-                                maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True, labelCol="label", featuresCol="features")
-    model = rf.fit(data)
-    imp = model.featureImportances.toArray().tolist()
-    spark = df.sparkSession
-    return spark.createDataFrame([(f, float(v)) for f, v in zip(feature_cols, imp)], "feature string, importance double")
+def feature_importance(df: DataFrame, feature_cols: list[str], label_col: str = "CLASS", n_trees: int = 500, seed: int = 0) -> DataFrame:
+    """Impurity importances of extremely randomised trees -> ``(feature, importance)`` (sum to 1)."""
+    imp = importances(df, feature_cols, label_col, n_trees, seed)
+    return df.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(feature_cols, imp)], "feature string, importance double")
 
 
 def cum_importance(imp: DataFrame) -> DataFrame:
