@@ -272,7 +272,9 @@ def importances(df: DataFrame, feature_cols: list[str], label_col: str = "CLASS"
         groups = min(len(trees), 4 * max(1, spark.sparkContext.defaultParallelism))
 
         dealt = data.mapInArrow(_dealer(tops, seed, groups), "tree int, node long, x array<double>, y int")
-        per_tree = dealt.groupBy("tree", "node").applyInArrow(_finisher(trees, groups, classes, seed, look), "tree int, gains array<double>")
+        # a number of partitions of its own: few bytes, but seconds of work in each group
+        parts = max(4 * groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        per_tree = dealt.repartition(parts, "tree", "node").groupBy("tree", "node").applyInArrow(_finisher(trees, groups, classes, seed, look), "tree int, gains array<double>")
         per_tree = per_tree.select("tree", F.posexplode("gains").alias("i", "g")).groupBy("tree", "i").agg(F.sum("g").alias("g")).collect()  # trees x features
         for r in per_tree:
             gains[r.tree][r.i] += r.g

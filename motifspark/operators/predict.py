@@ -37,12 +37,13 @@ CHUNK = 4096               # windows per chunk of text
 
 @dataclass(frozen=True)
 class Mlp:
-    """One fitted perceptron over some of the feature columns: sigmoid layers, two outputs, class 0 where its output is larger."""
+    """One fitted perceptron over some of the feature columns: sigmoid or rectified layers, two outputs, class 0 where its output is larger."""
 
     columns: np.ndarray    # positions of its features
     shift: np.ndarray
     scale: np.ndarray      # 0: a constant column, scaled to 0
     layers: list           # (weights (in, out), bias (out)) each
+    rectified: bool = False
 
     def votes(self, X: np.ndarray) -> np.ndarray:
         x = X[:, self.columns] - self.shift
@@ -50,7 +51,7 @@ class Mlp:
         for i, (w, b) in enumerate(self.layers):
             x = x @ w + b
             if i + 1 < len(self.layers):
-                x = 0.5 * (1.0 + np.tanh(0.5 * x))   # the sigmoid, without overflow
+                x = np.maximum(x, 0.0) if self.rectified else 0.5 * (1.0 + np.tanh(0.5 * x))   # the sigmoid, without overflow
         return x[:, 0] >= x[:, 1]
 
 
@@ -74,7 +75,7 @@ class Models:
                 w = flat[used:used + n_in * n_out].reshape(n_in, n_out)
                 layers.append((w, flat[used + n_in * n_out:used + (n_in + 1) * n_out]))
                 used += (n_in + 1) * n_out
-            made.append(Mlp(np.array([at[c] for c in m["features"]], dtype=np.int64), np.array(m["shift"]), np.array(m["scale"]), layers))
+            made.append(Mlp(np.array([at[c] for c in m["features"]], dtype=np.int64), np.array(m["shift"]), np.array(m["scale"]), layers, m.get("activation") == "relu"))
         W = np.array([r["weights"] for r in linear], dtype=np.float64).reshape(len(linear), len(feature_cols))
         return cls([r["list_id"] for r in linear] + [m["list_id"] for m in mlps], W, np.array([r["bias"] for r in linear], dtype=np.float64), tuple(made))
 

@@ -588,9 +588,9 @@ def q_train_sgd(spark, d):
 @query("train_mlp")
 def q_train_mlp(spark, d):
     """L6/L17 with the default layout: the names that the fitted perceptron predicts."""
-    from motifspark.operators.train import fit_mlp, predict_mlp
+    from motifspark.operators.train import predict_mlp, train_mlp
     df = _labelled_small(spark, d)
-    return predict_mlp(fit_mlp(df, _F64), df)
+    return predict_mlp(train_mlp(df, _F64), df)
 
 
 @query("feature_importance")

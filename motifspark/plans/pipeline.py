@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from motifspark.functions.text import RESIDUES
 from motifspark.operators import controls as CO
 from motifspark.operators import search as SE
+from motifspark.operators import tablefits as TF
 from motifspark.operators import train as TR
 from motifspark.operators.consensus import NoLists, consensus
 from motifspark.operators.features import clean_features, composition_names, feature_columns, require_columns
@@ -32,7 +33,7 @@ from motifspark.sources.fasta import sequence_lookup
 from motifspark.sources.tables import read_params, write_params
 
 DEFAULT_PARAMS = {"logreg": {"C": 1.0}, "sgd": {"alpha": 1e-4, "penalty": "l2"}, "sgd_partial": {"alpha": 1e-4, "penalty": "l2"},
-                  "mlp": {"hidden": [128, 64]}, "resampler": {"smote_k": 5, "enn_k": 3}}
+                  "mlp": {"hidden": [128, 64], "alpha": 1e-4, "learning_rate_init": 1e-3}, "resampler": {"smote_k": 5, "enn_k": 3}}
 FAMILIES = ("linear", "nn", "smoteenn")
 
 
@@ -142,33 +143,55 @@ def train_all(tables: DataFrame, sets: dict, cfg: PipelineConfig, feature_cols:
     """Coefficient rows over ``feature_cols`` and perceptron rows of every (criterion, tag, mult, feature set).
 
     Dropped features get weight 0. Tables without rows are skipped. Models with equal parameters are fitted once; each
-    training table is scaled once.
+    training table is scaled once. Tables up to ``tablefits.MOST_VALUES`` numbers are fitted side by side in one pass.
     """
     spark = tables.sparkSession
     get = _parameters(spark, cfg)
     criteria = CRITERIA if cfg.cache is not None and tuple(cfg.criteria) == ("default",) else cfg.criteria
-    there = {(r["tag"], r["mult"]) for r in tables.select("tag", "mult").distinct().collect()}   # configuration, not data
+    there = {(r["tag"], r["mult"]): r["count"] for r in tables.groupBy("tag", "mult").count().collect()}   # configuration, not data
 
     def widen(row: dict, feats: list[str]) -> dict:
         w = dict(zip(feats, row["weights"]))
         return {"list_id": row["list_id"], "weights": [w.get(c, 0.0) for c in feature_cols], "bias": row["bias"]}
 
-    def one(job: tuple) -> tuple[list[dict], list[dict]]:
+    def wanted(tag: str, m: int, sname: str) -> list[tuple[str, str, dict]]:
+        out = []
+        if "linear" in cfg.families:
+            out += [(f"linear/{c}/{tag}/{m}x/{sname}/{k}", k, get("linear", c, tag, m, sname, k)) for c in criteria for k in TR.LINEAR_KINDS]
+        if "nn" in cfg.families:
+            out.append((f"nn/{tag}/{m}x/{sname}/mlp", "mlp", get("nn", "f1", tag, m, sname, "mlp")))
+        return out
+
+    def large(job: tuple) -> tuple[list[dict], list[dict]]:
         tag, m, sname, feats = job
-        linear, mlps = [], []
         with TR.prepared(tables.where((F.col("tag") == tag) & (F.col("mult") == m)), feats) as p:
-            if "linear" in cfg.families:
-                wanted = [(f"linear/{c}/{tag}/{m}x/{sname}/{k}", k, get("linear", c, tag, m, sname, k)) for c in criteria for k in TR.LINEAR_KINDS]
-                linear = [widen(r, feats) for r in TR.fit_linear_group(p, wanted)]
-            if "nn" in cfg.families:
-                hidden = get("nn", "f1", tag, m, sname, "mlp")["hidden"]
-                mlps = [TR.fit_mlp_prepared(p, hidden, cfg.mlp_iter, cfg.seed, f"nn/{tag}/{m}x/{sname}/mlp")]
-        return linear, mlps
-
-    jobs = [(tag, m, sname, feats) for tag in cfg.tags for m in cfg.mults if (tag, m) in there for sname, feats in sets.items()]
+            todo = wanted(tag, m, sname)
+            linear = [widen(r, feats) for r in TR.fit_linear_group(p, [w for w in todo if w[1] != "mlp"])]
+            return linear, [TR.fit_mlp_prepared(p, q["hidden"], cfg.mlp_iter, cfg.seed, name) for name, k, q in todo if k == "mlp"]
+
+    here = [(tag, m) for tag in cfg.tags for m in cfg.mults if (tag, m) in there]
+    small = [x for x in here if there[x] * len(feature_cols) <= TF.MOST_VALUES]
+    # small tables: all their fits in one pass, equal models once
+    jobs, names, at = [], [], {c: i for i, c in enumerate(feature_cols)}
+    for t, (tag, m) in enumerate(small):
+        for sname, feats in sets.items():
+            first = {}
+            for name, k, q in wanted(tag, m, sname):
+                key = TR.model_key(k, q)
+                if key not in first:
+                    first[key] = len(jobs)
+                    jobs.append(TF.Job(t, k, q, tuple(at[c] for c in feats), cfg.seed, cfg.mlp_iter))
+                names.append((name, k, first[key], feats))
+    table = F.lit(-1)
+    for t, (tag, m) in enumerate(small):
+        table = F.when((F.col("tag") == tag) & (F.col("mult") == m), F.lit(t)).otherwise(table)
+    found = TF.fit_all(tables, feature_cols, jobs, table)
+    linear = [widen({"list_id": name, "weights": found[i]["weights"], "bias": found[i]["bias"]}, feats) for name, k, i, feats in names if k != "mlp"]
+    mlps = [TR.mlp_row(found[i], feats, name) for name, k, i, feats in names if k == "mlp"]
+    rest = [(tag, m, sname, feats) for tag, m in here if (tag, m) not in small for sname, feats in sets.items()]
     with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:   # each fit is a distributed job; the driver only waits
-        made = list(pool.map(one, jobs))
-    linear, mlps = [r for x, _ in made for r in x], [r for _, x in made for r in x]
+        for x, y in pool.map(large, rest):
+            linear, mlps = linear + x, mlps + y
     if "smoteenn" in cfg.families:
         for tag, sname in product([t for t in cfg.tags if t in (big or {})], sets):
             rows = train_resampled(big[tag], sets[sname], f"smoteenn/{tag}/{sname}", lambda k, t=tag, s=sname: get("smoteenn", "f1", t, 0, s, k), cfg)

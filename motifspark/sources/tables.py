@@ -68,15 +68,18 @@ def read_ids(spark: SparkSession, path, missing_ok: bool = False) -> DataFrame:
     return df.select(F.trim("value").alias("id")).where(F.length("id") > 0).distinct()
 
 
-def read_prediction_lists(spark: SparkSession, root: str, glob: str = "*.txt", include: str = "") -> DataFrame:
+def read_prediction_lists(spark: SparkSession, root: str, glob: str = "*.txt", include: str = "", folders: bool = False) -> DataFrame:
     """All lists under ``root`` (recursive, by glob), ``list_id`` = file path; optional substring filter.
 
-    An error when no file matches; an empty file is a list without names.
+    An error when no file matches; an empty file is a list without names. With ``folders`` the folder is the list, as
+    ``write_prediction_lists`` leaves it, and ``list_id`` its path.
     """
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
     if not any(include in f for f in raw.inputFiles()):
         raise FileNotFoundError(f"no file under {root} matches {glob}" + (f" and holds {include}" if include else ""))
     df = raw.select(F.col("_metadata.file_path").alias("list_id"), F.trim("value").alias("name"))
+    if folders:
+        df = df.withColumn("list_id", F.regexp_replace("list_id", "/[^/]*$", ""))
     if include:
         df = df.where(F.col("list_id").contains(include))
     return df
@@ -169,6 +172,32 @@ def read_models(spark: SparkSession, path: str, required: bool = True) -> DataFr
         return spark.createDataFrame([], schema)
 
 
+def write_mlps(mlps: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K8: the table of perceptrons that ``train.mlp_table`` makes."""
+    from motifspark.operators.train import MLP_SCHEMA
+    mlps.select(*[c.split()[0] for c in MLP_SCHEMA.split(", ")]).write.mode(mode).parquet(path)
+
+
+def read_mlps(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
+    """K8: a table of perceptrons; with ``required=False`` a missing one is empty."""
+    from motifspark.operators.train import MLP_SCHEMA
+    try:
+        return spark.read.schema(MLP_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if required or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], MLP_SCHEMA)
+
+
+def write_prediction_lists(pairs: DataFrame, path: str, keys=("family", "crit", "tag", "mult", "n_feats", "model"), mode: str = "overwrite") -> None:
+    """K5 as text that ``read_prediction_lists`` reads: one folder per model identity, one name a line, sorted within a file.
+
+    Spark writes a list in as many ``.txt`` files as tasks hold a share of it; the folder is the list.
+    """
+    keys = list(keys)
+    pairs.select(*keys, "name").repartitionByRange(*keys, "name").sortWithinPartitions(*keys, "name").write.mode(mode).partitionBy(*keys).text(path)
+
+
 def coerce_table(df: DataFrame, keep=("NAME",)) -> DataFrame:
     """P4 over a whole table read as text."""
     return coerce_numeric(df, [c for c in df.columns if c not in set(keep)])
