@@ -7,7 +7,7 @@ count, never by the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from motifspark.operators.extratrees import importances
 
@@ -40,6 +40,16 @@ def bucket_suffix(m: int) -> str:
     return "" if int(m) == 1 else str(int(m))
 
 
+def set_name_of(t: Column) -> Column:
+    """X11 over a column of thresholds."""
+    return F.concat(F.lit("cum"), (t * 100).cast("int").cast("string"))
+
+
+def bucket_suffix_of(m: Column) -> Column:
+    """X11 over a column of multiples."""
+    return F.when(m == 1, F.lit("")).otherwise(m.cast("string"))
+
+
 def feature_select(cum: DataFrame, thresholds=(0.90, 0.95)) -> DataFrame:
     """For each t keep features with cum_fraction <= t plus the first one crossing t.
 

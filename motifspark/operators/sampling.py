@@ -5,8 +5,10 @@ that order are the sample. No ``rand()``/``sample()``: the result must not
 depend on partitioning, and md5 gives the same order in SQL.
 
 Scale: "first n by key" is an exact distributed selection, never a window over
-one group and never a driver collect of rows. One pass makes the histograms of
-the key's top bits for ALL draws at once (partial aggregation, a bounded number
+one group and never a driver collect of rows. Keys are uniform, so a row count
+gives a bound below which a draw's rows lie; one scan for ALL draws keeps the
+rows below their bounds in the shared folder (checked; a shortage is drawn from
+all rows). Of what is left, one pass makes the histograms of the key's top bits (partial aggregation, a bounded number
 of buckets per draw); the bucket where a draw's running count crosses its n
 becomes literals, and one filter pass emits the rows before it. Only the rows
 of the crossing buckets are ordered; a bucket above ``final_rows`` is cut again
@@ -15,12 +17,14 @@ first. Nothing is persisted, nothing is joined back.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from motifspark.functions.hashing import hex8_int, seeded_key
+from motifspark.session import materialise
 
 BUCKET_BITS = 14
 FINAL_ROWS = 100_000
@@ -112,8 +116,38 @@ def cut_offs(df: DataFrame, draws: list[Draw], key_col: str, final_rows: int = F
     return cuts
 
 
+def _likely(df: DataFrame, draws: list[Draw], key_col: str) -> DataFrame | None:
+    """Rows that a draw can want, with the draw's number in ``_i``: one scan in which each key meets a bound that its draw's
+    rows are almost surely below. None where that doesn't help or a draw turns out to want more.
+
+    Keys are uniform, so of N rows about n lie below n / N; six standard deviations are added, and the count is checked.
+    """
+    if any(d.where is not None or d.n <= 0 for d in draws) or "_i" in df.columns:
+        return None
+    n_rows = df.count()
+    for d in draws:
+        if d.n > n_rows:
+            raise NotEnoughRows(f"requested {d.n} rows, only {n_rows} available")
+    bounds = [math.ceil((d.n + 6 * math.sqrt(d.n) + 30) / max(n_rows, 1) * (1 << 32)) for d in draws]
+    if max(bounds) >= 1 << 31:
+        return None
+    # hex keys compare like their numbers, so nothing is converted
+    cells = [F.when(seeded_key(d.seed, F.col(key_col)) < F.lit(f"{b:08x}"), F.lit(i)) for i, (d, b) in enumerate(zip(draws, bounds))]
+    rows = materialise(df.select("*", F.explode(F.array_compact(F.array(*cells))).alias("_i")), "drawn rows")
+    have = {r["_i"]: r["count"] for r in rows.groupBy("_i").count().collect()}   # one row a draw
+    return rows if all(have.get(i, 0) >= d.n for i, d in enumerate(draws)) else None
+
+
 def first_n(df: DataFrame, draws: list[Draw], key_col: str = "NAME", label_col: str = "draw", final_rows: int = FINAL_ROWS) -> DataFrame:
-    """``(label, *df)``: the exact first rows of every draw."""
+    """``(label, *df)``: the exact first rows of every draw. What is returned was drawn already: one scan for all draws."""
+    likely = _likely(df, draws, key_col)
+    if likely is not None:
+        mine = [Draw(d.label, d.n, d.seed, F.col("_i") == i) for i, d in enumerate(draws)]
+        return _first_n(likely, mine, key_col, label_col, final_rows).drop("_i")
+    return _first_n(df, draws, key_col, label_col, final_rows)
+
+
+def _first_n(df: DataFrame, draws: list[Draw], key_col: str, label_col: str, final_rows: int) -> DataFrame:
     cuts, cols = cut_offs(df, draws, key_col, final_rows), df.columns
     heads, edges = [], []
     if len(draws) == 1:   # plain filters, which go below whatever makes the other columns

@@ -666,12 +666,76 @@ def q_control_pools(spark, d):
     return ptm.unionByName(rnd.select(F.lit("Random").alias("tag"), "NAME"))
 
 
+# ---------------------------------------------------------------- run plans, grids and the parameter cache
+
+_TAGS_SQL = "tags AS (SELECT DISTINCT coalesce(source, 'none') AS tag FROM documents)"
+_KEYS_SQL = _with(_TAGS_SQL, "langs AS (SELECT coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS tag, count(*) AS n FROM documents GROUP BY ALL)",
+                  "plan AS (SELECT 'linear' AS family, lang AS crit, tag, m AS mult, 69 AS n_feats, 'sgd' AS model FROM (SELECT DISTINCT lang FROM langs), tags, (SELECT unnest([1, 2]) AS m))",
+                  "cache AS (SELECT 'linear' AS family, lang AS crit, tag, 1 AS mult, 69 AS n_feats, 'sgd' AS model, CAST(n AS VARCHAR) AS params FROM langs)")
+_KEY_COLS = "family, crit, tag, mult, n_feats, model"
+
+
+def _plan_and_cache(spark, d):
+    """A plan over the languages and sources of the documents, and a cache with an entry for those that occur together."""
+    docs = V.table(spark, d, "documents").select(F.coalesce("lang", F.lit("none")).alias("crit"), F.coalesce("source", F.lit("none")).alias("tag"))
+    there = docs.groupBy("crit", "tag").count()
+    keys = lambda df, mult: df.select(F.lit("linear").alias("family"), "crit", "tag", mult.alias("mult"), F.lit(69).alias("n_feats"), F.lit("sgd").alias("model"), *[c for c in df.columns if c == "params"])
+    pairs = docs.select("crit").distinct().crossJoin(docs.select("tag").distinct())   # languages x sources
+    return keys(pairs, F.explode(F.array(F.lit(1), F.lit(2)))), keys(there.withColumn("params", F.col("count").cast("string")), F.lit(1))
+
+
+@query("hparam_pending", _KEYS_SQL + f"SELECT {_KEY_COLS} FROM plan WHERE NOT EXISTS (SELECT 1 FROM cache c WHERE c.crit = plan.crit AND c.tag = plan.tag AND c.mult = plan.mult)")
+def q_hparam_pending(spark, d):
+    from motifspark.operators.search import pending
+    return pending(*_plan_and_cache(spark, d)).select(*_KEY_COLS.split(", "))
+
+
+@query("hparam_lookup", _KEYS_SQL + f"SELECT {_KEY_COLS}, params FROM plan JOIN cache USING ({_KEY_COLS})")
+def q_hparam_lookup(spark, d):
+    """J5 for the plan rows that are in the cache; one that is not would be an error."""
+    from motifspark.operators.search import CACHE_KEYS, lookup, pending
+    plan, cache = _plan_and_cache(spark, d)
+    known = plan.join(pending(plan, cache), CACHE_KEYS, "left_anti")
+    return lookup(known, cache).select(*_KEY_COLS.split(", "), "params")
+
+
+@query("run_plan", _with(_TAGS_SQL, "crits AS (SELECT unnest(['f1', 'max_recall', 'fbeta']) AS crit)", "mults AS (SELECT unnest([1, 2, 5, 10]) AS mult)",
+                         "feats AS (SELECT unnest([69, 126]) AS n_feats)", "models AS (SELECT unnest(['sgd', 'logreg', 'sgd_partial']) AS model)") +
+       "SELECT 'linear' AS family, crit, tag, mult, n_feats, model, 'linear/' || crit || '/' || tag || '/' || mult || 'x/feats' || n_feats || '/' || model AS list_id FROM crits, tags, mults, feats, models UNION ALL "
+       "SELECT 'nn', 'f1', tag, mult, n_feats, 'mlp', 'nn/' || tag || '/' || mult || 'x/feats' || n_feats || '/mlp' FROM tags, mults, feats UNION ALL "
+       "SELECT 'smoteenn', 'f1', tag, 0, n_feats, model, 'smoteenn/' || tag || '/feats' || n_feats || '/' || model FROM tags, feats, models")
+def q_run_plan(spark, d):
+    """J6 with the sources of the documents as tags."""
+    from motifspark.plans.runplan import RunDims, run_plan
+    tags = V.table(spark, d, "documents").select(F.coalesce("source", F.lit("none"))).distinct().collect()   # run dimensions are configuration
+    return run_plan(spark, RunDims(tags=sorted(r[0] for r in tags)))
+
+
+@query("param_grid", _with("c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality)", "al AS (SELECT unnest([1e-5, 1e-4, 1e-3]) AS alpha, unnest([0, 1, 2]) AS a)",
+                           "pr AS (SELECT unnest(['l2', 'elasticnet', 'elasticnet']) AS penalty, unnest([0.0, 0.15, 0.5]) AS l1_ratio, unnest([0, 1, 2]) AS p)") +
+       "SELECT CAST(9 + 3 * a + p AS INTEGER) AS grid_ord, 'sgd' AS model, CAST(alpha AS DOUBLE) AS alpha, penalty, CAST(l1_ratio AS DOUBLE) AS l1_ratio, quality, n FROM al, pr, c")
+def q_param_grid(spark, d):
+    """The SGD half of the linear grid for every class of the labels."""
+    from motifspark.operators.search import grid_table, linear_grid
+    classes = V.table(spark, d, "labels").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    grid = grid_table(spark, linear_grid()).where("model = 'sgd'").withColumn("p", F.from_json("params", "alpha double, penalty string, l1_ratio double"))
+    return grid.crossJoin(classes).select("grid_ord", "model", "p.alpha", "p.penalty", "p.l1_ratio", "quality", "n")   # 9 rows x classes
+
+
+@query("set_names", "SELECT DISTINCT CAST(l_discount + l_tax AS DOUBLE) AS threshold, 'cum' || CAST(trunc(CAST(l_discount + l_tax AS DOUBLE) * 100) AS INTEGER) AS name, "
+       "CASE WHEN CAST(l_linenumber AS INTEGER) = 1 THEN '' ELSE CAST(CAST(l_linenumber AS INTEGER) AS VARCHAR) END AS suffix FROM lineitem")
+def q_set_names(spark, d):
+    """X11 for every share and multiple among the line items."""
+    rows = V.table(spark, d, "lineitem").select((F.col("l_discount") + F.col("l_tax")).cast("double").alias("threshold"), F.col("l_linenumber").cast("int").alias("m")).distinct()
+    return rows.select("threshold", IM.set_name_of(F.col("threshold")).alias("name"), IM.bucket_suffix_of(F.col("m")).alias("suffix"))
+
+
 @query("fragment_pipeline")
 def q_pipeline(spark, d):
     """F8 end to end on the test tables: benchmark passages are the known fragments, documents the reference,
-    labels.quality = 0 the ID list; all tags and multiples, the linear family with its default parameters, the default
-    vote thresholds and a majority of half the lists beside them."""
+    labels.quality = 0 the ID list; all tags and multiples, linear models and perceptrons with default parameters, the
+    default vote thresholds and a majority of half the lists beside them."""
     from motifspark.plans.pipeline import PipelineConfig, run
-    cfg = PipelineConfig(families=("linear",), thresholds=(100, 95, 90, 85, 50))
+    cfg = PipelineConfig(families=("linear", "nn"), thresholds=(100, 95, 90, 85, 50))
     out = run(spark, cfg, V.benchmark_sequences(spark, d), V.sequences(spark, d), V.id_list(spark, d))
     return out["fasta"].select("pct", "seq_id", "start", "end", "n_frags", "record")
