@@ -2,50 +2,25 @@
 
 kNN plan: when the reference rows fit ``broadcast_bytes`` (checked by count and
 width), they are sent to the tasks once and every query finds its neighbours
-where it stands: no shuffle. Beyond that, rows are hashed into B blocks
-(B = ceil(n / block_rows)) and the (query block, reference block) pairs are the
-groups; each holds at most about ``block_rows`` rows of either side and returns
-k candidates per query, so ties cannot blow a group up; a final rank over
-<= B*k candidates per query finishes. Both are exact; ties are broken by
-neighbour id.
+where it stands: no shuffle. Beyond that, rows go to the cells of pivots and a
+query visits only the cells that distance bounds leave open (``pivotknn``). Both
+are exact; ties are broken by neighbour id.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from motifspark.functions.hashing import hex8_int
+from motifspark.operators.pivotknn import nearest, pivot_knn
 
 BROADCAST_BYTES = 64 << 20
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
-
-
-def _nearest(qid: np.ndarray, Q: np.ndarray, rid: np.ndarray, R: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, neighbour index, squared distance, rank): per query the k least by (exact squared distance, neighbour id)."""
-    d2 = (Q * Q).sum(1)[:, None] + (R * R).sum(1)[None, :] - 2.0 * Q @ R.T
-    if exclude_self:
-        d2[qid[:, None] == rid[None, :]] = np.inf
-    kk = min(k, R.shape[0])
-    kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-    kth = np.where(np.isfinite(kth), kth, np.where(np.isfinite(d2), d2, -np.inf).max(axis=1))
-    qi, ri = np.nonzero((d2 <= (kth + 1e-9 * (1 + np.abs(kth)))[:, None]) & np.isfinite(d2))   # the k best and what rounding may hide
-    exact = ((Q[qi] - R[ri]) ** 2).sum(axis=1)
-    order = np.lexsort((rid[ri], exact, qi))
-    qi, ri, exact = qi[order], ri[order], exact[order]
-    rank = np.arange(len(qi)) - np.searchsorted(qi, qi) + 1
-    keep = rank <= k
-    return qi[keep], ri[keep], exact[keep], rank[keep]
-
-
 def knn(df: DataFrame, k: int, id_col: str = "NAME", vec_col: str = "x", ref: DataFrame | None = None,
         exclude_self: bool = True, block_rows: int = 2048, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(id, nid, dist, rank)`` for the k nearest ``ref`` rows of every ``df`` row (Euclidean)."""
@@ -66,31 +41,13 @@ def knn(df: DataFrame, k: int, id_col: str = "NAME", vec_col: str = "x", ref: Da
                 Q = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(qid), -1)
                 step = max(1, (1 << 21) // len(rid))
                 for i in range(0, len(qid), step):
-                    q, r, d2, rank = _nearest(qid[i:i + step], Q[i:i + step], rid, R, k, exclude_self)
+                    q, r, d2, rank = nearest(qid[i:i + step], Q[i:i + step], rid, R, k, exclude_self)
                     yield pa.RecordBatch.from_arrays([pa.array(qid[i + q].tolist(), pa.string()), pa.array(rid[r].tolist(), pa.string()),
                                                       pa.array(np.sqrt(d2)), pa.array(rank.astype(np.int32))], ["id", "nid", "dist", "rank"])
 
         return df.select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).cast("array<double>").alias("x")).mapInArrow(here, out)
 
-    bq, br = _blocks(df.count(), block_rows), _blocks(size[0], block_rows)
-    h = hex8_int(F.md5(F.col(id_col).cast("string")))
-    q = df.select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).alias("x"), (h % bq).cast("int").alias("qb"),
-                  F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("rb"), F.lit(0).alias("side"))
-    r = ref.select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).alias("x"),
-                   F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"), (h % br).cast("int").alias("rb"), F.lit(1).alias("side"))
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs, rs = pdf[pdf.side == 0], pdf[pdf.side == 1]
-        if qs.empty or rs.empty:
-            return pd.DataFrame({"id": [], "nid": [], "d2": []})
-        qid, rid = qs.id.to_numpy(), rs.id.to_numpy()
-        qi, ri, d2, _ = _nearest(qid, np.vstack(qs.x.to_numpy()).astype(np.float64), rid, np.vstack(rs.x.to_numpy()).astype(np.float64), k, exclude_self)
-        return pd.DataFrame({"id": qid[qi], "nid": rid[ri], "d2": d2})
-
-    cand = q.unionByName(r).groupBy("qb", "rb").applyInPandas(block, "id string, nid string, d2 double")
-    w = Window.partitionBy("id").orderBy("d2", "nid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-               .select("id", "nid", F.sqrt("d2").alias("dist"), "rank")
+    return pivot_knn(df, ref, k, id_col, vec_col, exclude_self, block_rows)
 
 
 def _u(*parts) -> F.Column:
@@ -144,7 +101,7 @@ def smote(df: DataFrame, feature_cols: list[str], k: int = 5, seed: int = 0, lab
 
 
 def edited_nn(df: DataFrame, feature_cols: list[str], k: int = 3, label_col: str = "CLASS", name_col: str = "NAME",
-              kind: str = "all", classes=None, block_rows: int = 2048) -> DataFrame:
+              kind: str = "all", classes=None, block_rows: int = 2048, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Drop rows whose k nearest neighbours disagree with their class.
 
     ``kind='all'``: keep a row only if all k neighbours share its class;
@@ -153,7 +110,7 @@ def edited_nn(df: DataFrame, feature_cols: list[str], k: int = 3, label_col: str
     """
     vec = F.array(*[F.col(c).cast("double") for c in feature_cols])
     pts = df.select(F.col(name_col).cast("string").alias("NAME"), vec.alias("x"), F.col(label_col).alias("y"))
-    nn = knn(pts.select("NAME", "x"), k, "NAME", "x", block_rows=block_rows)
+    nn = knn(pts.select("NAME", "x"), k, "NAME", "x", block_rows=block_rows, broadcast_bytes=broadcast_bytes)
     lab = pts.select(F.col("NAME").alias("nid"), F.col("y").alias("ny"))
     votes = nn.join(lab, "nid").join(pts.select(F.col("NAME").alias("id"), "y"), "id") \
               .groupBy("id").agg(F.sum(F.when(F.col("ny") == F.col("y"), 1).otherwise(0)).alias("same"),

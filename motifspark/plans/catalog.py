@@ -498,6 +498,14 @@ def q_knn(spark, d):
     return out.select("id", "nid", r6(F.col("dist")).alias("dist"), "rank")
 
 
+@query("knn_pivots", _KNN_SQL + "SELECT id, nid, round(dist, 6) AS dist, rank FROM r WHERE rank <= 5")
+def q_knn_pivots(spark, d):
+    """The plan that large references take: cells of pivots, bounds, probes."""
+    from motifspark.operators.knn import knn
+    out = knn(_small_pts(spark, d).select("NAME", "x"), 5, block_rows=128, broadcast_bytes=0)
+    return out.select("id", "nid", r6(F.col("dist")).alias("dist"), "rank")
+
+
 @query("edited_nn", _KNN_SQL + ", v AS (SELECT r.id, sum(CASE WHEN p.CLASS = q.CLASS THEN 1 ELSE 0 END) AS same, count(*) AS n "
        "FROM r JOIN pts p ON p.NAME = r.nid JOIN pts q ON q.NAME = r.id WHERE r.rank <= 3 GROUP BY r.id) "
        "SELECT NAME, CLASS FROM features_small WHERE NAME NOT IN (SELECT id FROM v WHERE same < n)")
@@ -558,7 +566,7 @@ def q_smote_enn(spark, d):
                          "FROM pts a, pts b WHERE a.NAME <> b.NAME)") +
        "SELECT id, nid, round(dist, 6) AS dist, rank FROM r WHERE rank <= 5")
 def q_knn_ties(spark, d):
-    """Many equal points: at most k candidates per query and block."""
+    """Many equal points; the plan by pivot cells."""
     from motifspark.operators.knn import knn
     p = V.features_small(spark, d).select("NAME", F.array(*[F.round(f"f{i}", 0) for i in range(3)]).alias("x"))
     return knn(p, 5, block_rows=128, broadcast_bytes=0).select("id", "nid", r6(F.col("dist")).alias("dist"), "rank")
