@@ -19,6 +19,7 @@ core (``score_features``).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from motifspark.functions.ids import fragment_name
 from motifspark.operators.windows import SPREAD_ABOVE, window_chunks
+from motifspark.session import materialise
 
 MODEL_BYTES = 1 << 30      # bound on the coefficient matrix that is shipped to tasks
 GROUP = 512                # models scored at a time
@@ -150,6 +152,11 @@ def _lists(words: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, (n + 1) * k, k, dtype=np.int32), pa.array(words.reshape(-1), type=pa.int64()))
 
 
+def least_votes(pct: float, n: int) -> int:
+    """Votes a window needs at ``pct`` % of N lists; one at least."""
+    return max(1, math.ceil(pct / 100.0 * n))
+
+
 @dataclass(frozen=True)
 class WindowScores:
     """All models over all windows of ``seqs`` (residue composition), evaluated when asked.
@@ -204,6 +211,50 @@ class WindowScores:
             out = self._rows(least, self.seqs.join(ids, same, "left_anti")).unionByName(many.where(F.col("support") >= least))
         return out.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", "support", "hits")
 
+    def voted(self, pct: float) -> tuple[DataFrame, int]:
+        """N, and ``rows`` of the windows with at least ``ceil(pct / 100 * N)`` votes, from one scoring pass.
+
+        A task knows which models it has seen fire: their number bounds N from below, so it hands over only rows that reach
+        the threshold of that bound, and at its end the models themselves as a row without a start. N is the union of
+        those; rows below its threshold go then. Windows of repeated IDs are united before they are judged.
+        """
+        models = self.models
+
+        def emit_above(bounded: bool) -> Callable:
+            def emit(blocks):
+                seen = np.zeros(len(models.list_ids), dtype=bool)
+                for ids, starts, pos in blocks:
+                    seen |= pos.any(axis=0)
+                    support = pos.sum(axis=1).astype(np.int64)
+                    keep = np.flatnonzero(support >= (least_votes(pct, int(seen.sum())) if bounded else 1))
+                    if len(keep):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep)), pa.array(starts[keep]), pa.array(support[keep]), _lists(models.words(pos[keep]))], names)
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([None], pa.int32()), pa.array([0], pa.int64()), _lists(models.words(seen[None, :]))], names)
+            return emit
+
+        names, schema = ["seq_id", "start", "support", "hits"], "seq_id string, start int, support long, hits array<bigint>"
+        dup = self.repeated()
+        if dup is None:
+            found, many = materialise(self._pass(emit_above(True), schema), "votes"), None
+        else:
+            ids = dup.withColumnRenamed("seq_id", "_id")
+            same = F.col("seq_id") == F.col("_id")
+            found = materialise(self._pass(emit_above(True), schema, self.seqs.join(ids, same, "left_anti")), "votes")
+            many = materialise(self._pass(emit_above(False), schema, self.seqs.join(ids, same, "left_semi")), "votes of repeated ids")
+        masks = found.where(F.col("start").isNull())
+        n = self._count_lists(masks if many is None else masks.unionByName(many.where(F.col("start").isNull())))
+        out = found.where(F.col("start").isNotNull())
+        if many is not None:
+            out = out.unionByName(dedupe_support(many.where(F.col("start").isNotNull()), "seq_id", models.n_words, ("start",)).select(*out.columns))
+        out = out.where(F.col("support") >= least_votes(pct, n))
+        return out.select(fragment_name("seq_id", "start").alias("NAME"), "seq_id", "start", "support", "hits"), n
+
+    def _count_lists(self, masks: DataFrame) -> int:
+        """Number of models in the union of the ``hits`` bitmasks."""
+        n_words = self.models.n_words
+        r = masks.agg(*[F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(n_words)]).first()
+        return sum(((r[j] or 0) & ((1 << 64) - 1)).bit_count() for j in range(n_words))
+
     def repeated(self) -> DataFrame | None:
         """IDs of several records, or None; only IDs are counted, not text."""
         dup = self.seqs.groupBy("seq_id").count().where("count > 1").select("seq_id")
@@ -226,9 +277,7 @@ class WindowScores:
                     break
             yield pa.RecordBatch.from_arrays([_lists(models.words(seen[None, :]))], ["hits"])
 
-        masks = self._pass(emit, "hits array<bigint>")
-        r = masks.agg(*[F.bit_or(F.col("hits")[j]).alias(f"w{j}") for j in range(models.n_words)]).first()
-        return sum(((r[j] or 0) & ((1 << 64) - 1)).bit_count() for j in range(models.n_words))
+        return self._count_lists(self._pass(emit, "hits array<bigint>"))
 
     def list_digests(self) -> DataFrame:
         """``(list_id, n_positive, name_sum)`` of each non-empty list: its length and the sum of the first 8 hex digits of

@@ -15,10 +15,10 @@ all fragments is thus spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from motifspark.functions.ids import split_fragment_id
+from motifspark.session import materialise
 
 BLOCK = 1 << 20
 
@@ -39,10 +39,9 @@ def merge_regions(starts: DataFrame, w: int = 15, min_frags: int = 2, keys=(),
     s = starts.select(*part, "start")
     if distinct:
         s = s.distinct()                                              # A4
-    # The starts feed both the per-row pass and the per-block summary; persist
-    # them so the (possibly expensive) upstream lineage runs once.
-    s = s.withColumn("blk", F.floor((F.col("start") - 1) / F.lit(block)).cast("bigint")) \
-         .persist(StorageLevel.MEMORY_AND_DISK)
+    # The starts feed both the per-row pass and the per-block summary; written
+    # once so the (possibly expensive) upstream lineage runs once.
+    s = materialise(s.withColumn("blk", F.floor((F.col("start") - 1) / F.lit(block)).cast("bigint")), "starts")
     w_in = Window.partitionBy(*part, "blk").orderBy("start")
     prev = F.lag("start").over(w_in)
     s = s.withColumn("prev", prev)

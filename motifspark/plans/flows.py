@@ -5,14 +5,12 @@ F5-F7 run for every threshold in one job: ``pct`` is a column, not a loop.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from motifspark.functions.text import RESIDUES
 from motifspark.operators.consensus import NoLists, consensus
 from motifspark.operators.extract import extract_regions
-from motifspark.operators.predict import LinearModels, WindowScores, collect_models, composition_rows
+from motifspark.operators.predict import LinearModels, WindowScores, collect_models, composition_rows, least_votes
 from motifspark.operators.regions import merge_regions
 from motifspark.plans.runplan import THRESHOLDS
 
@@ -30,14 +28,16 @@ def window_scores(seqs: DataFrame, models: DataFrame | LinearModels, w: int = 15
 def consensus_windows(scores: WindowScores, thresholds=THRESHOLDS, n: int | None = None) -> DataFrame:
     """F5 over scored windows: ``(pct, name, seq_id, start, support)``.
 
-    N is counted first; windows below the lowest vote threshold then never leave the kernel. Raises ``NoLists``
-    when no model predicts anything.
+    Votes and N come from one scoring pass; with ``n`` given, windows below the lowest vote threshold never leave the
+    kernel. Raises ``NoLists`` when no model predicts anything.
     """
-    n = scores.n_lists() if n is None else n
+    if n is None:
+        rows, n = scores.voted(min(thresholds))
+    else:
+        rows = scores.rows(least_votes(min(thresholds), n)) if n else None
     if n == 0:
         raise NoLists("all prediction lists are empty")
-    least = max(1, math.ceil(min(thresholds) / 100.0 * n))
-    s = scores.rows(least).select(F.col("NAME").alias("name"), "seq_id", "start", "support")
+    s = rows.select(F.col("NAME").alias("name"), "seq_id", "start", "support")
     return consensus(s, F.lit(n).cast("bigint"), thresholds, keep=("seq_id", "start"))
 
 

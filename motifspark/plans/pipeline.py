@@ -264,8 +264,8 @@ def run(spark: SparkSession, cfg: PipelineConfig, positives: DataFrame, referenc
         cons = flows.consensus_windows(WindowScores(reference, models, RESIDUES, cfg.window, cfg.step, cfg.min_len), cfg.thresholds)
     else:
         cons = consensus_table(ref, models, names, cfg.thresholds)
-    regions = flows.consensus_regions(cons, cfg.window, cfg.min_frags)
-    lookup = sequence_lookup(reference) if "file_ord" in reference.columns else reference.groupBy("seq_id").agg(F.max("seq").alias("seq"))
+    regions = materialise(flows.consensus_regions(cons, cfg.window, cfg.min_frags), "regions")
+    lookup = sequence_lookup(reference, only=regions)   # only the regions' parents travel
     return {"tables": tables, "feature_sets": sets, "models": TR.coefficient_table(spark, linear), "mlps": TR.mlp_table(spark, mlps), "consensus": cons, "regions": regions,
             "fasta": flows.region_fasta(regions, lookup)}
 

@@ -15,7 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from motifspark.functions.text import FASTA_WIDTH, fasta_record
-from motifspark.operators.joins import checked_broadcast
+from motifspark.operators.joins import checked_broadcast, sieve
 
 
 def _plain(path: str) -> str:
@@ -81,14 +81,23 @@ def only_file(spark: SparkSession, pattern: str) -> str:
     return found[0]
 
 
-def sequence_lookup(records: DataFrame, prefer: str = "last") -> DataFrame:
+def sequence_lookup(records: DataFrame, prefer: str = "last", only: DataFrame | None = None) -> DataFrame:
     """One sequence per ID; the later file (then the later record) wins.
 
-    ``max_by`` over ``(file_ord, pos_block, pos_row)`` is a partial aggregate, so
-    an ID repeated a third of all rows is still combined before the shuffle.
+    ``max_by`` over ``(file_ord, pos_block, pos_row)`` is a partial aggregate, so an ID repeated a third of all rows is still
+    combined before the shuffle. ``only`` (a table with ``seq_id``): sequences of these IDs are wanted; others are left out
+    where they are read, by a bitmap of the IDs' hashes, and don't travel. Records without the order columns must
+    have one sequence per ID, else there is an error: nothing says which is the later one.
     """
-    order = F.struct("file_ord", "pos_block", "pos_row")
-    agg = F.max_by("seq", order) if prefer == "last" else F.min_by("seq", order)
+    if only is not None:
+        ids = only.select("seq_id").distinct()
+        records = sieve(records, ids, "seq_id").join(ids, "seq_id", "left_semi")
+    order = [c for c in ("file_ord", "pos_block", "pos_row") if c in records.columns]
+    if not order:
+        one = F.when(F.min("seq").eqNullSafe(F.max("seq")), F.min("seq")).otherwise(
+            F.raise_error(F.concat(F.lit("no order columns, but different sequences named "), F.coalesce("seq_id", F.lit("null")))))
+        return records.groupBy("seq_id").agg(one.alias("seq"))
+    agg = F.max_by("seq", F.struct(*order)) if prefer == "last" else F.min_by("seq", F.struct(*order))
     return records.groupBy("seq_id").agg(agg.alias("seq"))
 
 
