@@ -593,6 +593,17 @@ def q_train_sgd(spark, d):
     return coefficient_table(spark, rows)
 
 
+@query("train_partial")
+def q_train_partial(spark, d):
+    """By epochs of SGD, and by one pass over ten batches, each fitted on from the one before."""
+    from motifspark.operators.stacked import fit_partial_many, fit_sgd_many
+    from motifspark.operators.train import coefficient_table, prepared
+    wanted = [("sgd", {"alpha": a, "penalty": p}) for a in (1e-3, 1e-2) for p in ("l2", "elasticnet")]
+    with prepared(_labelled_small(spark, d), _F64) as ready:
+        fits = {"sgd": fit_sgd_many(ready, wanted), "sgd_partial": fit_partial_many(ready, wanted)}
+    return coefficient_table(spark, [{"list_id": f"{kind}/{q['penalty']}/{q['alpha']}", **row} for kind, found in fits.items() for (_, q), row in zip(wanted, found)])
+
+
 @query("train_mlp")
 def q_train_mlp(spark, d):
     """L6/L17 with the default layout: the names that the fitted perceptron predicts."""
