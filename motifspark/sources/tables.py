@@ -8,6 +8,7 @@ Text feature values are read as STRING and converted with ``try_cast`` so that
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -139,21 +140,29 @@ def write_consensus(cons: DataFrame, path: str, mode: str = "overwrite") -> None
 CACHE_KEYS = ["family", "crit", "tag", "mult", "n_feats", "model"]
 
 
-def write_params(params: DataFrame, path: str, mode: str = "append") -> None:
-    """Searched parameters ``(*CACHE_KEYS, params, score)`` as JSON lines; a redone search appends and wins by ``saved``."""
-    params.select(*CACHE_KEYS, "params", "score", F.unix_micros(F.current_timestamp()).alias("saved")).write.mode(mode).json(path)
+def write_params(params: DataFrame, path: str) -> None:
+    """Searched parameters ``(*CACHE_KEYS, params, score)`` as JSON lines. Each call is a commit in a folder of its own, stamped when it
+    starts; a redone search wins by its stamp. Searches may write at the same time: none touches the files of another."""
+    commit = uuid.uuid4().hex
+    rows = params.select(*CACHE_KEYS, "params", "score", F.unix_micros(F.current_timestamp()).alias("saved"), F.lit(commit).alias("commit"))
+    rows.write.json(f"{path.rstrip('/')}/commit-{commit}")
 
 
 def read_params(spark: SparkSession, path: str) -> DataFrame:
-    """The cache, newest entry per key; empty where nothing was saved yet."""
-    schema = "family string, crit string, tag string, mult int, n_feats int, model string, params string, score double, saved long"
+    """The cache, newest entry per key; empty where nothing was saved yet.
+
+    Commits of one microsecond are ordered by their ids, entries of one key in one commit by score, then parameters: every
+    reader sees the same winner. ``commit`` is the winner's; it is null for entries saved without one.
+    """
+    schema = "family string, crit string, tag string, mult int, n_feats int, model string, params string, score double, saved long, commit string"
     try:
-        df = spark.read.schema(schema).json(path)
+        df = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df = spark.createDataFrame([], schema)
-    return df.groupBy(*CACHE_KEYS).agg(F.max_by(F.struct("params", "score"), "saved").alias("p")).select(*CACHE_KEYS, "p.*")
+    newest = F.max_by(F.struct("params", "score", "commit"), F.struct("saved", "commit", "score", "params"))
+    return df.groupBy(*CACHE_KEYS).agg(newest.alias("p")).select(*CACHE_KEYS, "p.*")
 
 
 def write_models(models: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -143,3 +143,22 @@ def test_parameter_cache_and_model_store(spark, tmpdir_path):
     m = spark.createDataFrame([("a", [1.0, -2.5], 0.25)], "list_id string, weights array<double>, bias double")
     write_models(m, tmpdir_path + "/m")
     assert read_models(spark, tmpdir_path + "/m").collect() == m.collect()
+
+
+def test_searches_that_save_one_key_at_once_leave_one_winner(spark, tmpdir_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from motifspark.sources import tables
+    schema = "family string, crit string, tag string, mult int, n_feats int, model string, params string, score double"
+    path = tmpdir_path + "/p"
+    first = spark.createDataFrame([("linear", "f1", "PTM", 1, 69, "sgd", "{}", 0.1)], schema)
+    tables.write_params(first, path)
+    monkeypatch.setattr(tables.F, "unix_micros", lambda _: tables.F.lit(2 ** 62))   # all of them in one microsecond
+    commits = [spark.createDataFrame([("linear", "f1", "PTM", m, 69, "sgd", f'{{"by": {w}}}', float(w)) for m in (1, 2)], schema) for w in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda df: tables.write_params(df, path), commits))
+    assert spark.read.option("recursiveFileLookup", True).json(path).count() == 13   # nobody's files are lost
+    seen = [sorted((r["mult"], r["params"], r["commit"]) for r in tables.read_params(spark, path).repartition(n).collect()) for n in (1, 5)]
+    assert seen[0] == seen[1] and len(seen[0]) == 2
+    assert seen[0][0][1:] == seen[0][1][1:]      # both keys from the same commit
+    assert seen[0][0][2] == spark.read.option("recursiveFileLookup", True).json(path).where(f"saved = {2 ** 62}").agg({"commit": "max"}).first()[0]
