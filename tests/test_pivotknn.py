@@ -101,3 +101,42 @@ def test_edited_nn_same_on_both_plans(spark):
     cols = [f"c{j}" for j in range(6)]
     plain = {r["NAME"] for r in edited_nn(df, cols, 3).collect()}
     assert {r["NAME"] for r in edited_nn(df, cols, 3, broadcast_bytes=0, block_rows=40).collect()} == plain
+
+
+def test_probes_without_structure_are_one_row_a_query(spark):
+    """Where no bound holds, what is written and shuffled is a query with its blocks, not a row per query and cell."""
+    x = np.random.default_rng(11).uniform(size=(700, 16))
+    df, made, keep = _frame(spark, x), [], P.materialise
+
+    def spy(frame, what):
+        out = keep(frame, what)
+        if what == "knn probes":
+            made.append(out.select(F.count(F.lit(1)), F.sum(F.size("blocks")), F.max(F.array_max("blocks"))).first())
+        return out
+
+    P.materialise = spy
+    try:
+        got = _rows(P.pivot_knn(df, df, 3, block_rows=20))
+    finally:
+        P.materialise = keep
+    rows, visits, last = made[0]
+    assert rows == len(x) and visits <= len(x) * (last + 1) and last + 1 <= 8      # 26 cells in 35 parts and more
+    assert got == _rows(knn(df, 3))
+
+
+def test_nearest_over_many_tiles_ties_and_holes():
+    rng = np.random.default_rng(12)
+    R = rng.normal(size=(9000, 5)).round(1)
+    R[:3000] = R[0]                                     # a tie of thousands
+    R[5] = np.nan
+    Q = np.vstack([R[:40], rng.normal(size=(260, 5)), np.full((1, 5), np.inf)])
+    rid = np.array([f"r{(i * 7919) % 9000:05d}" for i in range(9000)], dtype=object)
+    rid[8999] = rid[8998]                               # an id that repeats
+    qid = np.array([*rid[:40], *(f"q{i}" for i in range(259)), rid[8998], "odd"], dtype=object)
+    qi, ri, d2, rank = P.nearest(qid, Q, rid, R, 4, True)
+    for i in range(len(Q)):
+        full = ((R - Q[i]) ** 2).sum(axis=1)
+        full[(rid == qid[i]) | ~np.isfinite(full)] = np.inf
+        best = [j for j in np.lexsort((rid, full))[:4] if np.isfinite(full[j])]
+        assert [(rid[j], full[j]) for j in best] == [(rid[j], d) for j, d in zip(ri[qi == i], d2[qi == i])]
+        assert rank[qi == i].tolist() == list(range(1, len(best) + 1))
