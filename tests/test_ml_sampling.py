@@ -238,3 +238,20 @@ def test_knn_on_equal_points(spark):
     a = {tuple(r) for r in knn(df, 3).collect()}
     b = {tuple(r) for r in knn(df, 3, block_rows=100, broadcast_bytes=0).collect()}
     assert a == b and len(a) == 1800
+
+
+def test_random_pool_serves_the_largest_multiple(spark):
+    """More known fragments than the configured pool has windows: every table still gets its mult x positives."""
+    from motifspark.operators import controls as CO
+    from motifspark.plans import pipeline as P
+    import numpy as np
+    rng = np.random.default_rng(4)
+    seqs = spark.createDataFrame([(f"S{i}", "".join(rng.choice(list("ACDEFGHIKL"), 60))) for i in range(30)], "seq_id string, seq string")
+    ids = spark.createDataFrame([(f"S{i}",) for i in range(10)], "id string")
+    cfg = P.PipelineConfig(mults=(1, 5), random_control_n=20)
+    pos = P.featurize(seqs.limit(1), cfg).limit(30)
+    pools = P.control_pools(cfg, seqs, ids, 30)
+    got = {(r.tag, r.mult, r.CLASS): r["count"] for r in CO.training_tables(pos, pools, 30, cfg.mults, 1).groupBy("tag", "mult", "CLASS").count().collect()}
+    assert got == {(t, m, c): 30 * (m if c else 1) for t in ("PTM", "Random") for m in (1, 5) for c in (0, 1)}
+    assert pools["Random"].count() == 150
+    assert P.control_pools(P.PipelineConfig(mults=(1,), random_control_n=40), seqs, ids, 30)["Random"].count() == 40
