@@ -140,3 +140,12 @@ def test_nearest_over_many_tiles_ties_and_holes():
         best = [j for j in np.lexsort((rid, full))[:4] if np.isfinite(full[j])]
         assert [(rid[j], full[j]) for j in best] == [(rid[j], d) for j, d in zip(ri[qi == i], d2[qi == i])]
         assert rank[qi == i].tolist() == list(range(1, len(best) + 1))
+
+
+def test_rows_with_holes_on_both_plans(spark):
+    x = _clusters(13, 300).tolist()
+    for i in range(0, 300, 9):
+        x[i] = [None] * 6 if i % 2 else [float("nan"), *x[i][1:]]
+    df = spark.createDataFrame([(f"p{i:05d}", v) for i, v in enumerate(x)], SCHEMA)
+    got = _rows(knn(df, 3, broadcast_bytes=0, block_rows=32))
+    assert got == _rows(knn(df, 3)) and len(got) == 3 * (300 - 34)
