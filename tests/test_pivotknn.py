@@ -149,3 +149,14 @@ def test_rows_with_holes_on_both_plans(spark):
     df = spark.createDataFrame([(f"p{i:05d}", v) for i, v in enumerate(x)], SCHEMA)
     got = _rows(knn(df, 3, broadcast_bytes=0, block_rows=32))
     assert got == _rows(knn(df, 3)) and len(got) == 3 * (300 - 34)
+
+
+def test_neighbours_found_once_serve_every_k(spark):
+    x = _clusters(14, 200, centres=3)
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(f"r{i:04d}", *map(float, v), int(rng.uniform() < 0.3)) for i, v in enumerate(x)],
+                               "NAME string, " + ", ".join(f"c{j} double" for j in range(6)) + ", CLASS int")
+    cols = [f"c{j}" for j in range(6)]
+    near = knn(df.select("NAME", F.array(*cols).alias("x")), 5)
+    for k in (3, 5):
+        assert {r.NAME for r in edited_nn(df, cols, k, neighbours=near).collect()} == {r.NAME for r in edited_nn(df, cols, k).collect()}
