@@ -77,3 +77,36 @@ def test_importance_edges(spark):
     odd = spark.createDataFrame([(None, 1.0, 0), (float("nan"), 2.0, 1), (float("inf"), 1.0, None), (1.0, 1.0, 1), (1.0, 1.0, 0)], kinds)
     got = {r.feature: r.importance for r in feature_importance(odd, ["a", "b"], n_trees=20).collect()}
     assert abs(sum(got.values()) - 1) < 1e-9 and all(v > 0 for v in got.values())
+
+
+def test_growth_in_blocks_and_in_32_bits():
+    """Levels in blocks of nodes give the same gains, and 32-bit values the same trees as 64-bit ones (thresholds stay in 64)."""
+    x, y = table()
+    x = x.astype(np.float32)
+    for tree in range(4):
+        want = ET.grow(x.astype(float), y, 3, 9, tree, 0, 2)
+        assert np.allclose(ET.grow(x, y, 3, 9, tree, 0, 2, block=16), want, atol=1e-9)
+    top = ET._Top({0: (0, 0.1)})
+    assert (top.place(np.array([[0.1]], np.float32), 1, 1) == ET._Top({0: (0, 0.1)}).place(np.array([[np.float64(np.float32(0.1))]]), 1, 1)).all()
+
+
+@pytest.mark.parametrize("cells", ["float", "double"])
+def test_undivided_trees_share_their_rows(spark, monkeypatch, cells):
+    """A table far above 4 million numbers moves once a group, not once a tree; 32-bit values stay 32 bits wide."""
+    sent = []
+    real = ET._dealer
+
+    def watched(tops, seed, groups):
+        sent.append((sum(bool(t.splits) for t in tops.values()), groups))
+        return real(tops, seed, groups)
+
+    monkeypatch.setattr(ET, "_dealer", watched)
+    monkeypatch.setattr(ET, "MOST_BYTES", 8 * 7 * 300)
+    x, y = table(320 if cells == "float" else 280)
+    if cells == "float":
+        x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(*map(float, v), int(c)) for v, c in zip(x, y, strict=True)], ", ".join(f"f{i} double" for i in range(7)) + ", CLASS int")
+    got = ET.importances(df, [f"f{i}" for i in range(7)], n_trees=40, seed=3)
+    assert sent == [(0, min(40, 4 * spark.sparkContext.defaultParallelism))]
+    want = [brute(x, y, 3, t, int(math.sqrt(7))) for t in range(40)]
+    assert np.allclose(got, sum(g / g.sum() for g in want) / 40, atol=1e-9)
