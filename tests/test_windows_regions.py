@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from motifspark.functions.text import RESIDUES
 from motifspark.operators.consensus import consensus, fragment_support, n_lists, support_summary
 from motifspark.operators.extract import extract_regions
 from motifspark.operators.regions import merge_regions, parse_fragments
@@ -211,3 +212,40 @@ def test_small_helpers(spark, tmpdir_path):
     assert sorted((r["name"], r["start"], len(r["sub"])) for r in whole) == [("S0", 1, 20), ("S1", 1, 3)]
     write_records(spark.createDataFrame([(90, ">x\nAC"), (100, ">y\nDE")], "pct int, record string"), tmpdir_path + "/r", partition_by=["pct"])
     assert sorted(f for f in os.listdir(tmpdir_path + "/r") if f.startswith("pct")) == ["pct=100", "pct=90"]
+
+
+def test_votes_in_32_bits_are_those_of_64():
+    """Margins that 32 bits cannot tell from 0 are computed in 64; odd numbers and large ones too."""
+    import numpy as np
+    from motifspark.operators.predict import Models
+    r = np.random.default_rng(0)
+    X = r.integers(0, 16, (9000, 20)) / 15.0
+    W = r.standard_normal((30, 20))
+    b = -(X[:30] * W).sum(1) + np.where(np.arange(30) % 3 == 0, 1e-9, np.where(np.arange(30) % 3 == 1, -1e-9, 1e-3))
+    models = Models([str(i) for i in range(30)], W, b)
+    assert (models.votes(X) == (X @ W.T + b <= 0)).all()
+    assert models.votes(X)[np.arange(30), np.arange(30)].tolist() == [i % 3 == 1 for i in range(30)]
+    odd = X[:50].copy()
+    odd[0, 0], odd[1, 1], odd[2, 2] = np.nan, np.inf, 1e300
+    with np.errstate(all="ignore"):
+        assert (models.votes(odd) == (odd @ W.T + b <= 0)).all()
+    assert Models([], np.zeros((0, 20)), np.zeros(0)).votes(X).shape == (9000, 0) and models.votes(X[:0]).shape == (0, 30)
+    words, support = models.counted(models.votes(X))
+    assert (support == models.votes(X).sum(1)).all() and (models.set_bits(np.bitwise_or.reduce(words, axis=0)) == models.votes(X).any(0)).all()
+
+
+def test_rounded_fractions_are_looked_up(spark):
+    """``digits`` rounds as Spark does, without a rounding per cell; and windows are dealt out in long chunks."""
+    from motifspark.operators.predict import composition_rows
+    from motifspark.operators.windows import sliding_windows
+    seqs = spark.createDataFrame([("a", "ACDEFGHIKLMNPQRSTVWY" * 30), ("b", "AAC" * 60), ("c", "A\u00e9C" * 50)], "seq_id string, seq string")
+    cols = [f"f_{a}" for a in RESIDUES]
+    for w, digits in ((15, 6), (128, 6), (7, 3)):
+        want = composition_rows(seqs, RESIDUES, w=w, min_len=w).select("NAME", *[F.round(c, digits).alias(c) for c in cols])
+        got = composition_rows(seqs, RESIDUES, w=w, min_len=w, digits=digits).select("NAME", *cols)
+        assert "round(" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    long = spark.createDataFrame([("l", "ACDEFGHIKLMNPQRSTVWY" * 1000)], "seq_id string, seq string")
+    found = {r["start"]: r["sub"] for r in sliding_windows(long, step=3).collect()}
+    text = "ACDEFGHIKLMNPQRSTVWY" * 1000
+    assert found == {i + 1: text[i:i + 15] for i in range(0, 20000 - 14, 3)}
