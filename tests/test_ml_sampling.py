@@ -255,3 +255,39 @@ def test_random_pool_serves_the_largest_multiple(spark):
     assert got == {(t, m, c): 30 * (m if c else 1) for t in ("PTM", "Random") for m in (1, 5) for c in (0, 1)}
     assert pools["Random"].count() == 150
     assert P.control_pools(P.PipelineConfig(mults=(1,), random_control_n=40), seqs, ids, 30)["Random"].count() == 40
+
+
+def test_md5_tops_equal_hashlib():
+    import pyarrow as pa
+    from motifspark.functions.hashing import md5_tops
+    texts = ["", None, "a" * 53, "a" * 54, "a" * 55, "a" * 56, "\u00e9:12", "x" * 200] + [f"D{i * 977}:{i}" for i in range(500)]
+    for prefix in ("", "8:", "q" * 60):
+        for at in (0, 3, 6):
+            want = [None if x is None else int(hashlib.md5((prefix + x).encode()).hexdigest()[:8], 16) for x in texts[at:]]
+            assert md5_tops(pa.array(texts).slice(at), prefix, block=64).to_pylist() == want
+    assert md5_tops(pa.array([], pa.string())).to_pylist() == [] and md5_tops(pa.array([None], pa.string())).to_pylist() == [None]
+
+
+def test_drawn_names_are_hashed_in_batches_and_features_for_the_draw_alone(spark):
+    """Names alone are judged by the batch kernel; a table with other columns is filtered by its key below what makes them."""
+    from motifspark.operators import sampling as SA
+    from motifspark.operators.features import composition_features
+    from motifspark.operators.windows import sliding_windows
+    names = spark.createDataFrame([(f"D{i % 3000}:{i}",) for i in range(20000)] + [(None,)] * 5, "NAME string").repartition(3)
+    draws = [SA.Draw(m, 40 * m, 7 + m) for m in (1, 2, 5)]
+    got = SA.first_n(names, draws).groupBy("draw").agg(F.sort_array(F.collect_list("NAME")).alias("n")).collect()
+    want = {d.label: sorted(r[0] for r in names.where("NAME IS NOT NULL").orderBy(F.md5(F.concat(F.lit(f"{d.seed}:"), "NAME")), "NAME").limit(d.n).collect()) for d in draws}
+    assert {r["draw"]: r["n"] for r in got} == want
+    near = SA._near_names(names, ["8"], [1 << 31])
+    assert "MapInArrow" in near._jdf.queryExecution().executedPlan().toString()
+    seqs = spark.createDataFrame([(f"S{i}", "ACDEFGHIKLMNPQRSTVWY" * 10) for i in range(20)], "seq_id string, seq string")
+    written = []
+    real = SA.materialise
+    try:
+        SA.materialise = lambda df, what: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, what)
+        assert SA.sample_n(composition_features(sliding_windows(seqs)), 25, 3).count() == 25
+    finally:
+        SA.materialise = real
+    plan = written[0]
+    filters = [i for i, line in enumerate(plan.splitlines()) if "Filter" in line and "md5" in line]
+    assert filters and filters[-1] > max(i for i, line in enumerate(plan.splitlines()) if "replace(" in line)
