@@ -76,3 +76,14 @@ def test_lookup_without_order(spark):
     assert {tuple(r) for r in sequence_lookup(rec, only=ab).collect()} == {("a", "X"), ("b", "Y")}
     with pytest.raises(Exception, match="no order columns"):
         sequence_lookup(rec).collect()
+
+
+def test_digests_beyond_a_bigint(spark):
+    """Sums of names' hashes go on modulo 2^64 where a BIGINT ends (four billion names do that); others are plain sums."""
+    from motifspark.operators.predict import digest_sums
+    parts = {"far": [(3, 2 ** 62 + 5), (2, 2 ** 62 + 7), (0, 2 ** 32 - 1)], "farther": [(1, 2 ** 63 - 1)] * 5, "near": [(4, 9), (0, 0), (1, 2 ** 40)], "none": [(0, 0)]}
+    rows = [(k, n, h) for k, v in parts.items() for n, h in v]
+    got = {r["list_id"]: (r["n_positive"], r["name_sum"]) for r in digest_sums(spark.createDataFrame(rows, "list_id string, n bigint, h bigint").repartition(4)).collect()}
+    signed = lambda v: (v + 2 ** 63) % 2 ** 64 - 2 ** 63
+    assert got == {k: (sum(n for n, _ in v), signed(sum(h for _, h in v))) for k, v in parts.items() if k != "none"}
+    assert got["near"][1] == 9 + 2 ** 40 and got["far"][1] < 0
