@@ -110,3 +110,17 @@ def test_undivided_trees_share_their_rows(spark, monkeypatch, cells):
     assert sent == [(0, min(40, 4 * spark.sparkContext.defaultParallelism))]
     want = [brute(x, y, 3, t, int(math.sqrt(7))) for t in range(40)]
     assert np.allclose(got, sum(g / g.sum() for g in want) / 40, atol=1e-9)
+
+
+def test_nodes_look_at_drawn_features_only(monkeypatch):
+    """A node hashes each feature once for its order and makes thresholds for the few it looks at; the trees are those of the draws."""
+    r = np.random.default_rng(11)
+    x, y = r.normal(size=(300, 64)).astype(np.float32), r.integers(0, 2, 300)
+    x[:, ::3] = np.round(x[:, ::3])                  # many features that do not vary in small nodes
+    x[:, 1] = 0.0
+    hashed, nodes, keep = [], [], ET.mixed
+    monkeypatch.setattr(ET, "mixed", lambda *parts, **more: (hashed if np.ndim(out := keep(*parts, **more)) == 2 else nodes).append(out.size) or out)
+    got = ET.grow(x, y, 2, 5, 1, 0, 8)
+    assert sum(hashed) <= (64 + 8) * sum(nodes)
+    monkeypatch.undo()
+    assert np.allclose(got, brute(x.astype(float), y, 5, 1, 8))
