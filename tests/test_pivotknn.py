@@ -160,3 +160,47 @@ def test_neighbours_found_once_serve_every_k(spark):
     near = knn(df.select("NAME", F.array(*cols).alias("x")), 5)
     for k in (3, 5):
         assert {r.NAME for r in edited_nn(df, cols, k, neighbours=near).collect()} == {r.NAME for r in edited_nn(df, cols, k).collect()}
+
+
+def test_blocks_are_sent_and_queries_stay(spark, monkeypatch):
+    """Many blocks, in several jobs: what is written is at most k rows a query and job, however many blocks a query must search; ids may repeat."""
+    x = np.vstack([np.random.default_rng(15).uniform(size=(500, 12)), np.ones((40, 12))])
+    names = [f"p{i % 500:05d}" for i in range(len(x))]
+    df = spark.createDataFrame([(n, [float(v) for v in row]) for n, row in zip(names, x)], SCHEMA)
+    monkeypatch.setattr(P, "BLOCK_VALUES", 12 * 60)
+    monkeypatch.setattr(P, "SENT_VALUES", 12 * 60 * 4)
+    monkeypatch.setattr(P, "QUERY_VALUES", 12 * 50)
+    made, keep = {}, P.materialise
+
+    def spy(frame, what):
+        out = keep(frame, what)
+        made.setdefault(what, []).append(out)
+        return out
+
+    monkeypatch.setattr(P, "materialise", spy)
+    got = P.pivot_knn(df, df, 3, block_rows=25)
+    rows = sorted((r["id"], r["rank"], round(r["dist"], 9)) for r in got.collect())
+    blocks = made["knn probes"][0].agg(F.max(F.array_max("blocks"))).first()[0] + 1
+    assert blocks >= 8 and len(made["knn candidates"]) == -(-blocks // 4)
+    assert all(c.count() <= 3 * len(x) for c in made["knn candidates"])
+    # brute force: per id the least rows of the union over its queries, as a window over all pairs gives them
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    want = {}
+    for i, n in enumerate(names):
+        pairs = [(d2[i, j], names[j]) for j in range(len(x)) if names[j] != n]
+        want.setdefault(n, []).extend(sorted(pairs)[:3])
+    assert rows == sorted((n, r + 1, round(float(np.sqrt(d)), 9)) for n, pairs in want.items() for r, (d, _) in enumerate(sorted(pairs)[:3]))
+
+
+@pytest.mark.parametrize("scale,offset", [(1.0, 0.0), (1.0, 1e5), (1e-9, 0.0), (1e25, 0.0)])
+def test_nearest_in_32_bits_is_exact(scale, offset):
+    """Distances that differ by less than a 32-bit product can tell are ordered as 64 bits order them."""
+    rng = np.random.default_rng(16)
+    R = rng.normal(size=(3000, 16))
+    R[1000:2000] = R[:1000] + rng.normal(scale=1e-7, size=(1000, 16))
+    R = R * scale + offset
+    ids = np.array([f"r{i}" for i in range(3000)], dtype=object)
+    qi, ri, d2, _ = P.nearest(ids[:300], R[:300], ids, R, 3, True)
+    full = ((R[:300, None, :] - R[None, :, :]) ** 2).sum(2)
+    full[np.arange(300), np.arange(300)] = np.inf
+    assert (ri.reshape(300, 3) == np.argsort(full, axis=1, kind="stable")[:, :3]).all()
